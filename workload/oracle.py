@@ -80,7 +80,7 @@ SESSIONS_CTE = f"""
             last(path ORDER BY event_timestamp, path) AS exit_path,
             {SECONDS} AS duration_sec,
             count(*) = 1 AS bounce,
-            CAST(min(event_timestamp) AS DATE) AS event_date
+            CAST(CAST(min(event_timestamp) AS DATE) AS VARCHAR) AS event_date
         FROM tagged GROUP BY user_id, session_index)"""
 
 
@@ -125,7 +125,7 @@ ENRICHED = f"""
     SELECT {SILVER_COLUMNS}, country_name, region, form_factor
     FROM silver LEFT JOIN countries USING (country) LEFT JOIN devices USING (device)"""
 COUNTS = "SELECT user_id, count(*) AS event_count FROM events GROUP BY user_id"
-DAY = "DATE '2024-01-15'"
+DAY = "'2024-01-15'"
 
 ORACLE: dict[str, str] = {
     "session_tag_events": f"""
@@ -148,17 +148,17 @@ ORACLE: dict[str, str] = {
     ),
     "layer_roundtrip": f"""
         WITH {RAW_CTE}, {SILVER_CTE}, {DIMS_CTE}
-        SELECT *, CAST(event_timestamp AS DATE) AS event_date FROM ({ENRICHED})""",
+        SELECT *, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM ({ENRICHED})""",
     "landing_counts": f"""
         WITH {LANDED_CTE}
-        SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) AS rows FROM raw GROUP BY 1""",
+        SELECT CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date, count(*) AS rows FROM raw GROUP BY 1""",
     "landing_day_folders": f"""
         WITH {LANDED_CTE}
         SELECT coalesce(CAST(CAST(event_timestamp AS DATE) AS VARCHAR),
             '__HIVE_DEFAULT_PARTITION__') AS folder, count(*) AS rows FROM raw GROUP BY 1""",
     "bronze_typed": f"""
         WITH {LANDED_CTE}
-        SELECT {FIELD_NAMES}, CAST(event_timestamp AS DATE) AS event_date FROM raw""",
+        SELECT {FIELD_NAMES}, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM raw""",
     "bronze_bad_rows": f"""
         WITH {LANDED_CTE}
         SELECT count(*) AS lines,

@@ -34,15 +34,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
-    return run
+def _plain(rows: DataFrame) -> DataFrame:
+    """Times without zone and days as text, which every client reads alike."""
+    kinds = {"timestamp": "timestamp_ntz", "date": "string"}
+    return rows.withColumns(
+        {name: F.col(name).cast(kinds[kind]) for name, kind in rows.dtypes if kind in kinds}
+    )
 
 
-def _plain_times(rows: DataFrame) -> DataFrame:
-    """Times without zone, as the checking SQL has them."""
-    times = [name for name, kind in rows.dtypes if kind == "timestamp"]
-    return rows.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
+def query(run: Query) -> Query:
+    QUERIES[run.__name__] = lambda spark, sf_dir: _plain(run(spark, sf_dir))
+    return run
 
 
 # ---- sessions ---------------------------------------------------------------
@@ -70,7 +72,7 @@ def sessions_exact_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sessions_window_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain_times(live_sessions(clicks(spark, sf_dir), HALF_HOUR))
+    return live_sessions(clicks(spark, sf_dir), HALF_HOUR)
 
 
 @query
@@ -118,7 +120,7 @@ def bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "landing")
     write_landing(raw_lines(spark, sf_dir), path)
     events = type_events(read_landing(spark, path))
-    return _plain_times(events.drop("ingest_ts", "source_file", CORRUPT))
+    return events.drop("ingest_ts", "source_file", CORRUPT)
 
 
 @query
@@ -290,7 +292,7 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed(spark: SparkSession, sf_dir: str, clean: bool, end: str) -> DataFrame:
     lake = _landed(spark, sf_dir, "stream")
     query = jobs.stream_job(spark, lake, Settings(), sink="parquet", clean=clean, end=end)
-    return _plain_times(read_table(spark, lake.stream_table(query.name)))
+    return read_table(spark, lake.stream_table(query.name))
 
 
 @query
