@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 
 from visitfold.fixed import SESSION_GAP_SECONDS
 from visitfold.functions.timeline import (
+    MICROS,
     gap_ticks,
     seconds_between,
     session_id,
     slice_start,
     tick,
 )
+from visitfold.operators.cleaning import identified
 
 
 def number_slices(slices: DataFrame, gap: int, first_tick: Column, last_tick: Column) -> DataFrame:
@@ -49,7 +51,7 @@ def tag_sessions(
     columns = events.columns
     at = F.col("event_timestamp")
     slices = (
-        events.where(F.col("user_id").isNotNull() & at.isNotNull())
+        identified(events)
         .groupBy("user_id", slice_start(at, gap_seconds, exact).alias("slice"))
         .agg(
             F.min(tick(at, exact)).alias("first_tick"),
@@ -82,7 +84,7 @@ def build_sessions(
     at = F.col("event_timestamp")
     place = F.struct("event_timestamp", "path")
     slices = (
-        events.where(F.col("user_id").isNotNull() & at.isNotNull())
+        identified(events)
         .groupBy("user_id", slice_start(at, gap_seconds, exact).alias("slice"))
         .agg(
             F.min(place).alias("entry"),
@@ -119,3 +121,46 @@ def build_sessions(
         (F.col("num_events") == 1).alias("bounce"),
         F.to_date("entry.event_timestamp").alias("event_date"),
     )
+
+
+def window_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
+    """Sessions by Spark's ``session_window``, as the stream reports them.
+
+    The window takes slices instead of events: each opens at its first event and
+    stays open until one gap after its last. So one user's events are not gathered.
+    """
+    at = F.col("event_timestamp")
+    slices = (
+        identified(events)
+        .groupBy("user_id", slice_start(at, gap_seconds, exact=True).alias("slice"))
+        .agg(
+            F.min(at).alias("first_ts"),
+            F.max(at).alias("last_ts"),
+            F.count(F.lit(1)).alias("num_events"),
+            F.count_if(F.col("event_type") == "page_view").alias("num_pageviews"),
+            F.count_if(F.col("event_type") == "purchase").alias("purchases"),
+        )
+    )
+    span = tick(F.col("last_ts"), exact=True) - tick(F.col("first_ts"), exact=True)
+    open_for = F.make_interval(
+        secs=F.lit(gap_seconds) + span.cast("decimal(18, 0)") / F.lit(MICROS)
+    )
+    return (
+        slices.groupBy("user_id", F.session_window("first_ts", open_for))
+        .agg(
+            F.max("last_ts").alias("end_ts"),
+            F.sum("num_events").alias("num_events"),
+            F.sum("num_pageviews").alias("num_pageviews"),
+            (F.sum("purchases") > 0).alias("converted"),
+        )
+        .select(
+            "user_id",
+            F.col("session_window.start").alias("start_ts"),
+            "end_ts",
+            seconds_between("session_window.start", "end_ts").alias("duration_sec"),
+            "num_events",
+            "num_pageviews",
+            "converted",
+            F.col("session_window.end").alias("window_end"),
+        )
+    )

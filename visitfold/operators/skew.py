@@ -39,10 +39,18 @@ def hot_keys(
 
 
 def salted(
-    events: DataFrame, factor: int = SALT_FACTOR, key: str = "user_id", hot: DataFrame | None = None
+    events: DataFrame,
+    factor: int = SALT_FACTOR,
+    key: str = "user_id",
+    hot: DataFrame | None = None,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Events with a ``salt`` column; with ``hot`` given, other keys keep salt 0."""
-    bucket = row_salt(events.columns, factor)
+    """Events with a ``salt`` column; with ``hot`` given, other keys keep salt 0.
+
+    The salt is hashed from the ``spread_by`` columns. Name a narrow one that differs
+    between a key's rows, or the scan has to read every column.
+    """
+    bucket = row_salt(spread_by or events.columns, factor)
     if hot is None:
         return events.withColumn("salt", bucket)
     marked = events.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
@@ -52,11 +60,15 @@ def salted(
 
 
 def salted_counts(
-    events: DataFrame, factor: int = SALT_FACTOR, key: str = "user_id", hot: DataFrame | None = None
+    events: DataFrame,
+    factor: int = SALT_FACTOR,
+    key: str = "user_id",
+    hot: DataFrame | None = None,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Same result as ``naive_counts``, counted per (key, salt) first."""
     partial = (
-        salted(events, factor, key, hot)
+        salted(events, factor, key, hot, spread_by)
         .groupBy(key, "salt")
         .agg(F.count(F.lit(1)).alias("partial_count"))
     )
@@ -68,8 +80,9 @@ def hot_salted_counts(
     threshold: int = HOT_KEY_THRESHOLD,
     factor: int = SALT_FACTOR,
     key: str = "user_id",
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
-    return salted_counts(events, factor, key, hot_keys(events, threshold, key))
+    return salted_counts(events, factor, key, hot_keys(events, threshold, key), spread_by)
 
 
 def salted_left_join(
@@ -78,6 +91,7 @@ def salted_left_join(
     key: str,
     threshold: int = HOT_KEY_THRESHOLD,
     factor: int = SALT_FACTOR,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Left join on ``key`` with the hot keys of ``big`` spread over ``factor`` tasks.
 
@@ -90,16 +104,21 @@ def salted_left_join(
     spread = small.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left").select(
         *small.columns, F.explode(salts).alias("salt")
     )
-    return salted(big, factor, key, hot).join(spread, [key, "salt"], "left").drop("salt")
+    return salted(big, factor, key, hot, spread_by).join(spread, [key, "salt"], "left").drop("salt")
 
 
-def skew_check(events: DataFrame, factor: int = SALT_FACTOR, key: str = "user_id") -> DataFrame:
+def skew_check(
+    events: DataFrame,
+    factor: int = SALT_FACTOR,
+    key: str = "user_id",
+    spread_by: list[str] | None = None,
+) -> DataFrame:
     """One row: both totals, how many keys differ, the largest key, the factor."""
     zero = F.lit(0).cast("long")
     both = naive_counts(events, key).select(
         key, F.col("event_count").alias("naive"), zero.alias("salted")
     ).unionByName(
-        salted_counts(events, factor, key).select(
+        salted_counts(events, factor, key, spread_by=spread_by).select(
             key, zero.alias("naive"), F.col("event_count").alias("salted")
         )
     )

@@ -7,13 +7,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from visitfold.lake import Lake, Settings
 from visitfold.operators import kpis, skew
-from visitfold.operators.cleaning import clean_events, drop_repeats
+from visitfold.operators.cleaning import clean_events, drop_repeats, identified
 from visitfold.operators.dimensions import enrich
 from visitfold.operators.sessions import build_sessions
 from visitfold.sources.landing import CORRUPT, read_landing, stream_landing, type_events
 from visitfold.sources.tables import read_table, write_table
 from visitfold.streaming import live
 
+# Merge a user's windows inside each input task first, so that a hot user sends a few
+# partial sessions per task to the state store and not every event.
+MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 
 def silver_events(bronze: DataFrame) -> DataFrame:
     """Clean, single, enriched events of people."""
@@ -53,7 +57,9 @@ def gold_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -
 
 
 def skew_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> DataFrame:
-    return skew.skew_check(read_table(spark, lake.silver), settings.salt_factor)
+    return skew.skew_check(
+        read_table(spark, lake.silver), settings.salt_factor, spread_by=["event_id"]
+    )
 
 
 def batch_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> dict[str, int]:
@@ -90,7 +96,7 @@ def stream_job(
     if clean:
         ready = live.clean_stream(events, settings.watermark_seconds)
     else:
-        ready = live.with_lateness(live.identified(events), settings.watermark_seconds)
+        ready = live.with_lateness(identified(events), settings.watermark_seconds)
     sessions = live.live_sessions(ready, settings.gap_seconds, end)
     name = "live_sessions" if clean else "live_sessions_raw"
     checkpoint = lake.checkpoint(name, sink)
@@ -98,7 +104,13 @@ def stream_job(
         writer = live.drain_to_table(sessions, name, lake.stream_table(name), checkpoint)
     else:
         writer = live.drain_to_console(sessions, name, checkpoint)
-    query = writer.start()
+    # A query copies the session's settings when it starts.
+    merging = spark.conf.get(MERGE_BEFORE_SHUFFLE)
+    spark.conf.set(MERGE_BEFORE_SHUFFLE, True)
+    try:
+        query = writer.start()
+    finally:
+        spark.conf.set(MERGE_BEFORE_SHUFFLE, merging)
     if wait:
         query.awaitTermination(timeout)
     return query

@@ -11,11 +11,6 @@ from visitfold.functions.timeline import seconds_between
 from visitfold.operators.cleaning import clean_events
 
 
-def identified(events: DataFrame) -> DataFrame:
-    """Events that a stream can place: they have a user and a time."""
-    return events.dropna(subset=["user_id", "event_timestamp"])
-
-
 def with_lateness(events: DataFrame, watermark_seconds: int) -> DataFrame:
     return events.withWatermark("event_timestamp", f"{watermark_seconds} seconds")
 

@@ -1,7 +1,8 @@
 """DuckDB SQL for the named queries.
 
 Sessions are written here in the textbook way, ``lag`` and a running sum over all
-events of a user, and not by slices.
+events of a user, and not by slices. Copies of an event have equal times; the running
+sum takes the opening one first, or the copies would count for the session before.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ def tagged_cte(source: str, gap: int, exact: bool = False) -> str:
     opened AS (
         SELECT *, CASE WHEN previous IS NULL OR {pause} THEN 1 ELSE 0 END AS opens FROM paused),
     tagged AS (
-        SELECT *, CAST(sum(opens) OVER (PARTITION BY user_id ORDER BY event_timestamp
+        SELECT *, CAST(sum(opens) OVER (PARTITION BY user_id ORDER BY event_timestamp, opens DESC
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_index
         FROM opened)"""
 

@@ -11,7 +11,7 @@ from visitfold.lake import Lake, Settings
 from visitfold.operators import kpis, skew
 from visitfold.operators.cleaning import clean_events, drop_repeats, tag_bots
 from visitfold.operators.dimensions import enrich, look_up
-from visitfold.operators.sessions import build_sessions, tag_sessions
+from visitfold.operators.sessions import build_sessions, tag_sessions, window_sessions
 from visitfold.plans import jobs
 from visitfold.sources.landing import (
     CORRUPT,
@@ -22,7 +22,6 @@ from visitfold.sources.landing import (
 )
 from visitfold.sources.scratch import scratch_dir
 from visitfold.sources.tables import read_table, write_table
-from visitfold.streaming.live import live_sessions
 from workload.views import clicks, raw_clicks, raw_lines, table
 
 HALF_HOUR = 30 * 60
@@ -72,7 +71,7 @@ def sessions_exact_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sessions_window_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return live_sessions(clicks(spark, sf_dir), HALF_HOUR)
+    return window_sessions(clicks(spark, sf_dir), HALF_HOUR)
 
 
 @query
@@ -246,17 +245,17 @@ def naive_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def salted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return skew.salted_counts(clicks(spark, sf_dir))
+    return skew.salted_counts(clicks(spark, sf_dir), spread_by=["event_id"])
 
 
 @query
 def hot_salted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return skew.hot_salted_counts(clicks(spark, sf_dir), HOT)
+    return skew.hot_salted_counts(clicks(spark, sf_dir), HOT, spread_by=["event_id"])
 
 
 @query
 def skew_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return skew.skew_check(clicks(spark, sf_dir))
+    return skew.skew_check(clicks(spark, sf_dir), spread_by=["event_id"])
 
 
 @query
@@ -264,13 +263,10 @@ def salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS user_id", "c_name", "c_mktsegment"
     )
-    return salted_events(clicks(spark, sf_dir), users)
-
-
-def salted_events(events: DataFrame, users: DataFrame) -> DataFrame:
-    return skew.salted_left_join(events, users, "user_id", HOT).select(
-        "event_id", "user_id", "c_name", "c_mktsegment"
+    joined = skew.salted_left_join(
+        clicks(spark, sf_dir), users, "user_id", HOT, spread_by=["event_id"]
     )
+    return joined.select("event_id", "user_id", "c_name", "c_mktsegment")
 
 
 # ---- whole runs -------------------------------------------------------------
