@@ -167,3 +167,19 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = (scratch.scratch_dir(spark, "x") for _ in range(2))
     assert one.startswith(shared) and two.startswith(shared) and one != two
+
+
+def test_cluster_without_shared_folder_is_refused():
+    class Conf:
+        def get(self, name, default=None):
+            return "spark://host:7077" if name == "spark.master" else default
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch_dir(Session(), "x")

@@ -6,6 +6,15 @@ from dataclasses import dataclass
 
 from visitfold import fixed
 
+# What a session running these jobs should have; results depend on the time zone, the
+# handling of hot keys on adaptive execution.
+SPARK_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
 
 @dataclass(frozen=True)
 class Lake:

@@ -30,7 +30,7 @@ from visitfold.operators.cleaning import identified
 
 def number_slices(slices: DataFrame, gap: int, first_tick: Column, last_tick: Column) -> DataFrame:
     """Add ``session_index`` (1, 2, ...) to rows that are one user's slices."""
-    by_time = Window.partitionBy("user_id").orderBy("slice")
+    by_time = Window.partitionBy("user_id").orderBy("_slice")
     pause = first_tick - F.lag(last_tick).over(by_time)
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return slices.withColumn("_opens", F.coalesce(pause > gap, F.lit(True)).cast("int")).withColumn(
@@ -46,13 +46,12 @@ def tag_sessions(
     The numbering pass reads only user and time. Its result has one row per user and
     slice, so the join back neither drops nor repeats events; where a single slice is
     hot, adaptive execution splits the event side of the join. Events without user
-    or time belong to no session and get nulls.
+    or time belong to no session and get nulls. Ids are hashed once per slice.
     """
-    columns = events.columns
     at = F.col("event_timestamp")
     slices = (
         identified(events)
-        .groupBy("user_id", slice_start(at, gap_seconds, exact).alias("slice"))
+        .groupBy("user_id", slice_start(at, gap_seconds, exact).alias("_slice"))
         .agg(
             F.min(tick(at, exact)).alias("first_tick"),
             F.max(tick(at, exact)).alias("last_tick"),
@@ -60,16 +59,16 @@ def tag_sessions(
     )
     numbered = number_slices(
         slices, gap_ticks(gap_seconds, exact), F.col("first_tick"), F.col("last_tick")
-    ).select("user_id", "slice", "session_index")
-    tagged = events.withColumn("slice", slice_start(at, gap_seconds, exact)).join(
-        numbered, ["user_id", "slice"], "left"
-    )
-    return tagged.select(
-        *columns,
+    ).select(
+        "user_id",
+        "_slice",
         "session_index",
-        F.when(
-            F.col("session_index").isNotNull(), session_id("user_id", "session_index")
-        ).alias("session_id"),
+        session_id("user_id", "session_index").alias("session_id"),
+    )
+    return (
+        events.withColumn("_slice", slice_start(at, gap_seconds, exact))
+        .join(numbered, ["user_id", "_slice"], "left")
+        .select(*events.columns, "session_index", "session_id")
     )
 
 
@@ -85,7 +84,7 @@ def build_sessions(
     place = F.struct("event_timestamp", "path")
     slices = (
         identified(events)
-        .groupBy("user_id", slice_start(at, gap_seconds, exact).alias("slice"))
+        .groupBy("user_id", slice_start(at, gap_seconds, exact).alias("_slice"))
         .agg(
             F.min(place).alias("entry"),
             F.max(place).alias("exit"),
@@ -132,7 +131,7 @@ def window_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -
     at = F.col("event_timestamp")
     slices = (
         identified(events)
-        .groupBy("user_id", slice_start(at, gap_seconds, exact=True).alias("slice"))
+        .groupBy("user_id", slice_start(at, gap_seconds, exact=True).alias("_slice"))
         .agg(
             F.min(at).alias("first_ts"),
             F.max(at).alias("last_ts"),
