@@ -111,14 +111,18 @@ def skew_check(
     events: DataFrame,
     factor: int = SALT_FACTOR,
     key: str = "user_id",
+    hot: DataFrame | None = None,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """One row: both totals, how many keys differ, the largest key, the factor."""
+    """One row: both totals, how many keys differ, the largest key, the factor.
+
+    With ``hot`` given, only those keys are salted.
+    """
     zero = F.lit(0).cast("long")
     both = naive_counts(events, key).select(
         key, F.col("event_count").alias("naive"), zero.alias("salted")
     ).unionByName(
-        salted_counts(events, factor, key, spread_by=spread_by).select(
+        salted_counts(events, factor, key, hot, spread_by).select(
             key, zero.alias("naive"), F.col("event_count").alias("salted")
         )
     )

@@ -56,10 +56,17 @@ def gold_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -
     return {name: write_table(table, lake.gold(name)) for name, table in tables.items()}
 
 
-def skew_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> DataFrame:
-    return skew.skew_check(
-        read_table(spark, lake.silver), settings.salt_factor, spread_by=["event_id"]
-    )
+def skew_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> dict[str, int]:
+    """How uneven users are, and that salting the hot ones changes no count."""
+    events = read_table(spark, lake.silver)
+    hot = skew.hot_keys(events, settings.hot_threshold)
+    tables = {
+        "key_skew_report": skew.key_skew_report(events, settings.top_keys),
+        "skew_check": skew.skew_check(
+            events, settings.salt_factor, hot=hot, spread_by=["event_id"]
+        ),
+    }
+    return {name: write_table(table, lake.gold(name)) for name, table in tables.items()}
 
 
 def batch_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> dict[str, int]:
@@ -67,9 +74,10 @@ def batch_job(spark: SparkSession, lake: Lake, settings: Settings = Settings())
     rows = {
         "bronze": bronze_job(spark, lake, settings),
         "silver": silver_job(spark, lake, settings),
-        "sessions": sessions_job(spark, lake, settings),
     }
-    gold = gold_job(spark, lake, settings)
+    gold = skew_job(spark, lake, settings)
+    rows["sessions"] = sessions_job(spark, lake, settings)
+    gold |= gold_job(spark, lake, settings)
     return rows | {f"gold/{name}": count for name, count in gold.items()}
 
 

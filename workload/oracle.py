@@ -247,6 +247,8 @@ ORACLE: dict[str, str] = {
         WITH {LANDED_CTE}, {SILVER_CTE}, {tagged_cte('silver', HALF_HOUR)}, {SESSIONS_CTE}
         SELECT 'bronze' AS layer, count(*) AS rows FROM raw
         UNION ALL SELECT 'silver', count(*) FROM silver
+        UNION ALL SELECT 'gold/key_skew_report', least(count(DISTINCT user_id), 10) FROM silver
+        UNION ALL SELECT 'gold/skew_check', 1
         UNION ALL SELECT 'sessions', count(*) FROM sessions
         UNION ALL SELECT 'gold/funnel', 3
         UNION ALL SELECT 'gold/daily_sessions', count(DISTINCT event_date) FROM sessions
