@@ -175,15 +175,9 @@ def test_complete_mode_shows_open_sessions(spark, tmp_path):
     lake = Lake(str(tmp_path))
     land(lake, "a", click("u1", "10:00:00.000"), click("u1", "10:10:00.000"))
     events = live.with_lateness(stream_landing(spark, lake.landing), Settings().watermark_seconds)
-    query = (
-        live.live_sessions(events)
-        .writeStream.format("memory")
-        .queryName("open_sessions")
-        .outputMode("complete")
-        .option("checkpointLocation", lake.checkpoint("open_sessions", "memory"))
-        .trigger(availableNow=True)
-        .start()
-    )
+    checkpoint = lake.checkpoint("open_sessions", "memory")
+    writer = live.drain(live.live_sessions(events), "open_sessions", checkpoint, "complete")
+    query = writer.format("memory").start()
     query.awaitTermination(120)
     (row,) = spark.table("open_sessions").collect()
     assert row["num_events"] == 2 and row["end_ts"] == at("10:10:00")

@@ -47,6 +47,7 @@ def salted(
 ) -> DataFrame:
     """Events with a ``salt`` column; with ``hot`` given, other keys keep salt 0.
 
+    A missing key counts as hot: it matches nothing, but may well be the largest group.
     The salt is hashed from the ``spread_by`` columns. Name a narrow one that differs
     between a key's rows, or the scan has to read every column.
     """
@@ -54,9 +55,8 @@ def salted(
     if hot is None:
         return events.withColumn("salt", bucket)
     marked = events.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    return marked.select(
-        *events.columns, F.when(F.col("_hot"), bucket).otherwise(F.lit(0)).alias("salt")
-    )
+    spread = F.col("_hot") | F.col(key).isNull()
+    return marked.select(*events.columns, F.when(spread, bucket).otherwise(F.lit(0)).alias("salt"))
 
 
 def salted_counts(

@@ -107,11 +107,11 @@ def stream_job(
         ready = live.with_lateness(identified(events), settings.watermark_seconds)
     sessions = live.live_sessions(ready, settings.gap_seconds, end)
     name = "live_sessions" if clean else "live_sessions_raw"
-    checkpoint = lake.checkpoint(name, sink)
+    writer = live.drain(sessions, name, lake.checkpoint(name, sink))
     if sink == "parquet":
-        writer = live.drain_to_table(sessions, name, lake.stream_table(name), checkpoint)
+        writer = live.to_table(writer, lake.stream_table(name))
     else:
-        writer = live.drain_to_console(sessions, name, checkpoint)
+        writer = live.to_console(writer)
     # A query copies the session's settings when it starts.
     merging = spark.conf.get(MERGE_BEFORE_SHUFFLE)
     spark.conf.set(MERGE_BEFORE_SHUFFLE, True)

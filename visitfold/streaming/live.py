@@ -54,30 +54,22 @@ def live_sessions(
     return grouped.select(*columns)
 
 
-def drain_to_table(
-    rows: DataFrame, name: str, path: str, checkpoint: str, output_mode: str = "append"
+def drain(
+    rows: DataFrame, name: str, checkpoint: str, output_mode: str = "append"
 ) -> DataStreamWriter:
-    """Writer that appends finished rows to Parquet and stops once the input is drained."""
+    """Writer of a named query that stops once the input present at its start is read."""
     return (
         rows.writeStream.queryName(name)
         .outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .format("parquet")
-        .option("path", path)
     )
 
 
-def drain_to_console(
-    rows: DataFrame, name: str, checkpoint: str, output_mode: str = "append", shown: int = 20
-) -> DataStreamWriter:
-    """Writer that prints each batch in full width; ``complete`` mode prints the whole state."""
-    return (
-        rows.writeStream.queryName(name)
-        .outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .format("console")
-        .option("truncate", False)
-        .option("numRows", shown)
-    )
+def to_table(writer: DataStreamWriter, path: str) -> DataStreamWriter:
+    return writer.format("parquet").option("path", path)
+
+
+def to_console(writer: DataStreamWriter, shown: int = 20) -> DataStreamWriter:
+    """Print each batch in full width."""
+    return writer.format("console").option("truncate", False).option("numRows", shown)
