@@ -72,6 +72,34 @@ def tag_sessions(
     )
 
 
+def _measures() -> list[Column]:
+    place = F.struct("event_timestamp", "path")
+    return [
+        F.min(place).alias("entry"),
+        F.max(place).alias("exit"),
+        F.count(F.lit(1)).alias("num_events"),
+        F.count_if(F.col("event_type") == "page_view").alias("num_pageviews"),
+        F.count_if(F.col("event_type") == "purchase").alias("purchases"),
+    ]
+
+
+def _session_rows(measured: DataFrame) -> DataFrame:
+    return measured.select(
+        "session_id",
+        "user_id",
+        F.col("entry.event_timestamp").alias("start_ts"),
+        F.col("exit.event_timestamp").alias("end_ts"),
+        "num_events",
+        "num_pageviews",
+        (F.col("purchases") > 0).alias("converted"),
+        F.col("entry.path").alias("entry_path"),
+        F.col("exit.path").alias("exit_path"),
+        seconds_between("entry.event_timestamp", "exit.event_timestamp").alias("duration_sec"),
+        (F.col("num_events") == 1).alias("bounce"),
+        F.to_date("entry.event_timestamp").alias("event_date"),
+    )
+
+
 def build_sessions(
     events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS, exact: bool = False
 ) -> DataFrame:
@@ -80,19 +108,8 @@ def build_sessions(
     ``exact`` compares microseconds; otherwise pauses are whole seconds. Entry and
     exit path belong to the smallest and largest (time, path) of the session.
     """
-    at = F.col("event_timestamp")
-    place = F.struct("event_timestamp", "path")
-    slices = (
-        identified(events)
-        .groupBy("user_id", slice_start(at, gap_seconds, exact).alias("_slice"))
-        .agg(
-            F.min(place).alias("entry"),
-            F.max(place).alias("exit"),
-            F.count(F.lit(1)).alias("num_events"),
-            F.count_if(F.col("event_type") == "page_view").alias("num_pageviews"),
-            F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-        )
-    )
+    start = slice_start(F.col("event_timestamp"), gap_seconds, exact)
+    slices = identified(events).groupBy("user_id", start.alias("_slice")).agg(*_measures())
     numbered = number_slices(
         slices,
         gap_ticks(gap_seconds, exact),
@@ -106,22 +123,17 @@ def build_sessions(
         F.sum("num_pageviews").alias("num_pageviews"),
         F.sum("purchases").alias("purchases"),
     )
-    return folded.select(
-        session_id("user_id", "session_index").alias("session_id"),
-        "user_id",
-        F.col("entry.event_timestamp").alias("start_ts"),
-        F.col("exit.event_timestamp").alias("end_ts"),
-        "num_events",
-        "num_pageviews",
-        (F.col("purchases") > 0).alias("converted"),
-        F.col("entry.path").alias("entry_path"),
-        F.col("exit.path").alias("exit_path"),
-        seconds_between("entry.event_timestamp", "exit.event_timestamp").alias("duration_sec"),
-        (F.col("num_events") == 1).alias("bounce"),
-        F.to_date("entry.event_timestamp").alias("event_date"),
+    return _session_rows(
+        folded.withColumn("session_id", session_id("user_id", "session_index"))
     )
 
 
+def fold_tagged(tagged: DataFrame) -> DataFrame:
+    """The same rows from events that already carry their session."""
+    placed = tagged.where(F.col("session_id").isNotNull())
+    return _session_rows(placed.groupBy("session_id", "user_id").agg(*_measures()))
+
+
 def window_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
     """Sessions by Spark's ``session_window``, as the stream reports them.
 

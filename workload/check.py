@@ -1,6 +1,6 @@
 """Run every named query on Spark and its SQL on DuckDB, and compare all values.
 
-    python check.py [folder of tables] [query ...]
+    python -m workload.check [folder of tables] [query ...]
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ import duckdb
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from __spark_entry__ import oracle_sql, queries
 from visitfold.lake import SPARK_SETTINGS
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -64,13 +65,12 @@ def main(folder: str = "/root/testdata/sf0.01", *names: str) -> None:
     database.execute("SET TimeZone = 'UTC'")
     for name in TABLES.split():
         database.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
-    oracle = oracle_sql()
-    for name, run in queries().items():
+    for name, run in QUERIES.items():
         if names and name not in names:
             continue
         begin = time.perf_counter()
         try:
-            result = compare(run(spark, folder), database, oracle[name])
+            result = compare(run(spark, folder), database, ORACLE[name])
         except Exception as error:
             result = f"failed: {str(error)[:400]}"
         print(f"{name:28} {time.perf_counter() - begin:6.2f}s  {result}", flush=True)

@@ -134,6 +134,7 @@ ORACLE: dict[str, str] = {
         SELECT event_id, user_id, event_timestamp, event_type, path, session_index,
             {SESSION_ID} AS session_id FROM tagged""",
     "sessions_rollup": sessions(SIX_HOURS, "SELECT * FROM sessions"),
+    "sessions_bucketed": sessions(SIX_HOURS, "SELECT * FROM sessions"),
     "sessions_half_hour": sessions(HALF_HOUR, "SELECT * FROM sessions"),
     "sessions_exact_gap": sessions(HALF_HOUR, "SELECT * FROM sessions", exact=True),
     "sessions_window_batch": sessions(

@@ -11,7 +11,12 @@ from visitfold.lake import Lake, Settings
 from visitfold.operators import kpis, skew
 from visitfold.operators.cleaning import clean_events, drop_repeats, tag_bots
 from visitfold.operators.dimensions import enrich, look_up
-from visitfold.operators.sessions import build_sessions, tag_sessions, window_sessions
+from visitfold.operators.sessions import (
+    build_sessions,
+    fold_tagged,
+    tag_sessions,
+    window_sessions,
+)
 from visitfold.plans import jobs
 from visitfold.sources.landing import (
     CORRUPT,
@@ -59,6 +64,11 @@ def sessions_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_sessions(clicks(spark, sf_dir), SIX_HOURS)
 
 
+@query
+def sessions_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fold_tagged(tag_sessions(clicks(spark, sf_dir), SIX_HOURS))
+
+
 @query
 def sessions_half_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_sessions(clicks(spark, sf_dir), HALF_HOUR)
