@@ -36,12 +36,13 @@ RAW_FIELDS = [
     "ELSE event_type END AS event_type",
     "'/product/' || k AS path",
     "CASE WHEN event_type = 'view' THEN 'direct' END AS referrer",
-    "CASE user_id % 4 WHEN 0 THEN 'Desktop' WHEN 1 THEN 'mobile ' WHEN 2 THEN 'tablet' END AS device",
-    "CASE user_id % 7 WHEN 0 THEN 'us' WHEN 1 THEN 'GB' WHEN 2 THEN ' in' WHEN 3 THEN 'BR' "
-    "WHEN 4 THEN 'zz' WHEN 5 THEN 'jp ' END AS country",
-    "CASE user_id % 11 WHEN 0 THEN 'Googlebot/2.1' WHEN 1 THEN NULL "
-    "WHEN 2 THEN 'python-requests/2.31.0' WHEN 3 THEN 'AhrefsBot/7.0' WHEN 4 THEN 'curl/8.5' "
-    "ELSE 'Mozilla/5.0 Chrome/124.0' END AS user_agent",
+    "CASE WHEN value < 10 THEN 'Desktop' WHEN value < 30 THEN 'mobile ' "
+    "WHEN value < 70 THEN 'tablet' END AS device",
+    "CASE WHEN value < 5 THEN 'us' WHEN value < 15 THEN 'GB' WHEN value < 25 THEN ' in' "
+    "WHEN value < 40 THEN 'BR' WHEN value < 60 THEN 'zz' WHEN value < 90 THEN 'jp ' END AS country",
+    "CASE WHEN value < 4 THEN 'Googlebot/2.1' WHEN value < 8 THEN NULL "
+    "WHEN value < 12 THEN 'python-requests/2.31.0' WHEN value < 14 THEN 'AhrefsBot/7.0' "
+    "WHEN value < 16 THEN 'curl/8.5' ELSE 'Mozilla/5.0 Chrome/124.0' END AS user_agent",
 ]
 
 
