@@ -62,10 +62,9 @@ def landing_lines(events: DataFrame) -> DataFrame:
         text, day = at, F.to_date(event_time("event_timestamp"))
     else:
         text, day = F.date_format(at, LANDING_TIME_FORMAT), F.to_date(at)
-    fields = [
-        text.alias(f.name) if f.name == "event_timestamp" else F.col(f.name).cast("string").alias(f.name)
-        for f in T.StructType.fromDDL(LANDING_SCHEMA)
-    ]
+    texts = {name: F.col(name).cast("string") for name in T.StructType.fromDDL(LANDING_SCHEMA).names}
+    texts["event_timestamp"] = text
+    fields = [column.alias(name) for name, column in texts.items()]
     return events.select(*fields, day.alias("event_date"))
 
 

@@ -153,7 +153,8 @@ ORACLE: dict[str, str] = {
         SELECT *, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM ({ENRICHED})""",
     "landing_counts": f"""
         WITH {LANDED_CTE}
-        SELECT CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date, count(*) AS rows FROM raw GROUP BY 1""",
+        SELECT CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date, count(*) AS rows
+        FROM raw GROUP BY 1""",
     "landing_day_folders": f"""
         WITH {LANDED_CTE}
         SELECT coalesce(CAST(CAST(event_timestamp AS DATE) AS VARCHAR),
