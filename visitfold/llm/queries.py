@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitfold.llm import quality, url_filter
+from visitfold.llm import packing, quality, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.cut_pieces(docs, byte_bpe()).select(
+        F.col("doc.doc_id").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
+    )
+    return packing.pack(pieces)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.quality(docs.select("doc_id", "text"))
@@ -39,6 +53,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
     "op9_url_filters": op9_url_filters,
 }
