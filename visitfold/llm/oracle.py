@@ -30,3 +30,20 @@ SELECT page_id, host, path, rule_host || rule_path AS rule,
        coalesce(rule_verdict, 'allow') AS verdict
 FROM fits WHERE place = 1
 """
+
+ORACLE["op3_warc"] = """
+WITH coded AS (
+    SELECT page_id, sha1(coalesce(html, '')) AS payload_digest,
+           octet_length(encode(coalesce(html, ''))) AS payload_bytes
+    FROM pages
+), groups AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS keeper
+    FROM coded
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM keeper THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM keeper THEN keeper
+       END AS refers_to
+FROM groups
+"""

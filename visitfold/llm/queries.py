@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitfold.llm import packing, quality, url_filter
+from visitfold.llm import ann, packing, quality, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = warc.read_archives(spark, warc.write_archives(pages), payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def byte_bpe() -> str:
     import public_tokenizers
 
@@ -26,6 +32,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.quality(docs.select("doc_id", "text"))
@@ -53,7 +64,9 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_warc": op3_warc,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_learned_partitions": op6_learned_partitions,
     "op7_quality_rules": op7_quality_rules,
     "op9_url_filters": op9_url_filters,
 }
