@@ -47,3 +47,96 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        END AS refers_to
 FROM groups
 """
+
+# Seed 7, blocks of 16,384 words, shards of 64 blocks, four passes that fill a
+# source's last block.
+_FILL = """
+), room{this} AS (
+    SELECT *, "left" - sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY place) AS room
+    FROM fit{last}
+), sum{this} AS (
+    SELECT *, NOT fits AND size <= room AS small,
+           sum(CASE WHEN NOT fits AND size <= room THEN size ELSE 0 END) OVER (
+               PARTITION BY place ORDER BY size DESC, key) AS total
+    FROM room{this}
+), fit{this} AS (
+    SELECT place, key, size, "left", fits OR (small AND total <= room) AS fits FROM sum{this}"""
+
+ORACLE["op1_source_mixing"] = (
+    r"""
+WITH units AS (
+    SELECT doc_id, source,
+           md5('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(md5(text), 'null')) AS key,
+           CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+    FROM documents
+), sizes AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM units GROUP BY source
+), weighed AS (
+    SELECT *, place % 3 + 1 AS weight
+    FROM (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sizes)
+), levels AS (
+    SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (
+                  ORDER BY source_size / weight, place
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / CAST(sum(weight) OVER (ORDER BY source_size / weight, place
+                  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+    FROM weighed
+), targets AS (
+    SELECT source, source_size, place,
+           coalesce(least(3.0 * source_size, weight * CAST((
+               SELECT level FROM levels WHERE 3 * source_size >= weight * level
+               ORDER BY source_size / weight, place LIMIT 1) AS DOUBLE)), 3.0 * source_size) AS target
+    FROM weighed
+), goals AS (
+    SELECT *, CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END AS full_passes,
+           greatest(1, CAST(ceil(source_size / 16384) AS BIGINT)) AS blocks
+    FROM targets
+), placed AS (
+    SELECT u.doc_id, u.key, u.size, g.place, g.source_size, g.target, g.full_passes,
+           CAST(round(g.target) AS BIGINT) - full_passes * g.source_size AS rest,
+           CAST('0x' || substr(u.key, 25, 8) AS BIGINT) % g.blocks AS block
+    FROM units AS u JOIN goals AS g ON u.source IS NOT DISTINCT FROM g.source
+), blocks AS (
+    SELECT place, block, full_passes, rest, sum(size) AS words,
+           md5('7:' || place || ':' || block) AS block_key
+    FROM placed GROUP BY place, block, full_passes, rest
+), room AS (
+    SELECT *, rest - coalesce(sum(words) OVER (PARTITION BY place ORDER BY block_key
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "left"
+    FROM blocks
+), drawn AS (
+    SELECT *, rest > 0 AND words <= "left" AS whole,
+           NOT (rest > 0 AND words <= "left") AND "left" > 0 AS last_block
+    FROM room
+), tickets AS (
+    SELECT place, block, copy, md5('7:' || place || ':' || block || ':' || copy) AS ticket
+    FROM (SELECT place, block, unnest(range(1, full_passes + (whole OR last_block)::INT + 1)) AS copy
+          FROM drawn)
+), dealt AS (
+    SELECT place, block, list(shard ORDER BY copy) AS shards FROM (
+        SELECT *, CAST(floor((row_number() OVER (ORDER BY ticket) - 1)
+                       * ceil(count(*) OVER () / 64) / count(*) OVER ()) AS INT) AS shard
+        FROM tickets)
+    GROUP BY place, block
+), fit0 AS (
+    SELECT p.place, p.key, p.size, d."left",
+           sum(p.size) OVER (PARTITION BY p.place ORDER BY p.key) <= d."left" AS fits
+    FROM placed AS p JOIN drawn AS d ON p.place = d.place AND p.block = d.block
+    WHERE d.last_block AND p.size > 0"""
+    + "".join(_FILL.format(last=k, this=k + 1) for k in range(4))
+    + """
+), settled AS (
+    SELECT DISTINCT place, key FROM fit4 WHERE fits
+), counted AS (
+    SELECT p.*, d.full_passes + (d.whole OR s.key IS NOT NULL)::INT AS copies, t.shards
+    FROM placed AS p
+    JOIN drawn AS d ON p.place = d.place AND p.block = d.block
+    LEFT JOIN dealt AS t ON p.place = t.place AND p.block = t.block
+    LEFT JOIN settled AS s ON p.place = s.place AND p.key = s.key
+)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken,
+       CAST(copies AS INT) AS copies,
+       coalesce(array_to_string(list_slice(shards, 1, copies), ','), '') AS shards
+FROM counted
+"""
+)

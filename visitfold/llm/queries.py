@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitfold.llm import ann, packing, quality, url_filter, warc
+from visitfold.llm import ann, mixing, packing, quality, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mixture(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        *("doc_id", "size", "source_size", "target", "taken", "copies"),
+        F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards"),
+    )
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     found = warc.read_archives(spark, warc.write_archives(pages), payload=False)
@@ -64,6 +72,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
     "op3_warc": op3_warc,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_learned_partitions": op6_learned_partitions,
