@@ -22,15 +22,15 @@ from visitfold.llm.common import WORD, boxed, settle
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 
-BLOCK_WORDS = 16_384
-SHARD_BLOCKS = 64
+BLOCK_WORDS = 65_536
+SHARD_BLOCKS = 16
 SEED = 7
 
 #: Leading hexadecimal digits of a key that make its bucket: 4,096 buckets.
 BUCKET_DIGITS = 3
 RANGES = 64
 #: Passes that fill the gap in a source's last block with ever smaller documents.
-FILLS = 4
+FILLS = 6
 
 
 def word_count(text: Column) -> Column:

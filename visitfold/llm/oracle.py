@@ -48,7 +48,7 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM groups
 """
 
-# Seed 7, blocks of 16,384 words, shards of 64 blocks, four passes that fill a
+# Seed 7, blocks of 65,536 words, shards of 16 blocks, six passes that fill a
 # source's last block.
 _FILL = """
 ), room{this} AS (
@@ -89,7 +89,7 @@ WITH units AS (
     FROM weighed
 ), goals AS (
     SELECT *, CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END AS full_passes,
-           greatest(1, CAST(ceil(source_size / 16384) AS BIGINT)) AS blocks
+           greatest(1, CAST(ceil(source_size / 65536) AS BIGINT)) AS blocks
     FROM targets
 ), placed AS (
     SELECT u.doc_id, u.key, u.size, g.place, g.source_size, g.target, g.full_passes,
@@ -115,7 +115,7 @@ WITH units AS (
 ), dealt AS (
     SELECT place, block, list(shard ORDER BY copy) AS shards FROM (
         SELECT *, CAST(floor((row_number() OVER (ORDER BY ticket) - 1)
-                       * ceil(count(*) OVER () / 64) / count(*) OVER ()) AS INT) AS shard
+                       * ceil(count(*) OVER () / 16) / count(*) OVER ()) AS INT) AS shard
         FROM tickets)
     GROUP BY place, block
 ), fit0 AS (
@@ -123,10 +123,10 @@ WITH units AS (
            sum(p.size) OVER (PARTITION BY p.place ORDER BY p.key) <= d."left" AS fits
     FROM placed AS p JOIN drawn AS d ON p.place = d.place AND p.block = d.block
     WHERE d.last_block AND p.size > 0"""
-    + "".join(_FILL.format(last=k, this=k + 1) for k in range(4))
+    + "".join(_FILL.format(last=k, this=k + 1) for k in range(6))
     + """
 ), settled AS (
-    SELECT DISTINCT place, key FROM fit4 WHERE fits
+    SELECT DISTINCT place, key FROM fit6 WHERE fits
 ), counted AS (
     SELECT p.*, d.full_passes + (d.whole OR s.key IS NOT NULL)::INT AS copies, t.shards
     FROM placed AS p
