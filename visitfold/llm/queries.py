@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitfold.llm import ann, mixing, packing, quality, url_filter, warc
+from visitfold.llm import ann, mixing, packing, quality, simhash, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,16 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs.select("doc_id", "text"))
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     found = warc.read_archives(spark, warc.write_archives(pages), payload=False)
@@ -73,6 +83,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_learned_partitions": op6_learned_partitions,
