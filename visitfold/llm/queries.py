@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitfold.llm import ann, mixing, packing, quality, simhash, url_filter, warc
+from visitfold.llm import ann, line_dedup, mixing, packing, quality, simhash, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,16 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"),
+    )
+
+
 def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
@@ -86,6 +96,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_line_dedup": op5_line_dedup,
     "op6_learned_partitions": op6_learned_partitions,
     "op7_quality_rules": op7_quality_rules,
     "op9_url_filters": op9_url_filters,
