@@ -16,15 +16,26 @@ from visitfold.sources.scratch import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Spark's setting that removes an execution's shuffle files when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(rows: DataFrame, label: str) -> DataFrame:
     """Write rows below the cluster's shared folder and read them back.
 
     Cuts lineage, and what is read twice is the same both times, also when an
-    executor is lost in between.
+    executor is lost in between. The shuffles behind the rows are not needed again, so
+    their files go as soon as the table is written.
     """
-    path = scratch_dir(rows.sparkSession, label)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    spark = rows.sparkSession
+    path = scratch_dir(spark, label)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def utf8(text: str | Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitfold.llm import ann, line_dedup, mixing, packing, quality, simhash, url_filter, warc
+from visitfold.llm import ann, line_dedup, mixing, packing, quality, simhash, substring_dedup, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = substring_dedup.remove_repeats(docs)
+    return rows.select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 # Fixed value: the rules that the query states.
 URL_RULES = [
     ("net", "/", "block"),
@@ -99,5 +107,6 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_learned_partitions": op6_learned_partitions,
     "op7_quality_rules": op7_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filters": op9_url_filters,
 }
