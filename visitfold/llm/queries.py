@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitfold.llm import ann, line_dedup, mixing, packing, quality, simhash, substring_dedup, url_filter, warc
+from visitfold.llm import ann, line_dedup, lm, mixing, packing, quality, simhash, substring_dedup, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +99,14 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        *("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"),
+    )
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_simhash": op2_simhash,
@@ -109,4 +117,5 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filters": op9_url_filters,
+    "op10_lm_scoring": op10_lm_scoring,
 }
