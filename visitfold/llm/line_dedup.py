@@ -291,8 +291,10 @@ def drop_repeated_lines(
         docs[f"`{text}`"].alias("text"),
     )
     same = F.col("number").eqNullSafe(F.col("doc_id")) & (F.col("code") == F.col("key"))
-    lines = F.split("text", "\n", -1)
-    left = F.filter(lines, lambda line, at: ~F.array_contains("removed", at))
     changed = F.col("removed").isNotNull()
-    kept = F.when(changed, F.array_join(left, "\n")).otherwise(F.col("text"))
-    return rows.join(cuts, same, "left").select("doc", kept.alias("text"), changed.alias("changed"))
+    split = rows.join(cuts, same, "left").select(
+        "doc", "text", "removed", F.when(changed, F.split("text", "\n", -1)).alias("lines")
+    )
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("removed"))
+    kept = F.array_join(F.transform(left, lambda at: F.element_at("lines", at + 1)), "\n")
+    return split.select("doc", F.when(changed, kept).otherwise(F.col("text")).alias("text"), changed.alias("changed"))

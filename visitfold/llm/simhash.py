@@ -61,8 +61,10 @@ def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """Every row as ``doc`` with its fingerprint, a long of 64 bits."""
+def fingerprints(
+    docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WORDS, columns: list[str] | None = None
+) -> DataFrame:
+    """Every row as ``doc`` (all columns but the text, or those given) with its fingerprint, a long."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,7 +74,9 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WOR
                 [batch.column("doc"), pa.array(found.view(np.int64))], names=["doc", "fingerprint"]
             )
 
-    rows = docs.select(boxed(docs).alias("doc"), utf8(docs[f"`{text}`"]).alias("text"))
+    names = columns or [name for name in docs.columns if name != text]
+    carried = F.struct(*[docs[f"`{name}`"] for name in names])
+    rows = docs.select(carried.alias("doc"), utf8(docs[f"`{text}`"]).alias("text"))
     return rows.mapInArrow(work, f"doc {rows.schema['doc'].dataType.simpleString()}, fingerprint long")
 
 
@@ -165,22 +169,41 @@ def near_duplicates(
     doc_id: str = "doc_id",
     text: str = "text",
     shingle: int = SHINGLE_WORDS,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """Every row as ``doc`` with its fingerprint and component_id.
+    """Every row as ``doc`` with its fingerprint, group and component_id.
 
-    Rows whose fingerprints differ in at most two bits are linked; component_id is the
-    smallest doc_id reachable, its own included. Equal fingerprints are one node, so groups
+    ``doc`` has all columns but the text, or those given, the id among them. Rows whose
+    fingerprints differ in at most two bits are linked; ``group`` names what is linked and
+    component_id is the smallest doc_id in it. Equal fingerprints are one node, so groups
     of copies are never expanded. Null and empty texts have fingerprint zero and are linked
-    like others; a null doc_id does not count, and a component of such has a null id.
+    like others; a null doc_id does not count, and a group without ids has a null one.
     Repeated rows are kept. An empty table gives no rows.
     """
-    rows = settle(fingerprints(docs, text, shingle), "fingerprints")
+    rows = settle(fingerprints(docs, text, shingle, columns), "fingerprints")
     number = F.col(f"doc.`{doc_id}`")
     nodes = settle(rows.groupBy("fingerprint").agg(F.min(number).alias("first")), "nodes")
     roots = components(links(nodes))
     rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
+        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("group")
     )
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = settle(rooted.join(smallest, "root").select("fingerprint", "component_id"), "components")
-    return rows.join(named, "fingerprint").select("doc", "fingerprint", "component_id")
+    smallest = rooted.groupBy("group").agg(F.min("first").alias("component_id"))
+    named = settle(rooted.join(smallest, "group").select("fingerprint", "group", "component_id"), "components")
+    return rows.join(named, "fingerprint").select("doc", "fingerprint", "group", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS
+) -> DataFrame:
+    """One row of each group of near-duplicates: that with the smallest doc_id, a null one last.
+
+    Of rows equal in doc_id and text one stays.
+    """
+    key = F.xxhash64(docs[f"`{doc_id}`"], docs[f"`{text}`"])
+    slim = docs.select(docs[f"`{doc_id}`"].alias("id"), key.alias("key"), docs[f"`{text}`"].alias("text"))
+    found = near_duplicates(slim, "id", "text", shingle, ["id", "key"])
+    order = F.struct(F.col("doc.id").isNull().alias("last"), F.col("doc.id").alias("id"), F.col("doc.key").alias("key"))
+    stay = settle(found.groupBy("group").agg(F.min(order).alias("stay")).select("stay.id", "stay.key"), "stay")
+    rows = docs.select(boxed(docs).alias("doc"), docs[f"`{doc_id}`"].alias("number"), key.alias("code"))
+    same = F.col("number").eqNullSafe(F.col("id")) & (F.col("code") == F.col("key"))
+    return rows.join(stay, same, "left_semi").dropDuplicates(["number", "code"]).select("doc.*")
