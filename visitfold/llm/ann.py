@@ -205,6 +205,7 @@ def rank_block(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataF
     if not len(queries) or not len(vectors):
         return pd.DataFrame({n: pd.Series(dtype=t) for n, t in zip(names, ("int64", "Int64", "float64"))})
     vectors = vectors.drop_duplicates(["vec_id", "vector"])
+    queries = queries.drop_duplicates(["query_id", "vector"])
     groups = vectors.sort_values("vec_id", na_position="last").groupby("vector", sort=False)["vec_id"]
     heads = vectors.loc[groups.head(k + 1).index].sort_values("vec_id", na_position="last")
     code, raw = pd.factorize(heads["vector"])
@@ -227,11 +228,16 @@ def rank_block(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataF
         count = begin[u + 1] - begin[u]
         at = by_code[np.repeat(begin[u], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
         part = pd.DataFrame(
-            {"query_id": np.repeat(own[a + q], count), "vec_id": ids[at], "score": np.repeat(exact, count)}
+            {
+                "query_id": np.repeat(own[a + q], count),
+                "row": np.repeat(q, count),
+                "vec_id": ids[at],
+                "score": np.repeat(exact, count),
+            }
         )
         part = part[(part["vec_id"] != part["query_id"]) | part["vec_id"].isna()]
         part = part.sort_values(["score", "vec_id"], ascending=[False, True], na_position="last")
-        found.append(part.groupby("query_id", sort=False).head(k))
+        found.append(part.groupby("row", sort=False).head(k))
     return pd.concat(found)[names]
 
 

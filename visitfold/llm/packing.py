@@ -207,7 +207,7 @@ def _merge(fill: np.ndarray, members: pa.ListArray, capacity: int) -> tuple[np.n
     flat = members.values.take(pa.array(_spread(ends[:-1][order], np.diff(ends)[order])))
     count = np.bincount(place, weights=np.diff(ends)).astype(np.int64)
     total = np.bincount(place, weights=fill).astype(np.int64)
-    return total, pa.ListArray.from_arrays(pa.array(offsets(count), pa.int32()), flat)
+    return total, pa.ListArray.from_arrays(pa.array(offsets(count), pa.int32()), flat, type=members.type)
 
 
 def _round(bins: DataFrame, level: int, last: bool, capacity: int, free: float, chunk: int) -> DataFrame:
