@@ -11,14 +11,16 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from visitfold.lake import SPARK_SETTINGS  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("visitfold-tests")
+        .config(map=SPARK_SETTINGS)
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

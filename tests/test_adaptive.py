@@ -97,6 +97,13 @@ def test_salted_join_spreads_the_hot_key(spark, hot_events, users):
             hot_events, users, "user_id", threshold=1000, factor=8, spread_by=["event_id"]
         )
         assert joined.where(F.col("name") == F.upper("user_id")).count() == 60_000
+        assert "SortMergeJoin" in plan(joined)
+    with settings(spark, **SMALL_LIMITS, spark__sql__adaptive__enabled="false"):
+        joined = salted_left_join(
+            hot_events, users, "user_id", threshold=1000, factor=8, spread_by=["event_id"]
+        )
+        tasks = joined.where("user_id = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 2 and max(r["count"] for r in tasks) < 20_000
 
 
 def test_a_heavy_day_is_written_as_several_files(spark, hot_events, tmp_path):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 from pathlib import Path
 
 import pytest
@@ -124,7 +125,10 @@ def test_late_rows_are_dropped_one_batch_behind(spark, tmp_path):
     land(lake, "b", click("u2", "16:00:00.000"), order=2)  # watermark 15:00 from batch c on
     land(lake, "c", click("late", "10:00:00.000"), click("u3", "15:30:00.000"), order=3)
     land(lake, "d", line(user_id="end", event_timestamp=LATER), order=4)
-    assert starts(run(spark, lake, files_per_batch=1)) == [
+    with pytest.raises(RuntimeError, match="1 rows came after the watermark"):
+        jobs.stream_job(spark, lake, sink="parquet", files_per_batch=1)
+    # what came in time is written all the same
+    assert starts(read_table(spark, lake.stream_table("live_sessions"))) == [
         ("u1", "12:00"),
         ("u2", "16:00"),
         ("u3", "15:30"),
@@ -163,7 +167,62 @@ def test_unawaited_query_is_returned(spark, tmp_path):
     query = jobs.stream_job(spark, lake, sink="parquet", wait=False)
     assert query.name == "live_sessions"
     assert query.awaitTermination(120)
-    assert spark.conf.get(jobs.MERGE_BEFORE_SHUFFLE) == "false"
+
+
+@pytest.fixture(scope="module")
+def shuffled_hours():
+    """24 files of an hour each, with modification times in no order."""
+    order = list(range(24))
+    random.Random(6).shuffle(order)
+
+    def build(lake):
+        for hour, place in enumerate(order):
+            users = [f"u{n}" for n in range(hour % 3, 8, 3)]
+            land(lake, f"h{hour:02}", *[click(u, f"{hour:02}:{7 * int(u[1]):02}:00.000") for u in users], order=place)
+        newest = line(user_id="end", event_timestamp="2026-08-04T00:00:00.000Z")
+        land(lake, "zz", newest, order=99)
+
+    return build
+
+
+def test_sessions_do_not_depend_on_the_batch_size(spark, tmp_path, shuffled_hours):
+    found = []
+    for files_per_batch in (1, 8, 1000):
+        lake = Lake(str(tmp_path / str(files_per_batch)))
+        shuffled_hours(lake)
+        day = Settings(lateness_seconds=24 * 3600)
+        query = jobs.stream_job(spark, lake, day, sink="parquet", files_per_batch=files_per_batch)
+        rows = read_table(spark, lake.stream_table(query.name)).collect()
+        found.append(sorted(tuple(r) for r in rows))
+    assert found[0] == found[1] == found[2]
+    assert sum(row[4] for row in found[0]) == sum(len(range(hour % 3, 8, 3)) for hour in range(24))
+
+
+def test_too_little_lateness_is_told(spark, tmp_path, shuffled_hours):
+    for files_per_batch, late in ((1, True), (1000, False)):
+        lake = Lake(str(tmp_path / str(files_per_batch)))
+        shuffled_hours(lake)
+        options = {"sink": "parquet", "files_per_batch": files_per_batch}
+        if late:
+            with pytest.raises(RuntimeError, match="lateness_seconds above 3600"):
+                jobs.stream_job(spark, lake, **options)
+        else:
+            jobs.stream_job(spark, lake, **options)
+
+
+def test_late_rows_may_be_allowed(spark, tmp_path, shuffled_hours):
+    lake = Lake(str(tmp_path))
+    shuffled_hours(lake)
+    query = jobs.stream_job(spark, lake, sink="parquet", files_per_batch=1, allow_late=True)
+    assert 0 < read_table(spark, lake.stream_table(query.name)).count() < 60
+
+
+def test_state_is_kept_by_rocksdb(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    land(lake, "a", click("u1", "10:00:00.000"))
+    query = jobs.stream_job(spark, lake, sink="parquet")
+    metrics = query.lastProgress["stateOperators"][0]["customMetrics"]
+    assert any(name.startswith("rocksdb") for name in metrics)
 
 
 def test_unknown_sink(spark, tmp_path):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from visitfold import fixed
+from visitfold.operators.skew import SPREAD_PARTS
 
 # What a session running these jobs should have; results depend on the time zone, the
 # handling of hot keys on adaptive execution.
@@ -13,6 +14,12 @@ SPARK_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Open sessions and remembered event keys stay on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # A hot user sends a few partial sessions per input task to the state store, not events.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
@@ -64,7 +71,12 @@ class Settings:
     partition_by: tuple[str, ...] = ("event_date",)
     top_paths: int = fixed.TOP_PATHS
     top_keys: int = fixed.TOP_KEYS
+    # How much older than the newest event an event may be when the stream reads it. Two
+    # gaps if not given.
+    lateness_seconds: int | None = None
+    # A key is spread if it holds more than this part of the rows.
+    spread_parts: int = SPREAD_PARTS
 
     @property
     def watermark_seconds(self) -> int:
-        return 2 * self.gap_seconds
+        return 2 * self.gap_seconds if self.lateness_seconds is None else self.lateness_seconds

@@ -46,7 +46,8 @@ def tag_sessions(
     The numbering pass reads only user and time. Its result has one row per user and
     slice, so the join back neither drops nor repeats events; where a single slice is
     hot, adaptive execution splits the event side of the join. Events without user
-    or time belong to no session and get nulls. Ids are hashed once per slice.
+    or time belong to no session and get nulls. Only the index goes through the join;
+    ids, eight times as wide, are hashed after it.
     """
     at = F.col("event_timestamp")
     slices = (
@@ -59,16 +60,14 @@ def tag_sessions(
     )
     numbered = number_slices(
         slices, gap_ticks(gap_seconds, exact), F.col("first_tick"), F.col("last_tick")
-    ).select(
-        "user_id",
-        "_slice",
-        "session_index",
-        session_id("user_id", "session_index").alias("session_id"),
+    ).select("user_id", "_slice", "session_index")
+    number = F.when(
+        F.col("session_index").isNotNull(), session_id("user_id", "session_index")
     )
     return (
         events.withColumn("_slice", slice_start(at, gap_seconds, exact))
         .join(numbered, ["user_id", "_slice"], "left")
-        .select(*events.columns, "session_index", "session_id")
+        .select(*events.columns, "session_index", number.alias("session_id"))
     )
 
 

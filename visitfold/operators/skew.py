@@ -7,35 +7,55 @@ from pyspark.sql import functions as F
 
 from visitfold.fixed import HOT_KEY_THRESHOLD, SALT_FACTOR, TOP_KEYS
 from visitfold.functions.salting import row_salt
+from visitfold.sources.scratch import scratch_dir
+from visitfold.sources.tables import write_table
 
-# At most this many keys are treated as hot, so the hot set can be broadcast. They are
-# the largest ones: a key left out holds less than 1/1000 of the rows.
-MAX_HOT_KEYS = 1000
+# A key is spread if it holds more than one part's share of the rows. Fewer than this many
+# keys can do so, whatever the data. A multiple of the shuffle partitions is a good value.
+SPREAD_PARTS = 1000
 
 
 def naive_counts(events: DataFrame, key: str = "user_id") -> DataFrame:
     return events.groupBy(key).agg(F.count(F.lit(1)).alias("event_count"))
 
 
-def key_skew_report(events: DataFrame, top_n: int = TOP_KEYS, key: str = "user_id") -> DataFrame:
+def largest_keys(counts: DataFrame, top_n: int = TOP_KEYS, key: str = "user_id") -> DataFrame:
     """The keys with most rows; equal counts are ordered by key."""
-    return (
-        naive_counts(events, key).orderBy(F.col("event_count").desc(), F.col(key)).limit(top_n)
-    )
+    return counts.orderBy(F.col("event_count").desc(), F.col(key)).limit(top_n)
+
+
+def key_skew_report(events: DataFrame, top_n: int = TOP_KEYS, key: str = "user_id") -> DataFrame:
+    return largest_keys(naive_counts(events, key), top_n, key)
 
 
 def hot_keys(
     events: DataFrame, threshold: int = HOT_KEY_THRESHOLD, key: str = "user_id"
 ) -> DataFrame:
-    """Keys with more than ``threshold`` rows, largest first, at most ``MAX_HOT_KEYS``.
+    """Every key with more than ``threshold`` rows; their number grows with the data."""
+    counts = naive_counts(events, key)
+    return counts.where(F.col(key).isNotNull() & (F.col("event_count") > threshold)).select(key)
+
 
-    The set only steers how work is spread; results never depend on it.
+def written_counts(events: DataFrame, key: str = "user_id") -> DataFrame:
+    """``naive_counts`` as a table in the scratch folder, for use more than once."""
+    path = scratch_dir(events.sparkSession, "counts")
+    counts = naive_counts(events, key)
+    write_table(counts, path)
+    return events.sparkSession.read.schema(counts.schema).parquet(path)
+
+
+def heavy_keys(
+    counts: DataFrame, parts: int = SPREAD_PARTS, key: str = "user_id", threshold: int = 0
+) -> DataFrame:
+    """Keys with more than ``threshold`` rows and more than a ``parts``-th of all rows.
+
+    ``counts`` are written counts, so the set is the same wherever it is used. It has fewer
+    than ``parts`` keys by arithmetic and is broadcast for that reason; a key that is not in
+    it holds at most one part's share, or ``threshold`` rows.
     """
-    counts = naive_counts(events, key).where(
-        F.col(key).isNotNull() & (F.col("event_count") > threshold)
-    )
-    largest = counts.orderBy(F.col("event_count").desc(), F.col(key)).limit(MAX_HOT_KEYS)
-    return largest.select(key)
+    total = counts.agg(F.sum("event_count")).first()[0] or 0
+    heavy = (F.col("event_count") > threshold) & (F.col("event_count") * parts > total)
+    return F.broadcast(counts.where(F.col(key).isNotNull() & heavy).select(key))
 
 
 def salted(
@@ -49,12 +69,13 @@ def salted(
 
     A missing key counts as hot: it matches nothing, but may well be the largest group.
     The salt is hashed from the ``spread_by`` columns. Name a narrow one that differs
-    between a key's rows, or the scan has to read every column.
+    between a key's rows, or the scan has to read every column. ``hot`` is joined as it
+    comes: ``heavy_keys`` is broadcast, other sets by their size.
     """
     bucket = row_salt(spread_by or events.columns, factor)
     if hot is None:
         return events.withColumn("salt", bucket)
-    marked = events.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    marked = events.join(hot.withColumn("_hot", F.lit(True)), key, "left")
     spread = F.col("_hot") | F.col(key).isNull()
     return marked.select(*events.columns, F.when(spread, bucket).otherwise(F.lit(0)).alias("salt"))
 
@@ -92,16 +113,18 @@ def salted_left_join(
     threshold: int = HOT_KEY_THRESHOLD,
     factor: int = SALT_FACTOR,
     spread_by: list[str] | None = None,
+    parts: int = SPREAD_PARTS,
 ) -> DataFrame:
-    """Left join on ``key`` with the hot keys of ``big`` spread over ``factor`` tasks.
+    """Left join on ``key`` with the heavy keys of ``big`` spread over ``factor`` tasks.
 
-    Only hot keys of ``small`` are repeated, once per salt.
+    The heavy keys are found once, from counts that are written first, so both sides agree
+    on them. Only their rows of ``small`` are repeated, once per salt.
     """
-    hot = hot_keys(big, threshold, key)
+    hot = heavy_keys(written_counts(big, key), parts, key, threshold)
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(factor - 1))).otherwise(
         F.array(F.lit(0))
     )
-    spread = small.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left").select(
+    spread = small.join(hot.withColumn("_hot", F.lit(True)), key, "left").select(
         *small.columns, F.explode(salts).alias("salt")
     )
     return salted(big, factor, key, hot, spread_by).join(spread, [key, "salt"], "left").drop("salt")
@@ -113,13 +136,16 @@ def skew_check(
     key: str = "user_id",
     hot: DataFrame | None = None,
     spread_by: list[str] | None = None,
+    naive: DataFrame | None = None,
 ) -> DataFrame:
     """One row: both totals, how many keys differ, the largest key, the factor.
 
-    With ``hot`` given, only those keys are salted.
+    With ``hot`` given, only those keys are salted. ``naive`` are plain counts that are
+    already there.
     """
     zero = F.lit(0).cast("long")
-    both = naive_counts(events, key).select(
+    plain = naive_counts(events, key) if naive is None else naive
+    both = plain.select(
         key, F.col("event_count").alias("naive"), zero.alias("salted")
     ).unionByName(
         salted_counts(events, factor, key, hot, spread_by).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,28 +13,46 @@ from visitfold.operators.cleaning import clean_events, drop_repeats, identified
 from visitfold.operators.dimensions import enrich
 from visitfold.operators.sessions import build_sessions
 from visitfold.sources.landing import CORRUPT, read_landing, stream_landing, type_events
-from visitfold.sources.tables import read_table, write_table
+from visitfold.sources.tables import between_days, read_table, write_table
 from visitfold.streaming import live
 
-# Merge a user's windows inside each input task first, so that a hot user sends a few
-# partial sessions per task to the state store and not every event.
-MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-
-
 def silver_events(bronze: DataFrame) -> DataFrame:
     """Clean, single, enriched events of people."""
     return enrich(drop_repeats(clean_events(bronze.drop(CORRUPT))))
 
 
-def bronze_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> int:
+def bronze_job(
+    spark: SparkSession,
+    lake: Lake,
+    settings: Settings = Settings(),
+    since: str | date | None = None,
+    until: str | date | None = None,
+) -> int:
+    """All days, or only those from ``since`` up to and including ``until``.
+
+    Folder names of the landing zone are not believed, so a range still reads every line.
+    """
     # Map-only: a landing file holds one day, so each task writes few files as it is.
-    events = type_events(read_landing(spark, lake.landing))
-    return write_table(events, lake.bronze, list(settings.partition_by))
+    events = between_days(type_events(read_landing(spark, lake.landing)), since, until)
+    return write_table(events, lake.bronze, list(settings.partition_by), replace=_span(since, until))
 
 
-def silver_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> int:
-    events = silver_events(read_table(spark, lake.bronze))
-    return write_table(events, lake.silver, list(settings.partition_by), gather=True)
+def silver_job(
+    spark: SparkSession,
+    lake: Lake,
+    settings: Settings = Settings(),
+    since: str | date | None = None,
+    until: str | date | None = None,
+) -> int:
+    """All days, or a range: copies have equal times, so a day's rows depend on that day alone."""
+    events = silver_events(read_table(spark, lake.bronze, since, until))
+    return write_table(
+        events, lake.silver, list(settings.partition_by), gather=True, replace=_span(since, until)
+    )
+
+
+def _span(since: str | date | None, until: str | date | None) -> str:
+    return "table" if since is None and until is None else "days"
 
 
 def sessions_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> int:
@@ -57,13 +77,17 @@ def gold_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -
 
 
 def skew_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> dict[str, int]:
-    """How uneven users are, and that salting the hot ones changes no count."""
+    """How uneven users are, and that salting the heavy ones changes no count.
+
+    Plain counts are written once; report, heavy users and comparison read them.
+    """
     events = read_table(spark, lake.silver)
-    hot = skew.hot_keys(events, settings.hot_threshold)
+    counts = skew.written_counts(events)
+    heavy = skew.heavy_keys(counts, settings.spread_parts, threshold=settings.hot_threshold)
     tables = {
-        "key_skew_report": skew.key_skew_report(events, settings.top_keys),
+        "key_skew_report": skew.largest_keys(counts, settings.top_keys),
         "skew_check": skew.skew_check(
-            events, settings.salt_factor, hot=hot, spread_by=["event_id"]
+            events, settings.salt_factor, hot=heavy, spread_by=["event_id"], naive=counts
         ),
     }
     return {name: write_table(table, lake.gold(name)) for name, table in tables.items()}
@@ -92,11 +116,18 @@ def stream_job(
     files_per_batch: int = 1000,
     wait: bool = True,
     timeout: int | None = None,
+    allow_late: bool = False,
 ) -> StreamingQuery:
     """Sessions of everything in the landing zone that no earlier run has read.
 
     ``clean=False`` keeps bots and copies in. ``sink`` is ``console`` or ``parquet``;
     each keeps its own progress.
+
+    Files are read by modification time, ``files_per_batch`` at a time, and a batch drops
+    what is older than the newest event of the batches before it less the lateness. Results
+    do not depend on the batch size as long as the lateness covers that disorder. A waited
+    run that dropped rows raises, unless ``allow_late``; its sessions are written all the
+    same. History that lies in no order belongs to the batch job.
     """
     if sink not in ("console", "parquet"):
         raise ValueError(f"unknown sink: {sink}")
@@ -112,13 +143,15 @@ def stream_job(
         writer = live.to_table(writer, lake.stream_table(name))
     else:
         writer = live.to_console(writer)
-    # A query copies the session's settings when it starts.
-    merging = spark.conf.get(MERGE_BEFORE_SHUFFLE)
-    spark.conf.set(MERGE_BEFORE_SHUFFLE, True)
-    try:
+    if not wait:
+        return writer.start()
+    with live.late_rows(spark) as late:
         query = writer.start()
-    finally:
-        spark.conf.set(MERGE_BEFORE_SHUFFLE, merging)
-    if wait:
-        query.awaitTermination(timeout)
+        ended = query.awaitTermination(timeout)
+        dropped = late.of(query) if ended else 0
+    if dropped and not allow_late:
+        raise RuntimeError(
+            f"{dropped} rows came after the watermark had passed them; "
+            f"raise lateness_seconds above {settings.watermark_seconds} or allow_late"
+        )
     return query

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below the cluster's shared ``spark.checkpoint.dir``.
+    """A new folder below ``spark.checkpoint.dir``, or else below the warehouse.
 
-    Only a local master may fall back to a folder of this machine; executors on
-    other machines could not read it.
+    Both are places that the cluster configures for all its machines. Nothing here deletes
+    the folders: a job may still be reading them, and the cluster's owner sets how long
+    checkpoints are kept.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix=f"{label}-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -16,12 +16,17 @@ def read_table(
     The bounds filter the partition column, so folders of other days are not listed
     into the scan.
     """
-    table = spark.read.parquet(path)
+    return between_days(spark.read.parquet(path), since, until)
+
+
+def between_days(
+    rows: DataFrame, since: str | date | None = None, until: str | date | None = None
+) -> DataFrame:
     if since is not None:
-        table = table.where(F.col("event_date") >= F.lit(since).cast("date"))
+        rows = rows.where(F.col("event_date") >= F.lit(since).cast("date"))
     if until is not None:
-        table = table.where(F.col("event_date") <= F.lit(until).cast("date"))
-    return table
+        rows = rows.where(F.col("event_date") <= F.lit(until).cast("date"))
+    return rows
 
 
 def gather_days(rows: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -35,11 +40,15 @@ def gather_days(rows: DataFrame, partition_by: list[str]) -> DataFrame:
 
 
 def write_table(
-    rows: DataFrame, path: str, partition_by: list[str] | None = None, gather: bool = False
+    rows: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    gather: bool = False,
+    replace: str = "table",
 ) -> int:
     """Replace a table and return the number of rows written.
 
-    The count is observed while the rows pass to the writer; nothing is cached or
+    ``replace="days"`` replaces only the partitions that get rows. The count is observed while the rows pass to the writer; nothing is cached or
     read back.
     """
     if partition_by and gather:
@@ -47,6 +56,7 @@ def write_table(
     written = Observation()
     writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        mode = "dynamic" if replace == "days" else "static"
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
     writer.parquet(path)
     return written.get["rows"]

@@ -6,7 +6,9 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
+from pathlib import Path
 
 import duckdb
 import pandas as pd
@@ -29,6 +31,7 @@ def session(cpus: str = "8") -> SparkSession:
         .config(map=SPARK_SETTINGS)
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(Path(tempfile.gettempdir()) / "visitfold-scratch"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -7,9 +7,20 @@ sum takes the opening one first, or the copies would count for the session befor
 
 from __future__ import annotations
 
-from visitfold.fixed import BOT_MARKERS, COUNTRY_VALUES, DEVICE_VALUES, LANDING_SCHEMA
 from workload.views import CLICKS, NUMBER_IN_PROPS, RAW_FIELDS
 
+# Written out here and not taken from the engine, so that a wrong entry there is seen.
+IS_BOT = "regexp_matches(lower(coalesce(user_agent, '')), 'bot|crawler|spider|python-requests|ahrefs|curl|wget')"
+COUNTRIES = """
+    ('AU', 'Australia', 'APAC'), ('BR', 'Brazil', 'Americas'), ('CA', 'Canada', 'Americas'),
+    ('DE', 'Germany', 'EMEA'), ('FR', 'France', 'EMEA'), ('GB', 'United Kingdom', 'EMEA'),
+    ('IN', 'India', 'APAC'), ('JP', 'Japan', 'APAC'), ('NG', 'Nigeria', 'EMEA'),
+    ('US', 'United States', 'Americas')"""
+DEVICES = "('desktop', 'large_screen'), ('mobile', 'small_screen'), ('tablet', 'medium_screen')"
+FIELD_NAMES = (
+    "event_id, user_id, event_timestamp, event_type, path, referrer, device, country, user_agent"
+)
+
 HALF_HOUR = 30 * 60
 SIX_HOURS = 6 * 60 * 60
 
@@ -20,9 +31,9 @@ def raw_cte(time: str) -> str:
     return f"""
     numbered_props AS (SELECT *, {NUMBER_IN_PROPS} AS k FROM events),
     delivered AS (
-        SELECT * FROM numbered_props
+        SELECT *, 0 AS copy FROM numbered_props
         UNION ALL
-        SELECT * FROM numbered_props WHERE event_type = 'purchase'),
+        SELECT *, 1 AS copy FROM numbered_props WHERE event_type = 'purchase'),
     raw AS (SELECT {', '.join(RAW_FIELDS)}, {time} AS event_timestamp FROM delivered)"""
 
 
@@ -31,17 +42,20 @@ RAW_CTE = raw_cte("ts")
 LANDED_CTE = raw_cte("CASE WHEN k = '3' THEN NULL ELSE ts END")
 
 SILVER_CTE = f"""
-    silver AS (
-        SELECT DISTINCT event_id, user_id, lower(trim(event_type)) AS event_type, path, referrer,
+    normal AS (
+        SELECT event_id, user_id, lower(trim(event_type)) AS event_type, path, referrer,
             lower(trim(device)) AS device, upper(trim(country)) AS country, user_agent,
             event_timestamp
         FROM raw
         WHERE user_id IS NOT NULL AND event_timestamp IS NOT NULL AND event_type IS NOT NULL
-          AND NOT regexp_matches(lower(coalesce(user_agent, '')), '{'|'.join(BOT_MARKERS)}'))"""
+          AND NOT {IS_BOT}),
+    silver AS (
+        SELECT * FROM normal QUALIFY row_number() OVER (
+            PARTITION BY user_id, event_timestamp, event_type, path ORDER BY event_id) = 1)"""
 
 DIMS_CTE = f"""
-    countries(country, country_name, region) AS (VALUES {COUNTRY_VALUES}),
-    devices(device, form_factor) AS (VALUES {DEVICE_VALUES})"""
+    countries(country, country_name, region) AS (VALUES {COUNTRIES}),
+    devices(device, form_factor) AS (VALUES {DEVICES})"""
 
 
 def tagged_cte(source: str, gap: int, exact: bool = False) -> str:
@@ -94,8 +108,8 @@ def rounded(value: str, digits: int) -> str:
     return f"CAST(round(CAST(avg({value}) AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
 
 
-def stream(ready: str, source: str, end: str) -> str:
-    """Sessions whose window closed by the last watermark: newest time less two gaps."""
+def stream(ready: str, source: str, end: str, lateness: int = 2 * HALF_HOUR) -> str:
+    """Sessions whose window closed by the last watermark: newest time less the lateness."""
     window_end = f"max(event_timestamp) + INTERVAL {HALF_HOUR} SECOND"
     if end == "window":
         closing = f"{window_end} AS end_ts, {SECONDS} + {HALF_HOUR} AS duration_sec"
@@ -111,23 +125,63 @@ def stream(ready: str, source: str, end: str) -> str:
         count(*) FILTER (WHERE event_type = 'purchase') > 0 AS converted
     FROM tagged GROUP BY user_id, session_index
     HAVING {window_end} <= (
-        SELECT date_trunc('millisecond', max(event_timestamp)) - INTERVAL {2 * HALF_HOUR} SECOND
+        SELECT date_trunc('millisecond', max(event_timestamp)) - INTERVAL {lateness} SECOND
         FROM {source})"""
 
 
 IDENTIFIED_CTE = (
     "identified AS (SELECT * FROM raw WHERE user_id IS NOT NULL AND event_timestamp IS NOT NULL)"
 )
-FIELD_NAMES = ", ".join(field.split()[0] for field in LANDING_SCHEMA.split(", "))
 SILVER_COLUMNS = (
     "event_id, user_id, event_type, path, referrer, device, country, user_agent, event_timestamp"
 )
+# Which of several copies stays is open, so their ids and referrers are left out.
+OPEN_COLUMNS = "user_id, event_type, path, device, country, user_agent, event_timestamp"
 ENRICHED = f"""
-    SELECT {SILVER_COLUMNS}, country_name, region, form_factor
+    SELECT {OPEN_COLUMNS}, country_name, region, form_factor
     FROM silver LEFT JOIN countries USING (country) LEFT JOIN devices USING (device)"""
 COUNTS = "SELECT user_id, count(*) AS event_count FROM events GROUP BY user_id"
 DAY = "'2024-01-15'"
 
+
+
+def landed(final: str) -> str:
+    """Over the layers that the batch job writes from the landing zone."""
+    tagged = tagged_cte("silver", HALF_HOUR)
+    return f"WITH {LANDED_CTE}, {SILVER_CTE}, {tagged}, {SESSIONS_CTE} {final}"
+
+
+FUNNEL = """
+        counted AS (
+            SELECT count(*) FILTER (WHERE event_type = 'page_view') AS views,
+                count(*) FILTER (WHERE event_type = 'add_to_cart') AS carts,
+                count(*) FILTER (WHERE event_type = 'purchase') AS purchases FROM {source})
+        SELECT '1_view' AS stage, views AS count, CAST(1 AS DOUBLE) AS rate_from_view FROM counted
+        UNION ALL
+        SELECT '2_add_to_cart', carts, coalesce(carts / CAST(nullif(views, 0) AS DOUBLE), 0)
+        FROM counted
+        UNION ALL
+        SELECT '3_purchase', purchases, coalesce(purchases / CAST(nullif(views, 0) AS DOUBLE), 0)
+        FROM counted"""
+DAILY = f"""
+    SELECT event_date, count(*) AS num_sessions, count(DISTINCT user_id) AS distinct_users,
+        {rounded('duration_sec', 1)} AS avg_duration_sec,
+        {rounded('CAST(bounce AS INT)', 4)} AS bounce_rate,
+        {rounded('CAST(converted AS INT)', 4)} AS conversion_rate
+    FROM sessions GROUP BY event_date ORDER BY event_date"""
+TOP_PATHS = """
+    SELECT entry_path, count(*) AS sessions FROM sessions GROUP BY entry_path
+    ORDER BY sessions DESC, entry_path LIMIT 15"""
+RETURNING = """
+    SELECT count(*) AS total_users, count(*) FILTER (WHERE n > 1) AS returning_users,
+        round(count(*) FILTER (WHERE n > 1) / CAST(count(*) AS DOUBLE), 4) AS returning_rate
+    FROM (SELECT user_id, count(*) AS n FROM sessions GROUP BY user_id)"""
+# The newest third of the days is closed by a lateness of twenty days.
+TWENTY_DAYS = 20 * 24 * 60 * 60
+PUNCTUAL_CTE = (
+    f"punctual AS (SELECT * FROM identified WHERE CAST(event_timestamp AS DATE) <> {DAY})"
+)
+
 ORACLE: dict[str, str] = {
     "session_tag_events": f"""
         WITH {CLICKS_CTE}, {tagged_cte('clicks', SIX_HOURS)}
@@ -170,7 +224,7 @@ ORACLE: dict[str, str] = {
             count(*) FILTER (WHERE path = '/product/3') AS bad_times FROM raw""",
     "silver_bots": f"""
         WITH {RAW_CTE}
-        SELECT regexp_matches(lower(coalesce(user_agent, '')), '{'|'.join(BOT_MARKERS)}') AS is_bot,
+        SELECT {IS_BOT} AS is_bot,
             count(*) AS events FROM raw GROUP BY 1""",
     "silver_clean": f"WITH {RAW_CTE}, {SILVER_CTE} SELECT * FROM silver",
     "silver_first_copy": f"""
@@ -188,26 +242,8 @@ ORACLE: dict[str, str] = {
     "events_by_type": f"""
         WITH {CLICKS_CTE}
         SELECT event_type, count(*) AS events FROM clicks GROUP BY event_type""",
-    "funnel": f"""
-        WITH {CLICKS_CTE}, counted AS (
-            SELECT count(*) FILTER (WHERE event_type = 'page_view') AS views,
-                count(*) FILTER (WHERE event_type = 'add_to_cart') AS carts,
-                count(*) FILTER (WHERE event_type = 'purchase') AS purchases FROM clicks)
-        SELECT '1_view' AS stage, views AS count, CAST(1 AS DOUBLE) AS rate_from_view FROM counted
-        UNION ALL
-        SELECT '2_add_to_cart', carts, coalesce(carts / CAST(nullif(views, 0) AS DOUBLE), 0)
-        FROM counted
-        UNION ALL
-        SELECT '3_purchase', purchases, coalesce(purchases / CAST(nullif(views, 0) AS DOUBLE), 0)
-        FROM counted""",
-    "daily_sessions": sessions(
-        SIX_HOURS,
-        f"""SELECT event_date, count(*) AS num_sessions, count(DISTINCT user_id) AS distinct_users,
-            {rounded('duration_sec', 1)} AS avg_duration_sec,
-            {rounded('CAST(bounce AS INT)', 4)} AS bounce_rate,
-            {rounded('CAST(converted AS INT)', 4)} AS conversion_rate
-            FROM sessions GROUP BY event_date ORDER BY event_date""",
-    ),
+    "funnel": f"WITH {CLICKS_CTE}, {FUNNEL.format(source='clicks')}",
+    "daily_sessions": sessions(SIX_HOURS, DAILY),
     "daily_sessions_unrounded": sessions(
         HALF_HOUR,
         """SELECT event_date, count(*) AS num_sessions, count(DISTINCT user_id) AS distinct_users,
@@ -215,25 +251,15 @@ ORACLE: dict[str, str] = {
             avg(CAST(converted AS INT)) AS conversion_rate
             FROM sessions GROUP BY event_date ORDER BY event_date""",
     ),
-    "top_paths": sessions(
-        SIX_HOURS,
-        """SELECT entry_path, count(*) AS sessions FROM sessions GROUP BY entry_path
-            ORDER BY sessions DESC, entry_path LIMIT 15""",
-    ),
+    "top_paths": sessions(SIX_HOURS, TOP_PATHS),
     "sessions_per_user": sessions(
         SIX_HOURS, "SELECT user_id, count(*) AS sessions_per_user FROM sessions GROUP BY user_id"
     ),
-    "returning_users": sessions(
-        SIX_HOURS,
-        """SELECT count(*) AS total_users, count(*) FILTER (WHERE n > 1) AS returning_users,
-            round(count(*) FILTER (WHERE n > 1) / CAST(count(*) AS DOUBLE), 4) AS returning_rate
-            FROM (SELECT user_id, count(*) AS n FROM sessions GROUP BY user_id)""",
-    ),
+    "returning_users": sessions(SIX_HOURS, RETURNING),
     "key_skew_report": f"{COUNTS} ORDER BY event_count DESC, user_id LIMIT 10",
     "hottest_user": f"{COUNTS} ORDER BY event_count DESC, user_id LIMIT 1",
     "hot_users": f"""
-        SELECT user_id FROM ({COUNTS}) WHERE event_count > 70
-        ORDER BY event_count DESC, user_id LIMIT 1000""",
+        SELECT user_id FROM ({COUNTS}) WHERE event_count > 70""",
     "naive_counts": COUNTS,
     "salted_counts": COUNTS,
     "hot_salted_counts": COUNTS,
@@ -259,4 +285,20 @@ ORACLE: dict[str, str] = {
     "stream_sessions": stream(IDENTIFIED_CTE, "identified", "last_event"),
     "stream_sessions_window_end": stream(IDENTIFIED_CTE, "identified", "window"),
     "stream_sessions_clean": stream(SILVER_CTE, "silver", "last_event"),
+    "stream_small_batches": stream(IDENTIFIED_CTE, "identified", "last_event", TWENTY_DAYS),
+    "stream_restart": stream(IDENTIFIED_CTE, "identified", "last_event"),
+    "stream_late_rows": stream(f"{IDENTIFIED_CTE}, {PUNCTUAL_CTE}", "punctual", "last_event"),
+    "batch_funnel": landed(f", {FUNNEL.format(source='silver')}"),
+    "batch_daily_sessions": landed(DAILY),
+    "batch_top_paths": landed(TOP_PATHS),
+    "batch_returning_users": landed(RETURNING),
+    "batch_bronze": f"""
+        WITH {LANDED_CTE}
+        SELECT {FIELD_NAMES}, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM raw""",
+    "bronze_ingest": f"""
+        WITH {LANDED_CTE}
+        SELECT count(*) AS lines, count(*) AS ingested, CAST(1 AS BIGINT) AS loads FROM raw""",
+    "silver_day_rebuilt": f"""
+        WITH {LANDED_CTE}, {SILVER_CTE}, {DIMS_CTE}
+        SELECT *, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM ({ENRICHED})""",
 }

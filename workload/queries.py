@@ -34,6 +34,9 @@ SIX_HOURS = 6 * 60 * 60
 # Users of the given tables have 67 events on average.
 HOT = 70
 
+# Which of several copies stays is open; these differ between copies.
+OPEN = ["event_id", "referrer"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -101,7 +104,21 @@ def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw_clicks(spark, sf_dir).withColumn("event_date", F.to_date("event_timestamp"))
     )
     write_table(silver, path, ["event_date"], gather=True)
-    return read_table(spark, path)
+    return read_table(spark, path).drop(*OPEN)
+
+
+@query
+def silver_day_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day is spoilt and rebuilt; the others keep their files."""
+    lake = _landed(spark, sf_dir, "lake")
+    jobs.bronze_job(spark, lake)
+    jobs.silver_job(spark, lake)
+    day = read_table(spark, lake.silver, "2024-01-15", "2024-01-15")
+    write_table(day.limit(1), lake.silver, ["event_date"], replace="days")
+    span = {"since": "2024-01-15", "until": "2024-01-15"}
+    jobs.bronze_job(spark, lake, **span)
+    jobs.silver_job(spark, lake, **span)
+    return read_table(spark, lake.silver).drop(*OPEN, "ingest_ts", "source_file")
 
 
 # ---- landing and bronze -----------------------------------------------------
@@ -132,6 +149,18 @@ def bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.drop("ingest_ts", "source_file", CORRUPT)
 
 
+@query
+def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line has the time at which its load began, the same for a whole load."""
+    path = scratch_dir(spark, "landing")
+    write_landing(raw_lines(spark, sf_dir), path)
+    return type_events(read_landing(spark, path)).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count("ingest_ts").alias("ingested"),
+        F.countDistinct("ingest_ts").alias("loads"),
+    )
+
+
 @query
 def bronze_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of some lines is lost on the way; they stay countable and readable."""
@@ -165,18 +194,18 @@ def silver_bots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_repeats(clean_events(raw_clicks(spark, sf_dir)))
+    return drop_repeats(clean_events(raw_clicks(spark, sf_dir)), prefer=[F.col("event_id")])
 
 
 @query
 def silver_first_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = clean_events(raw_clicks(spark, sf_dir))
+    events = drop_repeats(clean_events(raw_clicks(spark, sf_dir)), prefer=[F.col("event_id")])
     return drop_repeats(events, ["user_id", "path"], [F.col("event_timestamp"), F.col("event_id")])
 
 
 @query
 def silver_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(drop_repeats(clean_events(raw_clicks(spark, sf_dir))))
+    return enrich(drop_repeats(clean_events(raw_clicks(spark, sf_dir)))).drop(*OPEN)
 
 
 @query
@@ -274,7 +303,7 @@ def salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey AS user_id", "c_name", "c_mktsegment"
     )
     joined = skew.salted_left_join(
-        clicks(spark, sf_dir), users, "user_id", HOT, spread_by=["event_id"]
+        clicks(spark, sf_dir), users.hint("merge"), "user_id", HOT, spread_by=["event_id"]
     )
     return joined.select("event_id", "user_id", "c_name", "c_mktsegment")
 
@@ -288,6 +317,40 @@ def _landed(spark: SparkSession, sf_dir: str, label: str) -> Lake:
     return lake
 
 
+def _built(spark: SparkSession, sf_dir: str) -> Lake:
+    lake = _landed(spark, sf_dir, "lake")
+    for job in (jobs.bronze_job, jobs.silver_job, jobs.sessions_job, jobs.gold_job):
+        job(spark, lake, Settings())
+    return lake
+
+
+@query
+def batch_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = _landed(spark, sf_dir, "lake")
+    jobs.bronze_job(spark, lake)
+    return read_table(spark, lake.bronze).drop("ingest_ts", "source_file", CORRUPT)
+
+
+@query
+def batch_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _built(spark, sf_dir).gold("funnel"))
+
+
+@query
+def batch_daily_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _built(spark, sf_dir).gold("daily_sessions"))
+
+
+@query
+def batch_top_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _built(spark, sf_dir).gold("top_paths"))
+
+
+@query
+def batch_returning_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _built(spark, sf_dir).gold("returning_users"))
+
+
 @query
 def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _landed(spark, sf_dir, "lake")
@@ -314,3 +377,45 @@ def stream_sessions_window_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_sessions_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, clean=True, end="last_event")
+
+
+TWENTY_DAYS = 20 * 24 * 60 * 60
+MIDDLE, LATE_DAY = "2024-01-16", "2024-01-15"
+
+
+@query
+def stream_small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several batches; the lateness covers the order in which days were written."""
+    lake, settings = _landed(spark, sf_dir, "stream"), Settings(lateness_seconds=TWENTY_DAYS)
+    query = jobs.stream_job(
+        spark, lake, settings, sink="parquet", clean=False, files_per_batch=8
+    )
+    return read_table(spark, lake.stream_table(query.name))
+
+
+def _land_part(lines: DataFrame, lake: Lake, part: str, days: str) -> None:
+    """Events of some days; what has no day cannot be placed in a session and comes along."""
+    day = "to_date(try_to_timestamp(event_timestamp))"
+    write_landing(lines.where(f"{day} IS NULL OR {day} {days}"), f"{lake.landing}/{part}")
+
+
+@query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on one checkpoint; the second goes on with the sessions left open."""
+    lake, lines = Lake(scratch_dir(spark, "stream")), raw_lines(spark, sf_dir)
+    for part, days in (("first", f"< '{MIDDLE}'"), ("second", f">= '{MIDDLE}'")):
+        _land_part(lines, lake, part, days)
+        query = jobs.stream_job(spark, lake, Settings(), sink="parquet", clean=False)
+    return read_table(spark, lake.stream_table(query.name))
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day that lands after the others, beyond the lateness, is left out."""
+    lake, lines = Lake(scratch_dir(spark, "stream")), raw_lines(spark, sf_dir)
+    for part, days in (("punctual", f"<> '{LATE_DAY}'"), ("late", f"= '{LATE_DAY}'")):
+        _land_part(lines, lake, part, days)
+        query = jobs.stream_job(
+            spark, lake, Settings(), sink="parquet", clean=False, allow_late=True
+        )
+    return read_table(spark, lake.stream_table(query.name))

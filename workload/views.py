@@ -27,22 +27,26 @@ CLICKS = [
     f"'/product/' || {NUMBER_IN_PROPS} AS path",
 ]
 
-# Anonymous users, absent and blank types, untidy codes, unknown countries, bots.
+# Anonymous users, absent and blank types, untidy codes, all countries and one unknown, an
+# agent for every bot marker. A copy (copy = 1) comes under another event id and referrer.
 RAW_FIELDS = [
-    "CAST(event_id AS STRING) AS event_id",
+    "CASE copy WHEN 0 THEN CAST(event_id AS STRING) ELSE 'again-' || CAST(event_id AS STRING) END "
+    "AS event_id",
     "CASE WHEN k = '0' THEN NULL ELSE CAST(user_id AS STRING) END AS user_id",
     "CASE event_type WHEN 'view' THEN ' Page_View ' WHEN 'signup' THEN 'add_to_cart' "
     "WHEN 'error' THEN (CASE k WHEN '1' THEN NULL WHEN '2' THEN '  ' ELSE 'SEARCH' END) "
     "ELSE event_type END AS event_type",
     "'/product/' || k AS path",
-    "CASE WHEN event_type = 'view' THEN 'direct' END AS referrer",
+    "CASE WHEN copy = 1 THEN 'retry' WHEN event_type = 'view' THEN 'direct' END AS referrer",
     "CASE WHEN value < 10 THEN 'Desktop' WHEN value < 30 THEN 'mobile ' "
     "WHEN value < 70 THEN 'tablet' END AS device",
-    "CASE WHEN value < 5 THEN 'us' WHEN value < 15 THEN 'GB' WHEN value < 25 THEN ' in' "
-    "WHEN value < 40 THEN 'BR' WHEN value < 60 THEN 'zz' WHEN value < 90 THEN 'jp ' END AS country",
-    "CASE WHEN value < 4 THEN 'Googlebot/2.1' WHEN value < 8 THEN NULL "
-    "WHEN value < 12 THEN 'python-requests/2.31.0' WHEN value < 14 THEN 'AhrefsBot/7.0' "
-    "WHEN value < 16 THEN 'curl/8.5' ELSE 'Mozilla/5.0 Chrome/124.0' END AS user_agent",
+    "CASE event_id % 12 WHEN 0 THEN 'us' WHEN 1 THEN 'CA ' WHEN 2 THEN 'br' WHEN 3 THEN 'GB' "
+    "WHEN 4 THEN ' de' WHEN 5 THEN 'Fr' WHEN 6 THEN 'ng' WHEN 7 THEN ' in' WHEN 8 THEN 'jp ' "
+    "WHEN 9 THEN 'au' WHEN 10 THEN 'zz' END AS country",
+    "CASE event_id % 19 WHEN 0 THEN 'Googlebot/2.1' WHEN 1 THEN 'Site-CRAWLER 3' "
+    "WHEN 2 THEN 'Baiduspider+' WHEN 3 THEN 'Python-Requests/2.31.0' WHEN 4 THEN 'AhrefsSiteAudit' "
+    "WHEN 5 THEN 'curl/8.5' WHEN 6 THEN 'GNU Wget 1.21' WHEN 7 THEN NULL "
+    "ELSE 'Mozilla/5.0 Chrome/124.0' END AS user_agent",
 ]
 
 
