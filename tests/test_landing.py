@@ -174,10 +174,10 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert one.startswith(shared) and two.startswith(shared) and one != two
 
 
-def test_cluster_without_shared_folder_is_refused():
+def test_scratch_lies_in_the_warehouse_without_a_shared_folder():
     class Conf:
         def get(self, name, default=None):
-            return "spark://host:7077" if name == "spark.master" else default
+            return "hdfs://store/warehouse/" if name == "spark.sql.warehouse.dir" else default
 
     class Context:
         def getCheckpointDir(self):
@@ -186,5 +186,4 @@ def test_cluster_without_shared_folder_is_refused():
     class Session:
         conf, sparkContext = Conf(), Context()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.scratch_dir(Session(), "x")
+    assert scratch.scratch_dir(Session(), "x").startswith("hdfs://store/warehouse/x-")

@@ -18,6 +18,8 @@ SPARK_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Late rows are counted over all batches of a run.
+    "spark.sql.streaming.numRecentProgressUpdates": "100000",
     # A hot user sends a few partial sessions per input task to the state store, not events.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

@@ -143,13 +143,14 @@ def stream_job(
         writer = live.to_table(writer, lake.stream_table(name))
     else:
         writer = live.to_console(writer)
+    query = writer.start()
     if not wait:
-        return writer.start()
-    with live.late_rows(spark) as late:
-        query = writer.start()
-        ended = query.awaitTermination(timeout)
-        dropped = late.of(query) if ended else 0
-    if dropped and not allow_late:
+        return query
+    query.awaitTermination(timeout)
+    if query.isActive:
+        return query
+    dropped = 0 if allow_late else live.late_rows(spark, query)
+    if dropped:
         raise RuntimeError(
             f"{dropped} rows came after the watermark had passed them; "
             f"raise lateness_seconds above {settings.watermark_seconds} or allow_late"

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import threading
-from collections import defaultdict
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from visitfold.fixed import EVENT_KEY, SESSION_GAP_SECONDS
 from visitfold.functions.timeline import seconds_between
 from visitfold.operators.cleaning import clean_events
 
 
+# How many batches' progress a query remembers.
+RETAINED = "spark.sql.streaming.numRecentProgressUpdates"
+
+
 def with_lateness(events: DataFrame, watermark_seconds: int) -> DataFrame:
     return events.withWatermark("event_timestamp", f"{watermark_seconds} seconds")
 
@@ -80,41 +79,11 @@ def to_console(writer: DataStreamWriter, shown: int = 20) -> DataStreamWriter:
     return writer.format("console").option("truncate", False).option("numRows", shown)
 
 
-class LateRows(StreamingQueryListener):
-    """Rows that each run of a query dropped behind its watermark, over all its batches."""
-
-    def __init__(self) -> None:
-        self.dropped: defaultdict[str, int] = defaultdict(int)
-        self.ended: defaultdict[str, threading.Event] = defaultdict(threading.Event)
-
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
-        progress = event.progress
-        self.dropped[str(progress.runId)] += sum(
-            operator.numRowsDroppedByWatermark for operator in progress.stateOperators
-        )
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        self.ended[str(event.runId)].set()
-
-    def of(self, query: StreamingQuery, patience: float = 30) -> int:
-        """Dropped rows of a run that has ended; events arrive a little after it."""
-        run = str(query.runId)
-        if not self.ended[run].wait(patience):
-            raise RuntimeError("the run's progress was not reported")
-        return self.dropped[run]
-
-
-@contextmanager
-def late_rows(spark: SparkSession) -> Iterator[LateRows]:
-    listener = LateRows()
-    spark.streams.addListener(listener)
-    try:
-        yield listener
-    finally:
-        spark.streams.removeListener(listener)
+def late_rows(spark: SparkSession, query: StreamingQuery) -> int:
+    """Rows that an ended run of a query dropped behind its watermark, over all its batches."""
+    batches, kept = query.recentProgress, int(spark.conf.get(RETAINED))
+    if len(batches) >= kept:
+        raise RuntimeError(f"more than {kept} batches: raise {RETAINED} to see all of them")
+    return sum(
+        operator["numRowsDroppedByWatermark"] for batch in batches for operator in batch["stateOperators"]
+    )
