@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +13,12 @@ from visitfold.sources.scratch import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-# Spark's setting that removes an execution's shuffle files when it has ended.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Spark settings while a table is written: an execution's shuffle files go when it has
+# ended, and batches for Python hold few rows, as texts may be long.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 
 def settle(rows: DataFrame, label: str) -> DataFrame:
@@ -29,12 +30,14 @@ def settle(rows: DataFrame, label: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = scratch_dir(spark, label)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    before = {name: spark.conf.get(name) for name in _WRITING}
     try:
+        for name, value in _WRITING.items():
+            spark.conf.set(name, value)
         rows.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -49,14 +52,10 @@ def boxed(rows: DataFrame) -> Column:
     return F.struct(*[rows[f"`{name}`"] for name in rows.columns])
 
 
-def arrow_pass(
-    rows: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return rows.mapInArrow(work, schema)
-
-
-def bytes_column(batch: pa.RecordBatch, name: str) -> list[bytes]:
-    return batch.column(name).to_pylist()
+def carried(rows: DataFrame, columns: list[str] | None, text: str, least: str | None = None) -> Column:
+    """The columns that go along through Python as one: those given, or all but the text."""
+    names = columns or [name for name in rows.columns if name != text] or [least or text]
+    return F.struct(*[rows[f"`{name}`"] for name in names])
 
 
 def offsets(lengths: np.ndarray) -> np.ndarray:

@@ -19,13 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitfold.llm.common import boxed, offsets, settle, utf8
+from visitfold.llm.common import carried, offsets, settle, utf8
 
 # Fixed value: the window that the query states.
 WINDOW = 35
 GRAM = 16
 #: Words whose hashes a task remembers.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 250_000
 
 # Odd multipliers of the rolling hashes modulo 2^64, from the golden ratio, pi and e.
 GRAM_BASE, WINDOW_BASE, CHECK_BASE = 0x9E3779B97F4A7C15, 0x3243F6A8885A308D, 0x2B7E151628AED2A7
@@ -221,10 +221,16 @@ def keep(words: list[bytes], starts: np.ndarray | None, window: int) -> tuple[by
 
 
 def remove_repeats(
-    docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int = GRAM
+    docs: DataFrame,
+    text: str = "text",
+    window: int = WINDOW,
+    gram: int = GRAM,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Every row as ``doc`` with n_words, n_removed and ``kept``: its text without repeated windows.
 
+    ``doc`` has all columns but the text, or those given.
+
     A word goes if a window of ``window`` words around it also starts anywhere else, in the
     same text too; that is judged on the texts as given. ``kept`` are the other words, joined
     by one space. Windows are equal if 88 bits of hash are. Null and empty texts have no
@@ -262,7 +268,7 @@ def remove_repeats(
 
     found = repeated_windows(docs, text, window, gram)
     rows = docs.select(
-        boxed(docs).alias("doc"), *text_key(docs, text), utf8(docs[f"`{text}`"]).alias("text")
+        carried(docs, columns, text).alias("doc"), *text_key(docs, text), utf8(docs[f"`{text}`"]).alias("text")
     )
     joined = rows.join(found, ["t1", "t2"], "left").select("doc", "text", "whole", "starts")
     doc_type = joined.schema["doc"].dataType.simpleString()
