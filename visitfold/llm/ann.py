@@ -27,7 +27,7 @@ NEIGHBOURS = 12
 PART_ROWS = 1000
 MOST_PARTS = 128
 #: Share of sample neighbours that the visited parts must hold.
-WANTED = 0.99
+WANTED = 0.95
 #: Vectors and queries that a task ranks at a time; a larger part is cut into blocks.
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 4_000
