@@ -33,7 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
+        least = settle(both.groupBy("a").agg(F.least("a", F.min("b")).alias("least")), "least")
         large = (
             both.join(least, "a")
             .where("b > a AND b <> least")

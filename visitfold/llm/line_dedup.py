@@ -206,11 +206,13 @@ def _partners(lines: DataFrame, docs: DataFrame, text: str, min_words: int) -> D
     each = lines.select("h1", "h2", F.posexplode("halves").alias("bit", "half"))
     differ = (F.min("h1") < F.max("h1")) | (F.min("h2") < F.max("h2"))
     shared = each.groupBy("half").agg(differ.alias("shared")).where("shared").select("half")
+    shared = settle(shared, "halves")  # a table of its own, so that a join splits a hot half
     masks = each.join(shared, "half").groupBy("h1", "h2").agg(F.bit_or(F.expr("shiftleft(1, bit)")).alias("mask"))
     masks = settle(masks, "candidates")
     texts = _line_texts(docs, text, min_words).join(masks, ["h1", "h2"]).dropDuplicates(["h1", "h2"])
     emitted = settle(_variants(texts.select("h1", "h2", "mask", "words")), "variants")
     met = emitted.groupBy("v1", "v2").agg(differ.alias("met")).where("met").select("v1", "v2")
+    met = settle(met, "met")
     return settle(emitted.join(met, ["v1", "v2"]), "partners")
 
 

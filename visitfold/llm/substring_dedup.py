@@ -187,6 +187,7 @@ def repeated_windows(
     texts = settle(texts, "texts")
     each = rows.join(texts.select("uid"), "uid", "left_semi").select("uid", F.explode("grams").alias("least"))
     shared = each.groupBy("least").agg(F.count("*").alias("n")).where("n > 1").select("least")
+    shared = settle(shared, "shared")  # a table of its own, so that a join splits a hot gram
     wanted = each.distinct().join(shared, "least").groupBy("uid").agg(F.collect_list("least").alias("grams"))
     wanted = settle(texts.select("uid", "t1", "t2").join(wanted, "uid"), "candidates")
     with_text = docs.select(*text_key(docs, text), utf8(docs[f"`{text}`"]).alias("text"))
@@ -194,6 +195,7 @@ def repeated_windows(
     windows = settle(_windows(once, window, gram), "windows")
     key = windows.withColumn("check", F.shiftright("place", 32).cast("int"))
     repeated = key.groupBy("hash", "check").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    repeated = settle(repeated, "seen-twice")
     start = F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
     starts = (
         key.join(repeated, ["hash", "check"])
