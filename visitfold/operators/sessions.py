@@ -45,7 +45,9 @@ def tag_sessions(
 
     The numbering pass reads only user and time. Its result has one row per user and
     slice, so the join back neither drops nor repeats events; where a single slice is
-    hot, adaptive execution splits the event side of the join. Events without user
+    hot, adaptive execution splits the event side of the join. The numbers are hashed
+    and not sorted against the much wider events: their partitions are even, as keys are
+    unique, and have a few narrow columns. Events without user
     or time belong to no session and get nulls. Only the index goes through the join;
     ids, eight times as wide, are hashed after it.
     """
@@ -60,7 +62,7 @@ def tag_sessions(
     )
     numbered = number_slices(
         slices, gap_ticks(gap_seconds, exact), F.col("first_tick"), F.col("last_tick")
-    ).select("user_id", "_slice", "session_index")
+    ).select("user_id", "_slice", "session_index").hint("shuffle_hash")
     number = F.when(
         F.col("session_index").isNotNull(), session_id("user_id", "session_index")
     )
