@@ -70,7 +70,7 @@ def test_state_is_carried_to_the_end():
     alone = lm.log_likelihood(network, lm.Lanes.of(kinds, np.array([300]), 4))
     state, before = np.zeros((1, 6), np.float32), 4
     for at, kind in enumerate(kinds):
-        state = network.step(state, np.array([before]))[0]
+        state = network.step(state, network.inputs[[before]])[0]
         assert alone[at] == pytest.approx(network.log_share(state)[0, kind], abs=1e-4)
         before = kind
 
