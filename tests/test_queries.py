@@ -7,6 +7,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from workload.check import TABLES, compare
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -20,12 +22,17 @@ def database():
 
 
 def test_every_query_has_its_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+def test_all_are_registered():
+    assert QUERIES.items() <= queries().items() and ORACLE.items() <= oracle_sql().items()
+    assert oracle_sql().keys() <= queries().keys()
+
+
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, database, name):
-    result = compare(queries()[name](spark, FOLDER), database, oracle_sql()[name])
+    result = compare(QUERIES[name](spark, FOLDER), database, ORACLE[name])
     assert result.startswith("ok"), result
 
 
