@@ -278,7 +278,7 @@ def test_other_tokenizers_run_as_they_are():
 @pytest.mark.parametrize("chunk_items", [5, 20_000])
 def test_packing(docs, awkward, tokenizer, chunk_items):
     capacity = 64
-    pieces = packing.cut_pieces(docs(awkward), byte_bpe(), capacity=capacity)
+    pieces = packing.cut_pieces(docs(awkward), byte_bpe(), columns=["doc_id", "text", "key"], capacity=capacity)
     items = pieces.select("doc.doc_id", "doc.text", "doc.key", "piece", "start", "length", "ids")
     placed = packing.pack(items, capacity=capacity, chunk_items=chunk_items).collect()
     expected = Counter()

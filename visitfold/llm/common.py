@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitfold.sources.scratch import scratch_dir
@@ -13,14 +13,22 @@ from visitfold.sources.scratch import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-# Spark settings while a table is written: an execution's shuffle files go when it has
-# ended, and batches for Python hold few rows, as texts may be long.
+# Batches for Python hold few rows, as texts may be long.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = "1000"
+# Spark settings while a table is written: an execution's shuffle files go when it has ended.
 _WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    _BATCH: BATCH_ROWS,
 }
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with small batches for Python; for programs that return lazy results."""
+    spark.conf.set(_BATCH, BATCH_ROWS)
+    return spark
+
+
 def settle(rows: DataFrame, label: str) -> DataFrame:
     """Write rows below the cluster's shared folder and read them back.
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from visitfold.llm.common import boxed, offsets, settle
+from visitfold.llm.common import carried, offsets, settle
 
 CAPACITY = 2048
 END_ID = 0
@@ -35,7 +35,7 @@ CHUNK_ITEMS = 20_000
 #: Of the bins a task is given, at most this share goes up; the fullest others are final.
 CARRY = 0.25
 #: Words whose ids a Python worker remembers.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 200_000
 
 # Fixed value: the pieces into which byte-level BPE of this family cuts a text.
 PATTERN = (
@@ -124,9 +124,14 @@ def encoder(path: str) -> Encoder:
 
 
 def cut_pieces(
-    docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID
+    docs: DataFrame,
+    tokenizer: str,
+    text: str = "text",
+    columns: list[str] | None = None,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
 ) -> DataFrame:
-    """Pieces of documents: ``doc`` (the row), piece, start, length, ids.
+    """Pieces of documents: ``doc`` (all columns but the text, or those given), piece, start, length, ids.
 
     A document's tokens are its text's and then ``end_id``. Those longer than ``capacity``
     are cut into full pieces, after a first one that holds the rest. ``ids`` are
@@ -161,7 +166,7 @@ def cut_pieces(
                     names=["doc", "piece", "start", "length", "ids"],
                 )
 
-    rows = docs.select(boxed(docs).alias("doc"), docs[f"`{text}`"].alias("text"))
+    rows = docs.select(carried(docs, columns, text).alias("doc"), docs[f"`{text}`"].alias("text"))
     doc_type = rows.schema["doc"].dataType.simpleString()
     return rows.mapInArrow(
         work, f"doc {doc_type}, piece int, start long, length long, ids binary"

@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from visitfold.llm.common import boxed, offsets, utf8
+from visitfold.llm.common import boxed, offsets
 
 # The limits that the query states.
 LEAST_WORDS = 50
@@ -29,7 +29,7 @@ MOST_COVERED = 0.4
 MOST_LONGEST = 0.2
 
 #: Texts are taken together until they have so many words; a longer text goes alone.
-CHUNK_WORDS = 400_000
+CHUNK_WORDS = 100_000
 
 METRICS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -100,8 +100,7 @@ def measure(texts: list[list[bytes]], min_words: int) -> dict[str, np.ndarray]:
     n = int(sizes.sum())
     if not n:
         return out
-    ids: defaultdict[bytes, int] = defaultdict()
-    ids.default_factory = ids.__len__
+    ids: defaultdict[bytes, int] = defaultdict(count().__next__)
     flat = np.fromiter((ids[word] for words in texts for word in words), np.int64, n)
     text = np.repeat(np.arange(len(texts)), sizes)
     ends = np.repeat(offsets(sizes)[1:], sizes)
@@ -146,13 +145,13 @@ def quality(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column("text")
+            raw = batch.column("doc").field(place)
             begin = 0
             while begin < batch.num_rows:
                 texts: list[list[bytes]] = []
                 lines, chars, symbols, held = [], [], [], 0
                 while begin + len(texts) < batch.num_rows and (not texts or held < chunk_words):
-                    one = raw[begin + len(texts)].as_py()
+                    one = (raw[begin + len(texts)].as_py() or "").encode()
                     words = one.split()
                     as_text = b"".join(words).decode("utf-8", "replace")
                     chars.append(len(as_text))
@@ -176,6 +175,7 @@ def quality(
                 )
                 begin += len(texts)
 
-    rows = docs.select(boxed(docs).alias("doc"), utf8(docs[f"`{text}`"]).alias("text"))
+    place = docs.columns.index(text)
+    rows = docs.select(boxed(docs).alias("doc"))
     doc_type = rows.schema["doc"].dataType.simpleString()
     return rows.mapInArrow(work, f"doc {doc_type}, {METRICS}")

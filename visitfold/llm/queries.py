@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitfold.llm import ann, line_dedup, lm, mixing, packing, quality, simhash, substring_dedup, url_filter, warc
+from visitfold.llm.common import prepared
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

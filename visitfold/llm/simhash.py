@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitfold.llm.common import boxed, offsets, settle, utf8
+from visitfold.llm.common import boxed, carried, offsets, settle, utf8
 from visitfold.llm.components import components
 
 # What the query states.
@@ -74,9 +74,7 @@ def fingerprints(
                 [batch.column("doc"), pa.array(found.view(np.int64))], names=["doc", "fingerprint"]
             )
 
-    names = columns or [name for name in docs.columns if name != text]
-    carried = F.struct(*[docs[f"`{name}`"] for name in names])
-    rows = docs.select(carried.alias("doc"), utf8(docs[f"`{text}`"]).alias("text"))
+    rows = docs.select(carried(docs, columns, text).alias("doc"), utf8(docs[f"`{text}`"]).alias("text"))
     return rows.mapInArrow(work, f"doc {rows.schema['doc'].dataType.simpleString()}, fingerprint long")
 
 
