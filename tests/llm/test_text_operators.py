@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from visitfold.llm import components, line_dedup, quality, simhash, substring_dedup
+from visitfold.llm import components, line_dedup, near_copies, quality, simhash, substring_dedup
 
 from .conftest import CLASHING, prose
 
@@ -260,6 +260,56 @@ def test_one_of_each(docs, awkward):
     assert simhash.one_of_each(docs(EMPTY)).collect() == []
 
 
+def brute_copies(texts):
+    """Group number of each text by links of a Jaccard similarity of 0.8 or more over five words."""
+    sets = []
+    for text in texts:
+        words = words_of(text.encode().lower().decode())
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    group = list(range(len(sets)))
+    bands = Counter()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            similarity = len(a & b) / len(a | b)
+            if 5 * len(a & b) >= 4 * len(a | b):
+                bands[min(int(similarity * 20), 19)] += 1
+                old, new = group[i], group[j]
+                group = [new if one == old else one for one in group]
+    return group, bands
+
+
+@pytest.mark.parametrize("pairwise", [2, 64])
+def test_near_copies_equal_brute_force(docs, pairwise):
+    rng = random.Random(8)
+    phrase, rows = prose(rng, 6), []
+    for _ in range(12):
+        base = prose(rng, rng.randint(60, 160)).split()
+        texts = [base]
+        for _ in range(9):
+            words = list(rng.choice(texts))
+            for _ in range(rng.choice([1, 1, 2, 3, 4])):
+                at = rng.randrange(len(words))
+                words[at : at + rng.choice([0, 1, 1])] = [prose(rng, 1, "xyz")] * rng.choice([0, 1, 1])
+            texts.append(words)
+        rows += [(len(rows) + i, " ".join(words).title(), "a") for i, words in enumerate(texts)]
+    # unlike texts that share a phrase, short texts, and copies
+    rows += [(1000 + i, f"{prose(rng, 40)} {phrase} {prose(rng, 20)}", "a") for i in range(20)]
+    rows += [(2000 + i, text, "a") for i, text in enumerate(["", "  ", "a b", "A  b", "a c", rows[0][1], rows[0][1]])]
+    rng.shuffle(rows)
+    groups, bands = brute_copies([text for _, text, _ in rows])
+    assert all(bands[band] for band in (16, 17, 18, 19))
+    least = defaultdict(lambda: 1 << 60)
+    for (i, *_), group in zip(rows, groups):
+        least[group] = min(least[group], i)
+    kept = near_copies.one_of_each(docs(rows), pairwise=pairwise)
+    assert sorted(row["doc_id"] for row in kept.collect()) == sorted(least.values())
+    assert kept.columns == docs(EMPTY).columns
+
+
+def test_near_copies_of_nothing(docs):
+    assert near_copies.one_of_each(docs(EMPTY)).collect() == []
+
+
 def test_golay_keys():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 1 << 23, 3000)

@@ -38,22 +38,28 @@ GENERATOR = 0b101011100011
 LENGTH, CHECK_BITS = 23, 11
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
-    """Bits that are set in over half the hashes of a text's lower-cased word shingles."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE_WORDS) -> np.ndarray:
+    """Hashes of a text's lower-cased word shingles; a shorter text is one, without words there is none."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     starts = offsets(sizes + 1)[:-1]
     count = max(1, len(words) - shingle + 1)
     ends = (starts + sizes)[len(words) - count :]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(joined[a:b], HASH_SEED) for a, b in zip(starts[:count].tolist(), ends.tolist())),
         np.uint64,
         count,
     )
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
+    """Bits that are set in over half the hashes of a text's lower-cased word shingles."""
+    hashes = shingle_hashes(text, shingle)
+    count = len(hashes)
     ones = np.zeros(64, np.int64)
     for a in range(0, count, 8192):
         octets = hashes[a : a + 8192].astype("<u8").view(np.uint8).reshape(-1, 8)
