@@ -314,6 +314,29 @@ def test_items_over_half_do_not_pile_up(spark):
     assert placed.select("sequence_id").distinct().count() == placed.count() == 2000
 
 
+def test_long_items_before_short_ones_waste_no_sequence(spark):
+    items = spark.range(0, 8000, 1, 1).selectExpr("id", "IF(id < 4000, 1200L, 300L) AS length")
+    placed = packing.pack(items, chunk_items=1000)
+    found = placed.groupBy("sequence_id").agg(F.sum("length").alias("fill")).collect()
+    assert len(found) == 4000 and max(row["fill"] for row in found) <= 2048
+
+
+@given(st.lists(st.integers(1, 20), max_size=80))
+@settings(max_examples=200, deadline=None)
+def test_best_fit_in_runs_equals_one_by_one(sizes):
+    fills = []
+    for size in sorted(sizes, reverse=True):
+        fitting = [k for k, fill in enumerate(fills) if fill + size <= 20]
+        if fitting:
+            fills[max(fitting, key=lambda k: fills[k])] += size
+        else:
+            fills.append(size)
+    got = Counter()
+    for size, bin_ in zip(sizes, packing.best_fit(np.array(sizes, np.int64), 20).tolist()):
+        got[bin_] += size
+    assert sorted(got.values()) == sorted(fills)
+
+
 @given(st.lists(st.integers(1, 20), max_size=60))
 @settings(max_examples=100, deadline=None)
 def test_best_fit(sizes):

@@ -1,9 +1,9 @@
-"""Token sequences packed by best fit, locally and then up a tree.
+"""Token sequences packed by best fit over all items at once.
 
-Tasks tokenise whole texts and cut them into pieces. Every task packs its own pieces by best
-fit, longest first. Nearly full bins are final; the others go up a tree of fewer tasks as
-items themselves and are packed again, until one task holds what is left. A bin carries its
-members (at most ``capacity``, as a piece has a token at least), so nothing is joined.
+Tasks tokenise whole texts and cut them into pieces. Best fit, longest first, needs only how
+many items there are of each length, ``capacity`` numbers at most: it is planned on the
+driver in runs of items of one length. Items are numbered within their length by the tasks
+that write them, and find their sequence and offset by that number. No task holds bins.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import json
 import re
 import sys
 from array import array
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -19,21 +20,17 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from visitfold.llm.common import carried, offsets, settle
+from visitfold.llm.common import carried, settle
 
 CAPACITY = 2048
 END_ID = 0
-#: A bin with less free room than this share of the capacity is final at once.
-NEARLY_FULL = 0.005
-#: Items that one task packs at a time, also the bins that one task of the tree gets.
+#: Items that a task numbers or places at a time.
 CHUNK_ITEMS = 20_000
-#: Of the bins a task is given, at most this share goes up; the fullest others are final.
-CARRY = 0.25
 #: Words whose ids a Python worker remembers.
 MEMO_WORDS = 200_000
 
@@ -173,170 +170,123 @@ def cut_pieces(
     )
 
 
-def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """The bin of each item, longest items first, each into the fullest bin that has room.
+class Plan:
+    """Best fit of items known by their lengths' counts, longest first, each into the fullest
+    bin that has room.
 
-    Bins with equal room are kept together and the rooms in use are bits of one number, so
-    an item costs the same however many bins are open.
+    Bins with equal room are kept as runs of bin numbers, and the rooms in use are bits of one
+    number. The fullest bin with room for an item stays that until it has no room for another,
+    so a run takes as many items of a length as fit each of its bins, at once.
     """
-    place = np.empty(len(sizes), np.int64)
-    by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
-    used, bins = 0, 0
-    for item in np.argsort(-sizes, kind="stable").tolist():
-        size = int(sizes[item])
-        fitting = used >> size
-        if fitting:
-            room = size + (fitting & -fitting).bit_length() - 1
-            bin_ = by_room[room].pop()
-            if not by_room[room]:
-                used &= ~(1 << room)
-        else:
-            room, bin_, bins = capacity, bins, bins + 1
-        place[item] = bin_
-        by_room[room - size].append(bin_)
-        used |= 1 << (room - size)
-    return place
-
-
-def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... for each run, one after another."""
-    total = int(lengths.sum())
-    return np.arange(total) + np.repeat(starts - offsets(lengths)[:-1], lengths)
-
-
-def _merge(fill: np.ndarray, members: pa.ListArray, capacity: int) -> tuple[np.ndarray, pa.ListArray]:
-    """Pack bins as items; the new bins' fill and members."""
-    place = best_fit(fill, capacity)
-    order = np.argsort(place, kind="stable")
-    ends = np.asarray(members.offsets)
-    flat = members.values.take(pa.array(_spread(ends[:-1][order], np.diff(ends)[order])))
-    count = np.bincount(place, weights=np.diff(ends)).astype(np.int64)
-    total = np.bincount(place, weights=fill).astype(np.int64)
-    return total, pa.ListArray.from_arrays(pa.array(offsets(count), pa.int32()), flat, type=members.type)
-
-
-def _round(bins: DataFrame, level: int, last: bool, capacity: int, free: float, chunk: int) -> DataFrame:
-    """One level of the tree: tasks pack what they hold; ``open`` bins go up."""
-    schema = T.StructType(
-        [
-            T.StructField("sequence_id", T.LongType()),
-            T.StructField("fill", T.LongType()),
-            bins.schema["members"],
-            T.StructField("open", T.BooleanType()),
-        ]
-    )
-    limit = capacity - int(capacity * free)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = (level << 56) | (TaskContext.get().partitionId() << 32)
+    def __init__(self, counts: dict[int, int], capacity: int) -> None:
+        self.shift = 62 - capacity.bit_length()
+        by_room: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
+        used, self.bins, runs = 0, 0, []
+        for size in sorted(counts, reverse=True):
+            left, rank = counts[size], 0
+            while left:
+                fitting = used >> size
+                if fitting:
+                    room = size + (fitting & -fitting).bit_length() - 1
+                    first, bins = by_room[room].pop()
+                    if not by_room[room]:
+                        used &= ~(1 << room)
+                else:
+                    room, first, bins = capacity, self.bins, -(-left // (capacity // size))
+                    self.bins += bins
+                each = room // size
+                runs.append(((size << self.shift) + rank, each, first, capacity - room))
+                whole = min(bins, left // each)
+                some = left - whole * each if whole < bins else 0
+                rest = whole + (some > 0)
+                for at, n, taken in ((first, whole, each), (first + whole, rest - whole, some), (first + rest, bins - rest, 0)):
+                    if n:
+                        by_room[room - taken * size].append((at, n))
+                        used |= 1 << (room - taken * size)
+                left -= whole * each + some
+                rank += whole * each + some
+        runs.sort()
+        self.runs = np.array(runs, np.int64).reshape(-1, 4).T.copy()
+
+    def place(self, sizes: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bin and offset of items by their length and number within it."""
+        begin, each, first, offset = self.runs
+        key = (sizes << self.shift) + ranks
+        run = np.searchsorted(begin, key, "right") - 1
+        bin_, at = np.divmod(key - begin[run], each[run])
+        return first[run] + bin_, offset[run] + at * sizes
+
+
+def numbered(sizes: np.ndarray, seen: Counter[int]) -> np.ndarray:
+    """The number of each item among those of its length, on from those ``seen``, which grows."""
+    order = np.argsort(sizes, kind="stable")
+    values, starts, counts = np.unique(sizes[order], return_index=True, return_counts=True)
+    before = np.array([seen[size] for size in values.tolist()], np.int64)
+    out = np.empty(len(sizes), np.int64)
+    out[order] = np.arange(len(sizes)) + np.repeat(before - starts, counts)
+    seen.update(dict(zip(values.tolist(), counts.tolist())))
+    return out
 
-        def out(fill, members, open_):
-            nonlocal made
-            for a in range(0, len(fill), 2000):
-                some = slice(a, a + 2000)
-                n = len(fill[some])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(made, made + n)),
-                        pa.array(fill[some]),
-                        members.slice(a, n),
-                        pa.array(np.full(n, open_)),
-                    ],
-                    names=schema.names,
-                )
-                made += n
-
-        def packed(held):
-            fill = np.concatenate([np.asarray(f) for f, _ in held])
-            return _merge(fill, pa.concat_arrays([m for _, m in held]), capacity)
 
-        def some(fill, members, where):
-            at = np.flatnonzero(where)
-            return fill[at], members.take(pa.array(at))
-
-        held, n, seen = [], 0, 0
-        for batch in batches:
-            for a in range(0, batch.num_rows, chunk):
-                part = batch.slice(a, chunk)
-                held.append((part.column("fill"), pa.concat_arrays([part.column("members")])))
-                n, seen = n + part.num_rows, seen + part.num_rows
-                if n >= chunk:
-                    fill, members = packed(held)
-                    most = int(chunk * CARRY)
-                    up = fill < limit
-                    up[np.argsort(fill, kind="stable")[most:]] = False
-                    yield from out(*some(fill, members, ~up), False)
-                    held, n = [some(fill, members, up)], int(up.sum())
-        if held:
-            fill, members = packed(held)
-            up = (fill < limit) & (not last)
-            up[np.argsort(fill, kind="stable")[max(1, int(chunk * CARRY)) :]] = False
-            yield from out(*some(fill, members, ~up), False)
-            yield from out(*some(fill, members, up), True)
-
-    return bins.select("fill", "members").mapInArrow(work, schema)
+def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
+    """The bin of each item, longest items first, each into the fullest bin that has room."""
+    seen: Counter[int] = Counter()
+    ranks = numbered(sizes, seen)
+    return Plan(seen, capacity).place(sizes, ranks)[0]
 
 
 def pack(
     items: DataFrame,
     length: str = "length",
     capacity: int = CAPACITY,
-    nearly_full: float = NEARLY_FULL,
     chunk_items: int = CHUNK_ITEMS,
 ) -> DataFrame:
     """Columns of ``items`` with sequence_id and offset.
 
-    Every item (1 to ``capacity`` long) is in one sequence, at an offset without gaps. Bins
-    with less than ``nearly_full`` of the capacity free are final where they arise. A task
-    passes on a quarter of a chunk at most, the emptiest bins; the others are final as they
-    are, so the levels shrink whatever the sizes, and no item is left out. Columns named
-    like the added ones are replaced.
+    Every item (1 to ``capacity`` long) is in one sequence, at an offset without gaps. The
+    sequences are those of best fit over all items, whatever order they are stored in. Rows of
+    a sequence need not be together. Columns named like the added ones are replaced.
     """
     kept = [name for name in items.columns if name not in ("sequence_id", "offset")]
-    members = F.array(F.struct(*[items[f"`{name}`"] for name in kept]))
-    bins = items.select(
-        F.col(f"`{length}`").cast("long").alias("fill"), members.alias("members")
+    rows = items.select(
+        F.struct(*[items[f"`{name}`"] for name in kept]).alias("item"),
+        items[f"`{length}`"].cast("long").alias("size"),
     )
-    level, finals = 0, []
-    table = settle(_round(bins, 0, False, capacity, nearly_full, chunk_items), "bins")
-    while True:
-        finals.append(table.where("NOT open"))
-        left = table.where("open")
-        tasks = -(-left.count() // chunk_items)
-        if not tasks:
-            break
-        level += 1
-        held = left.coalesce(tasks)
-        table = settle(_round(held, level, tasks == 1, capacity, nearly_full, chunk_items), "bins")
-    bins = finals[0]
-    for more in finals[1:]:
-        bins = bins.unionByName(more)
-    return _unpack(bins, kept, length)
-
-
-def _unpack(bins: DataFrame, kept: list[str], length: str) -> DataFrame:
-    element = bins.schema["members"].dataType.elementType
+    item = rows.schema["item"].dataType
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen = TaskContext.get().partitionId(), Counter()
+        for batch in batches:
+            for a in range(0, batch.num_rows, chunk_items):
+                some = batch.slice(a, chunk_items)
+                ranks = numbered(np.asarray(some.column("size")), seen)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("item"), some.column("size"), pa.array(np.full(len(ranks), part)), pa.array(ranks)],
+                    names=["item", "size", "part", "rank"],
+                )
+
     schema = T.StructType(
-        [*element.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+        [T.StructField("item", item), *[T.StructField(name, T.LongType()) for name in ("size", "part", "rank")]]
     )
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    written = settle(rows.mapInArrow(number, schema), "items")
+    counts = written.groupBy("part", "size").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("size").orderBy("part")) - F.col("n")
+    counts = settle(counts.withColumn("before", before), "counts")
+    totals = counts.groupBy("size").agg(F.sum("n").alias("n")).collect()
+    plan = items.sparkSession.sparkContext.broadcast(Plan({row["size"]: row["n"] for row in totals}, capacity))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                part = batch.slice(a, 1000)
-                members = pa.concat_arrays([part.column("members")])
-                ends = np.asarray(members.offsets)
-                flat = members.values.slice(ends[0], ends[-1] - ends[0])
-                counts = np.diff(ends)
-                before = offsets(np.asarray(flat.field(kept.index(length))))
-                at = before[:-1] - np.repeat(before[ends[:-1] - ends[0]], counts)
+            for a in range(0, batch.num_rows, chunk_items):
+                some = batch.slice(a, chunk_items)
+                bins, at = plan.value.place(np.asarray(some.column("size")), np.asarray(some.column("rank")))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *flat.flatten(),
-                        pa.array(np.repeat(np.asarray(part.column("sequence_id")), counts)),
-                        pa.array(at),
-                    ],
-                    names=schema.names,
+                    [*some.column("item").flatten(), pa.array(bins), pa.array(at)], names=placed.names
                 )
 
-    return bins.select("sequence_id", "members").mapInArrow(work, schema)
+    placed = T.StructType(
+        [*item.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+    )
+    found = written.join(counts.select("part", "size", "before"), ["part", "size"])
+    return found.select("item", "size", (F.col("rank") + F.col("before")).alias("rank")).mapInArrow(place, placed)
