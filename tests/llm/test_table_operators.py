@@ -314,6 +314,13 @@ def test_items_over_half_do_not_pile_up(spark):
     assert placed.select("sequence_id").distinct().count() == placed.count() == 2000
 
 
+def test_keepers_are_written_before_payloads_join(spark):
+    rows = [(k, "u", "x" * 2000 if k % 3 else f"{k}" * 2000) for k in range(1, 7)]
+    found = warc.tagged(spark.createDataFrame(rows, "page_id long, url string, html string"), "page_id", "url", "html", 1000)
+    assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {row["page_id"]: row["refers_to"] for row in found.collect()} == {1: 5, 2: 5, 3: None, 4: 5, 5: None, 6: None}
+
+
 def test_long_items_before_short_ones_waste_no_sequence(spark):
     items = spark.range(0, 8000, 1, 1).selectExpr("id", "IF(id < 4000, 1200L, 300L) AS length")
     placed = packing.pack(items, chunk_items=1000)

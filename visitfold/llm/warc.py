@@ -61,6 +61,7 @@ def tagged(pages: DataFrame, page_id: str, url: str, html: str, least: int) -> D
         .where("copies > 1")
         .select("digest", "size", "keeper")
     )
+    keepers = settle(keepers, "keepers")  # a table of its own, so that the join splits a hot payload
     revisits = F.col("keeper").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper"))
     return coded.join(keepers, ["digest", "size"], "left").select(
         *("page_id", "url", "payload", "digest", "size"),
