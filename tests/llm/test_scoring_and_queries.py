@@ -138,6 +138,15 @@ def test_beats_the_base_on_held_out_documents(spark):
     assert row["score"] - row["base"] > 0.1 * row["n"]
 
 
+@pytest.mark.parametrize("most", [0, 3, 5, 7, 20])
+def test_most_frequent_words_of_flat_counts(spark, most):
+    rows = [(b"w%02d" % k, 1000 + k % 3) for k in range(12)] + [(b"often", 9000)]
+    common, others = lm.by_frequency(spark.createDataFrame(rows, "word binary, n long"), most)
+    order = sorted(rows, key=lambda row: (-row[1], row[0]))
+    assert {bytes(row["word"]) for row in common.collect()} == {word for word, _ in order[:most]}
+    assert {bytes(row["word"]) for row in others.collect()} == {word for word, _ in order[most:]}
+
+
 # Pipeline
 
 
