@@ -171,6 +171,14 @@ def test_awkward_lines(docs, awkward):
     assert lines_found(EMPTY, docs(EMPTY)) == Counter()
 
 
+def test_equal_short_lines_go_if_asked(docs):
+    line = "five words of one line"
+    rows = [(1, f"read more\n\n{line}\nmenu", "a"), (2, f"read  more\nread less\n{line}s\nwords of one line", "a")]
+    rows.append((3, "menu\n \nmenu\nwords of one line", "a"))
+    found = line_dedup.repeated_lines(docs(rows), short=True).collect()
+    assert {row["doc_id"]: row["removed"] for row in found} == {1: [], 2: [0, 2], 3: [0, 2, 3]}
+
+
 def test_null_ids_come_last_and_ties_keep_one(docs):
     line = "these five words stay here"
     rows = [(None, line, "a"), (3, f"{line}\nother", "a"), (3, f"x\n{line}", "a"), (4, line, "a")]

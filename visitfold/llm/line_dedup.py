@@ -74,10 +74,10 @@ def _digests(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
 
 
-def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
+def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int, short: bool) -> DataFrame:
     """A row for each line of ``min_words`` or more, and one for each document at line -1.
 
-    The document's row has the number of its lines that have a word in ``n``.
+    ``short`` adds the shorter lines that have a word, without halves: only equal ones meet. The document's row has the number of its lines that have a word in ``n``.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,13 +90,14 @@ def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame
                     for at, one in enumerate(raw[i].as_py().split(b"\n")):
                         words = one.split()
                         filled += bool(words)
-                        if len(words) >= min_words:
+                        near = len(words) >= min_words
+                        if near or (short and words):
                             row.append(i)
                             line.append(at)
                             size.append(len(words))
                             digest.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                            half += halves(words)
-                            count.append(HALVES)
+                            half += halves(words) if near else []
+                            count.append(HALVES if near else 0)
                     row.append(i)
                     line.append(-1)
                     size.append(filled)
@@ -243,17 +244,18 @@ def _earlier(partners: DataFrame, firsts: DataFrame) -> DataFrame:
 
 
 def repeated_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, short: bool = False
 ) -> DataFrame:
     """For every row: doc_id, key, n_lines (with a word) and removed, the numbers of its lines to go.
 
     Lines are cut at line feeds and numbered from 0; words decide, not the white space
     between them. A line of ``min_words`` or more goes if an equal line, or one within one
-    word of it, is earlier in (doc_id, key, line), a null doc_id last. That is decided on all
+    word of it, is earlier in (doc_id, key, line), a null doc_id last; with ``short`` a shorter
+    one goes too if an equal line is earlier. That is decided on all
     lines as given: a line may go because of one that goes itself. Rows equal in doc_id and
     text count once and are treated alike. Null and empty texts have no lines.
     """
-    lines = settle(_lines(docs, doc_id, text, min_words), "lines")
+    lines = settle(_lines(docs, doc_id, text, min_words, short), "lines")
     real = lines.where("line >= 0")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "line")
     firsts = settle(real.groupBy("h1", "h2").agg(F.min(order).alias("first")), "firsts")
@@ -278,13 +280,13 @@ def repeated_lines(
 
 
 def drop_repeated_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, short: bool = False
 ) -> DataFrame:
     """Every row as ``doc``, with ``text`` without its repeated lines and ``changed``.
 
     ``text`` keeps the other lines as they are; a text that loses nothing stays, null too.
     """
-    cuts = repeated_lines(docs, doc_id, text, min_words).where("size(removed) > 0")
+    cuts = repeated_lines(docs, doc_id, text, min_words, short).where("size(removed) > 0")
     cuts = settle(cuts.select("doc_id", "key", "removed").dropDuplicates(["doc_id", "key"]), "cuts")
     rows = docs.select(
         boxed(docs).alias("doc"),
