@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitfold.llm import ann, line_dedup, lm, mixing, packing, quality, simhash, substring_dedup, url_filter, warc
+from visitfold.llm import (
+    ann,
+    line_dedup,
+    lm,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    spelling,
+    substring_dedup,
+    url_filter,
+    warc,
+)
 from visitfold.llm.common import prepared
 
 
@@ -108,6 +120,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = spelling.word_counts(docs, damaged=spelling.DAMAGED)
+    return spelling.forms(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_simhash": op2_simhash,
@@ -119,4 +137,5 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_spelling_variants": op11_spelling_variants,
 }
