@@ -11,6 +11,7 @@ from visitfold.llm import (
     lm,
     mixing,
     packing,
+    periodic,
     quality,
     simhash,
     spelling,
@@ -18,7 +19,7 @@ from visitfold.llm import (
     url_filter,
     warc,
 )
-from visitfold.llm.common import prepared
+from visitfold.llm.common import WORD, prepared
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,6 +127,39 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.forms(words).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text; one text in ten repeats a block of its words from some word on.
+
+    Which, where and how long the block is follows from the checksum of the document's number.
+    """
+    number = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    planted = F.coalesce((F.col("h") % 10 == 0) & F.col("text").rlike(WORD), F.lit(False))
+    others = number.where(~planted).select("doc_id", "text")
+    chosen = number.where(planted).withColumn("words", F.regexp_extract_all("text", F.lit(f"({WORD})")))
+    placed = chosen.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    placed = placed.withColumn("a", (F.col("g") % F.col("n")).cast("int")).withColumn(
+        "p", F.expr("cast(1 + floor((n - a) / (3 + g % 8)) as int)")
+    )
+    block = F.expr("array_repeat(slice(words, a + 1, p), cast(ceil((n - a) / p) as int))")
+    repeated = F.concat(F.expr("slice(words, 1, a)"), F.slice(F.flatten(block), F.lit(1), F.col("n") - F.col("a")))
+    return placed.select("doc_id", F.array_join(repeated, " ").alias("text")).unionByName(others)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(docs)
+    lines = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    listed = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        *("start", "length", "period"),
+        F.floor(1000 * F.col("length") / F.col("period")).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_simhash": op2_simhash,
@@ -138,4 +172,5 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_spelling_variants": op11_spelling_variants,
+    "op13_periodic_runs": op13_periodic_runs,
 }
