@@ -10,6 +10,7 @@ from visitfold.llm import (
     line_dedup,
     lm,
     mixing,
+    ngram_join,
     packing,
     periodic,
     quality,
@@ -127,6 +128,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.forms(words).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = ngram_join.similar_texts(docs)
+    return found.select(F.col("doc.doc_id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def with_planted_repeats(docs: DataFrame) -> DataFrame:
     """doc_id and text; one text in ten repeats a block of its words from some word on.
 
@@ -172,5 +179,6 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
     "op13_periodic_runs": op13_periodic_runs,
 }
