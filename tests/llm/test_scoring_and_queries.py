@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import sys
 import zlib
 from collections import Counter, defaultdict
@@ -19,8 +20,10 @@ from tokenizers import Tokenizer
 import __spark_entry__
 import corpus_pipeline
 from visitfold.llm import line_dedup, lm, oracle, quality, queries
+from visitfold.llm.common import settle
 from workload.check import compare
 
+from .conftest import prose
 from .test_text_operators import brute_groups, brute_lines, brute_print, brute_quality, brute_windows, left_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -177,10 +180,56 @@ def test_line_stage(spark, docs, awkward):
 
 def test_near_duplicate_stage_leaves_one(spark, docs, awkward):
     kept = corpus_pipeline.near_duplicates(spark, docs(awkward), SMALL)
-    groups = set(brute_groups([brute_print(text, 5) for _, text, _ in awkward]))
+    groups = set(brute_groups([brute_print(text) for _, text, _ in awkward]))
     assert kept.count() == len(groups) and kept.columns == docs([]).columns
 
 
+def test_near_duplicate_stage_takes_three_words_and_two_bits(spark, docs):
+    """Texts on which other shingle lengths would decide otherwise."""
+    rng = random.Random(4)
+    rows = []
+    while len(rows) < 40:
+        words = prose(rng, rng.randint(150, 500)).split()
+        other = list(words)
+        other[rng.randrange(len(words))] = "changed"
+        rows += [(len(rows), " ".join(words), "a"), (len(rows) + 1, " ".join(other), "b")]
+    expected = {}
+    for (i, *_), group in zip(rows, brute_groups([brute_print(text) for _, text, _ in rows])):
+        expected[group] = min(i, expected.get(group, i))
+    other = brute_groups([brute_print(text, 5) for _, text, _ in rows])
+    assert len(set(other)) != len(expected) < len(rows)
+    kept = corpus_pipeline.near_duplicates(spark, docs(rows), SMALL)
+    assert sorted(row["doc_id"] for row in kept.collect()) == sorted(expected.values())
+
+
+def test_stages_take_awkward_rows(spark, docs, awkward):
+    """All stages after one another on nulls, empty and long texts, ties, repeated rows and clashing columns."""
+    table = docs(awkward)
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        rows = stage(spark, table, SMALL)
+        assert rows.columns == table.columns, name
+        before = table.count()
+        table = settle(rows, name)
+        assert 0 < table.count() <= before * (3 if name == "source_mixing" else 1), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, table, SMALL).collect()
+    pieces = Counter((row["doc_id"], row["piece"]) for row in packed)
+    wanted = Counter(row["doc_id"] for row in table.select("doc_id").collect())
+    assert {i: n for (i, piece), n in pieces.items() if piece == 0} == wanted
+
+
+def test_stages_on_an_empty_table(spark, docs):
+    for name, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, docs([]), SMALL)
+        assert rows.collect() == [], name
+        assert name == "best_fit_packing" or rows.columns == docs([]).columns
+
+
+def test_mixing_stage_keeps_the_weights(spark, docs):
+    rows = [(i, f"w{i} " * 50, "abc"[i % 3]) for i in range(300)]
+    taken = corpus_pipeline.source_mixing(spark, docs(rows), SMALL).groupBy("source").count().collect()
+    assert {row["source"]: row["count"] for row in taken} == {"a": 50, "b": 100, "c": 150}
+
+
 def test_pipeline_on_the_small_tables(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "line_dedup", "simhash_near_dedup", "source_mixing", "best_fit_packing",
@@ -192,7 +241,7 @@ def test_pipeline_on_the_small_tables(spark):
     lines = [(i, left_of(t, removed[i, t or ""]), s) for i, t, s in good]
     lines = [(i, t, s) for i, t, s in lines if t is not None and t.encode().split()]
     first = {}
-    for row, group in sorted(zip(lines, brute_groups([brute_print(t, 5) for _, t, _ in lines]))):
+    for row, group in sorted(zip(lines, brute_groups([brute_print(t) for _, t, _ in lines]))):
         first.setdefault(group, row)
     texts = {i: t for i, t, _ in first.values()}
     packed = corpus_pipeline.run(spark, SMALL).collect()
@@ -309,7 +358,7 @@ def test_entry_works_without_this_subpackage(tmp_path):
     whole = __spark_entry__.queries()
     ours = len(queries.QUERIES) + 1
     assert said.stdout.split()[0] == str(len(whole) - ours) and said.stdout.split()[2] == "False"
-    assert "pipeline" in whole and len([n for n in whole if n.startswith("op")]) == 10
+    assert "pipeline" in whole and len([n for n in whole if n.startswith("op")]) == 13
 
 
 def test_thresholds_are_those_of_the_module():

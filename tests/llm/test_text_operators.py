@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from visitfold.llm import components, line_dedup, near_copies, quality, simhash, substring_dedup
+from visitfold.llm import components, line_dedup, quality, simhash, substring_dedup
 
 from .conftest import CLASHING, prose
 
@@ -123,8 +123,9 @@ def brute_lines(rows, least=line_dedup.MIN_WORDS):
         out[i, text] = []
         for at, line in enumerate(text.split("\n")):
             words = line.encode().split()
-            if len(words) >= least:
-                if any(within_one_word(words, other) for other in seen):
+            if words:
+                near = within_one_word if len(words) >= least else list.__eq__
+                if any(near(words, other) for other in seen if len(other) >= least or words == other):
                     out[i, text].append(at)
                 seen.append(words)
     return out
@@ -171,14 +172,42 @@ def test_awkward_lines(docs, awkward):
     assert lines_found(EMPTY, docs(EMPTY)) == Counter()
 
 
-def test_equal_short_lines_go_if_asked(docs):
+def test_equal_short_lines_go(docs):
     line = "five words of one line"
     rows = [(1, f"read more\n\n{line}\nmenu", "a"), (2, f"read  more\nread less\n{line}s\nwords of one line", "a")]
     rows.append((3, "menu\n \nmenu\nwords of one line", "a"))
-    found = line_dedup.repeated_lines(docs(rows), short=True).collect()
+    found = line_dedup.repeated_lines(docs(rows)).collect()
     assert {row["doc_id"]: row["removed"] for row in found} == {1: [], 2: [0, 2], 3: [0, 2, 3]}
 
 
+def test_lines_that_differ_in_many_words_stay(docs):
+    """Two words in Thue-Morse order, where polynomials modulo a power of two collide."""
+    order = [bin(i).count("1") % 2 for i in range(1024)]
+    head, tail = ["same"] * 1100, ["end"] * 5
+    lines = [" ".join([*head, *(pair[bit] for bit in order), *tail]) for pair in (("yes", "no"), ("no", "yes"))]
+    found = line_dedup.repeated_lines(docs([(i, line, "a") for i, line in enumerate(lines)])).collect()
+    assert [row["removed"] for row in found] == [[], []]
+
+
+def test_only_needed_lines_pass_the_bitmap(spark):
+    texts = spark.range(4000).selectExpr("xxhash64(id) AS h1", "xxhash64(id, 7) AS h2", "binary('w') AS words")
+    wanted = texts.where("pmod(h1, 40) = 0").select("h1", "h2")
+    for rows, most in ((1 << 20, 0), (1 << 12, 40), (1, 4000)):
+        passed = line_dedup._needed(texts, wanted, rows)
+        assert passed.join(wanted, ["h1", "h2"], "left_semi").count() == wanted.count()
+        assert passed.count() <= wanted.count() + most
+
+
+@pytest.mark.parametrize("common", [True, False])
+def test_within_one_word(common):
+    rng = random.Random(3)
+    for _ in range(300):
+        one, two = ([rng.choice([b"a", b"b"]) for _ in range(rng.randint(1, 5))] for _ in range(2))
+        if common:
+            two = [*one[: rng.randint(0, len(one))], *two[-1:], *one[rng.randint(0, len(one)) :]]
+        assert line_dedup.within_one_word(one, two) == within_one_word(one, two)
+
+
 def test_null_ids_come_last_and_ties_keep_one(docs):
     line = "these five words stay here"
     rows = [(None, line, "a"), (3, f"{line}\nother", "a"), (3, f"x\n{line}", "a"), (4, line, "a")]
@@ -268,56 +297,6 @@ def test_one_of_each(docs, awkward):
     assert simhash.one_of_each(docs(EMPTY)).collect() == []
 
 
-def brute_copies(texts):
-    """Group number of each text by links of a Jaccard similarity of 0.8 or more over five words."""
-    sets = []
-    for text in texts:
-        words = words_of(text.encode().lower().decode())
-        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
-    group = list(range(len(sets)))
-    bands = Counter()
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            similarity = len(a & b) / len(a | b)
-            if 5 * len(a & b) >= 4 * len(a | b):
-                bands[min(int(similarity * 20), 19)] += 1
-                old, new = group[i], group[j]
-                group = [new if one == old else one for one in group]
-    return group, bands
-
-
-@pytest.mark.parametrize("pairwise", [2, 64])
-def test_near_copies_equal_brute_force(docs, pairwise):
-    rng = random.Random(8)
-    phrase, rows = prose(rng, 6), []
-    for _ in range(12):
-        base = prose(rng, rng.randint(60, 160)).split()
-        texts = [base]
-        for _ in range(9):
-            words = list(rng.choice(texts))
-            for _ in range(rng.choice([1, 1, 2, 3, 4])):
-                at = rng.randrange(len(words))
-                words[at : at + rng.choice([0, 1, 1])] = [prose(rng, 1, "xyz")] * rng.choice([0, 1, 1])
-            texts.append(words)
-        rows += [(len(rows) + i, " ".join(words).title(), "a") for i, words in enumerate(texts)]
-    # unlike texts that share a phrase, short texts, and copies
-    rows += [(1000 + i, f"{prose(rng, 40)} {phrase} {prose(rng, 20)}", "a") for i in range(20)]
-    rows += [(2000 + i, text, "a") for i, text in enumerate(["", "  ", "a b", "A  b", "a c", rows[0][1], rows[0][1]])]
-    rng.shuffle(rows)
-    groups, bands = brute_copies([text for _, text, _ in rows])
-    assert all(bands[band] for band in (16, 17, 18, 19))
-    least = defaultdict(lambda: 1 << 60)
-    for (i, *_), group in zip(rows, groups):
-        least[group] = min(least[group], i)
-    kept = near_copies.one_of_each(docs(rows), pairwise=pairwise)
-    assert sorted(row["doc_id"] for row in kept.collect()) == sorted(least.values())
-    assert kept.columns == docs(EMPTY).columns
-
-
-def test_near_copies_of_nothing(docs):
-    assert near_copies.one_of_each(docs(EMPTY)).collect() == []
-
-
 def test_golay_keys():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 1 << 23, 3000)
