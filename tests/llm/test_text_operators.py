@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from visitfold.llm import components, line_dedup, quality, simhash, substring_dedup
 
+from visitfold.llm.common import sifted
+
 from .conftest import CLASHING, prose
 
 EMPTY: list = []
@@ -193,7 +195,7 @@ def test_only_needed_lines_pass_the_bitmap(spark):
     texts = spark.range(4000).selectExpr("xxhash64(id) AS h1", "xxhash64(id, 7) AS h2", "binary('w') AS words")
     wanted = texts.where("pmod(h1, 40) = 0").select("h1", "h2")
     for rows, most in ((1 << 20, 0), (1 << 12, 40), (1, 4000)):
-        passed = line_dedup._needed(texts, wanted, rows)
+        passed = sifted(texts, wanted, ["h1", "h2"], rows)
         assert passed.join(wanted, ["h1", "h2"], "left_semi").count() == wanted.count()
         assert passed.count() <= wanted.count() + most
 

@@ -29,6 +29,28 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Rows of the bitmap of ``sifted``, 64 bits each: 16 MB at most.
+BITMAP_ROWS = 1 << 20
+
+
+def sifted(rows: DataFrame, wanted: DataFrame, on: list[str], bitmap_rows: int = BITMAP_ROWS) -> DataFrame:
+    """Rows that may have a partner in ``wanted``, for a join that follows and drops the rest.
+
+    Told by a bitmap of bounded size, which is broadcast, so that long texts without a
+    partner are not shuffled. Four bits of one of its words of 64 are set for every wanted
+    key; the more keys, the more other rows pass by chance, up to all.
+    """
+    place = F.pmod(F.xxhash64(*on), F.lit(bitmap_rows)).alias("_row")
+    code = F.xxhash64(*on, F.lit(1))
+    bits = F.lit(0).cast("long")
+    for k in range(4):
+        at = F.shiftright(code, 6 * k).bitwiseAND(F.lit(63)).cast("int")
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))
+    bitmap = wanted.select(place, bits.alias("_bits")).groupBy("_row").agg(F.bit_or("_bits").alias("_bits"))
+    marked = rows.withColumn("_row", place).join(F.broadcast(settle(bitmap, "bitmap")), "_row")
+    return marked.where(F.col("_bits").bitwiseAND(bits) == bits).select(*rows.columns)
+
+
 def settle(rows: DataFrame, label: str) -> DataFrame:
     """Write rows below the cluster's shared folder and read them back.
 
@@ -46,7 +68,19 @@ def settle(rows: DataFrame, label: str) -> DataFrame:
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    return spark.read.schema(rows.schema).parquet(path)
+    table = spark.read.schema(rows.schema).parquet(path)
+    table.settled_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``settle`` wrote, once nothing is read from them any more."""
+    for table in tables:
+        path = getattr(table, "settled_at", None)
+        if path:
+            spark = table.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def utf8(text: str | Column) -> Column:

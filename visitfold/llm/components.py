@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitfold.llm.common import settle
+from visitfold.llm.common import discard, settle
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -33,9 +33,9 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = settle(both.groupBy("a").agg(F.least("a", F.min("b")).alias("least")), "least")
+        nearest = settle(both.groupBy("a").agg(F.least("a", F.min("b")).alias("least")), "least")
         large = (
-            both.join(least, "a")
+            both.join(nearest, "a")
             .where("b > a AND b <> least")
             .select(F.col("b").alias("a"), F.col("least").alias("b"))
             .distinct()
@@ -47,7 +47,8 @@ def components(edges: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        edges = settle(small, "links")
+        before, edges = edges, settle(small, "links")
+        discard(before, nearest)
         now = _state(edges)
         if now == state:
             break

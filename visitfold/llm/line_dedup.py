@@ -4,7 +4,8 @@ A line is a sequence of words. Two lines are within one edit (a word put in, lef
 replaced) if deleting the same position makes them equal, or deleting a word of one gives
 the other. Lines emit the hashes of themselves and of their variants with one word deleted;
 equal hashes meet in a join, position and length tell a replaced word from two edits, and a
-line is removed if the earliest line it meets comes before it.
+line is removed if the earliest line it meets comes before it and is, word by word, within
+one edit. Lines of few words are removed only if they are equal to an earlier one.
 
 Variants are emitted only where they can matter: two lines within one edit agree in their
 first or their second half, so a line none of whose halves occurs in another line has no
@@ -21,14 +22,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitfold.llm.common import boxed, offsets, settle, utf8
+from visitfold.llm.common import boxed, discard, offsets, settle, sifted, utf8
 
-#: Shorter lines are left alone: one word is too much of them.
+#: Shorter lines have to be equal: one word is too much of them.
 MIN_WORDS = 5
 HALVES = 3
 
-# Two odd multipliers of polynomial hashes modulo 2^64, from the golden ratio and from pi.
-BASES = (0x9E3779B97F4A7C15, 0x3243F6A8885A308D)
+# Two odd numbers from which the multipliers of places are made, from the golden ratio and from pi.
+SEEDS = (0x9E3779B97F4A7C15, 0x3243F6A8885A308D)
 
 
 def document_key(docs: DataFrame, doc_id: str, text: str) -> Column:
@@ -74,10 +75,11 @@ def _digests(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
 
 
-def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int, short: bool) -> DataFrame:
-    """A row for each line of ``min_words`` or more, and one for each document at line -1.
+def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
+    """A row for each line that has a word, and one for each document at line -1.
 
-    ``short`` adds the shorter lines that have a word, without halves: only equal ones meet. The document's row has the number of its lines that have a word in ``n``.
+    Lines under ``min_words`` have no halves: only equal ones meet. The document's row has the
+    number of its lines that have a word in ``n``.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +93,7 @@ def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int, short: bool)
                         words = one.split()
                         filled += bool(words)
                         near = len(words) >= min_words
-                        if near or (short and words):
+                        if words:
                             row.append(i)
                             line.append(at)
                             size.append(len(words))
@@ -131,27 +133,23 @@ def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int, short: bool)
 
 
 def _line_texts(docs: DataFrame, text: str, min_words: int) -> DataFrame:
-    """h1, h2 and the words of lines; a task emits equal lines once."""
+    """h1, h2 and the words of all lines of so many words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
         for batch in batches:
             raw = batch.column("text")
             for a in range(0, batch.num_rows, 500):
-                digest, lines = [], []
+                found: dict[bytes, bytes] = {}
                 for i in range(a, min(a + 500, batch.num_rows)):
                     for one in raw[i].as_py().split(b"\n"):
                         words = one.split()
                         if len(words) >= min_words:
                             line = b" ".join(words)
-                            code = xxhash.xxh3_128_digest(line)
-                            if code not in seen:
-                                seen.add(code)
-                                digest.append(code)
-                                lines.append(line)
-                h1, h2 = _digests(digest)
+                            found[xxhash.xxh3_128_digest(line)] = line
+                h1, h2 = _digests(list(found))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1), pa.array(h2), pa.array(lines, pa.binary())], names=["h1", "h2", "words"]
+                    [pa.array(h1), pa.array(h2), pa.array(list(found.values()), pa.binary())],
+                    names=["h1", "h2", "words"],
                 )
 
     return docs.select(utf8(docs[f"`{text}`"]).alias("text")).mapInArrow(
@@ -159,16 +157,28 @@ def _line_texts(docs: DataFrame, text: str, min_words: int) -> DataFrame:
     )
 
 
+def _multipliers(count: int, seed: int) -> np.ndarray:
+    """An odd number for every place of a sequence, by the SplitMix64 mixer."""
+    z = np.arange(1, count + 1, dtype=np.uint64) * np.uint64(seed)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (z ^ (z >> np.uint64(31))) | np.uint64(1)
+
+
 def variants(words: list[bytes], at: np.ndarray) -> list[np.ndarray]:
-    """Two polynomial hashes of the whole line and of it with each word of ``at`` deleted."""
+    """Two hashes of the whole line and of it with each word of ``at`` deleted.
+
+    Sums of the words' codes, each times a number that its place alone decides.
+    """
     codes = np.array([xxhash.xxh64_intdigest(word) for word in words], np.uint64)
+    zero = np.zeros(1, np.uint64)
     out = []
-    for base in BASES:
-        power = np.cumprod(np.full(len(codes), base, np.uint64)) * codes
-        before = np.concatenate((np.zeros(1, np.uint64), np.cumsum(power)))
-        inverse = np.uint64(pow(base, -1, 1 << 64))
-        deleted = before[at] + (before[-1] - before[at + 1]) * inverse
-        out.append(np.concatenate((before[-1:], deleted)))
+    for seed in SEEDS:
+        by_place = _multipliers(len(codes), seed)
+        before = np.concatenate((zero, np.cumsum(by_place * codes)))
+        # words behind the deleted one move up by one place
+        moved = np.concatenate((zero, np.cumsum(by_place[:-1] * codes[1:])))
+        out.append(np.concatenate((before[-1:], before[at] + (moved[-1] - moved[at]))))
     return out
 
 
@@ -202,66 +212,100 @@ def _variants(lines: DataFrame) -> DataFrame:
     return lines.mapInArrow(work, "v1 long, v2 long, at int, h1 long, h2 long")
 
 
-def _partners(lines: DataFrame, docs: DataFrame, text: str, min_words: int) -> DataFrame:
-    """Variants (v1, v2, at, h1, h2) that occur in more than one line."""
+def _partners(lines: DataFrame, docs: DataFrame, text: str, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """Variants (v1, v2, at, h1, h2) that occur in more than one line, and the words of such lines."""
     each = lines.select("h1", "h2", F.posexplode("halves").alias("bit", "half"))
-    differ = (F.min("h1") < F.max("h1")) | (F.min("h2") < F.max("h2"))
-    shared = each.groupBy("half").agg(differ.alias("shared")).where("shared").select("half")
+    differ = (F.min("h1") < F.max("h1")).alias("differ")
+    shared = each.groupBy("half").agg(differ).where("differ").select("half")
     shared = settle(shared, "halves")  # a table of its own, so that a join splits a hot half
     masks = each.join(shared, "half").groupBy("h1", "h2").agg(F.bit_or(F.expr("shiftleft(1, bit)")).alias("mask"))
     masks = settle(masks, "candidates")
-    texts = _line_texts(docs, text, min_words).join(masks, ["h1", "h2"]).dropDuplicates(["h1", "h2"])
+    needed = sifted(_line_texts(docs, text, min_words), masks, ["h1", "h2"])
+    texts = settle(needed.join(masks, ["h1", "h2"]).dropDuplicates(["h1", "h2"]), "texts")
+    discard(shared, masks)
     emitted = settle(_variants(texts.select("h1", "h2", "mask", "words")), "variants")
-    met = emitted.groupBy("v1", "v2").agg(differ.alias("met")).where("met").select("v1", "v2")
+    met = emitted.groupBy("v1", "v2").agg(differ).where("differ").select("v1", "v2")
     met = settle(met, "met")
-    return settle(emitted.join(met, ["v1", "v2"]), "partners")
+    partners = settle(emitted.join(met, ["v1", "v2"]), "partners")
+    discard(emitted, met)
+    return partners, texts
+
+
+def within_one_word(one: list[bytes], two: list[bytes]) -> bool:
+    """Whether a word put in, left out or replaced makes one line the other."""
+    same = 0
+    while same < min(len(one), len(two)) and one[same] == two[same]:
+        same += 1
+    a, b = one[same:], two[same:]
+    return a[1:] == b[1:] or a[1:] == b or a == b[1:]
+
 
+def _verified(pairs: DataFrame) -> DataFrame:
+    """h1, h2 of lines whose ``words`` are within one word of ``others``."""
 
-def _earlier(partners: DataFrame, firsts: DataFrame) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("words"), batch.column("others"))
+            holds = [within_one_word(one.as_py().split(), two.as_py().split()) for one, two in both]
+            yield batch.filter(pa.array(holds, pa.bool_())).select(["h1", "h2"])
+
+    return pairs.select("h1", "h2", "words", "others").mapInArrow(work, "h1 long, h2 long")
+
+
+def _earlier(partners: DataFrame, texts: DataFrame, firsts: DataFrame) -> DataFrame:
     """Lines (h1, h2) with an earlier line within one edit.
 
     A line with a word deleted meets others with the word at the same place deleted (it is
-    replaced there) and the line that is the rest (the word is put in).
+    replaced there) and the line that is the rest (the word is put in). Minima are tables
+    before they are joined, so that a join splits a variant that very many lines have.
     """
-    ordered = settle(partners.join(firsts, ["h1", "h2"]), "partners")
+    ordered = settle(partners.join(firsts, ["h1", "h2"]), "ordered")
     whole = F.col("at") < 0
     groups = ordered.groupBy("v1", "v2").agg(
         F.min(F.when(whole, F.col("first"))).alias("rest"), F.min(F.when(~whole, F.col("first"))).alias("longer")
     )
+    groups = settle(groups, "groups")
     places = ordered.where("at >= 0").groupBy("v1", "v2", "at").agg(F.min("first").alias("replaced"))
-    return (
+    places = settle(places, "places")
+    before = F.when(whole, F.col("longer")).otherwise(F.least("replaced", "rest"))
+    met = (
         ordered.join(groups, ["v1", "v2"])
         .join(places, ["v1", "v2", "at"], "left")
-        .where(
-            F.when(whole, F.col("longer") < F.col("first")).otherwise(
-                F.least("replaced", "rest") < F.col("first")
-            )
-        )
-        .select("h1", "h2")
-        .distinct()
-        .withColumn("repeats", F.lit(True))
+        .select("h1", "h2", "first", before.alias("before"))
+        .where("before < first")
+        .groupBy("h1", "h2")
+        .agg(F.min("before").alias("before"))
     )
+    met = settle(met, "met")
+    discard(ordered, groups, places)
+    own = texts.select("h1", "h2", "words")
+    other = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("words").alias("others"))
+    earlier = (F.col("before.h1") == F.col("g1")) & (F.col("before.h2") == F.col("g2"))
+    return _verified(met.join(own, ["h1", "h2"]).join(other, earlier)).withColumn("repeats", F.lit(True))
 
 
 def repeated_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, short: bool = False
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
     """For every row: doc_id, key, n_lines (with a word) and removed, the numbers of its lines to go.
 
     Lines are cut at line feeds and numbered from 0; words decide, not the white space
-    between them. A line of ``min_words`` or more goes if an equal line, or one within one
-    word of it, is earlier in (doc_id, key, line), a null doc_id last; with ``short`` a shorter
-    one goes too if an equal line is earlier. That is decided on all
+    between them. A line goes if an equal line is earlier in (doc_id, key, line), a null doc_id
+    last; one of ``min_words`` or more goes also if a line within one word of it is. Of the
+    lines that a line meets only the earliest is compared word by word. That is decided on all
     lines as given: a line may go because of one that goes itself. Rows equal in doc_id and
     text count once and are treated alike. Null and empty texts have no lines.
     """
-    lines = settle(_lines(docs, doc_id, text, min_words, short), "lines")
+    lines = settle(_lines(docs, doc_id, text, min_words), "lines")
     real = lines.where("line >= 0")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "line")
-    firsts = settle(real.groupBy("h1", "h2").agg(F.min(order).alias("first")), "firsts")
-    repeats = _earlier(_partners(real, docs, text, min_words), firsts)
-    judged = firsts.join(repeats, ["h1", "h2"], "left")
-    goes = F.col("repeats").isNotNull() | (order != F.col("first"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "line", "h1", "h2")
+    firsts = settle(real.groupBy("h1", "h2").agg(F.min(place).alias("first")), "firsts")
+    partners, texts = _partners(real, docs, text, min_words)
+    repeats = settle(_earlier(partners, texts, firsts), "repeats")
+    discard(partners, texts)
+    judged = settle(firsts.join(repeats, ["h1", "h2"], "left"), "judged")
+    discard(firsts, repeats)
+    goes = F.col("repeats").isNotNull() | (place != F.col("first"))
     gone = (
         real.select("doc_id", "key", "line", "h1", "h2")
         .join(judged, ["h1", "h2"])
@@ -270,6 +314,7 @@ def repeated_lines(
         .agg(F.array_sort(F.collect_set("line")).alias("removed"))
     )
     gone = settle(gone, "gone")
+    discard(judged)
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("code"))
     none = F.array().cast("array<int>")
     return (
@@ -280,13 +325,13 @@ def repeated_lines(
 
 
 def drop_repeated_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, short: bool = False
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
     """Every row as ``doc``, with ``text`` without its repeated lines and ``changed``.
 
     ``text`` keeps the other lines as they are; a text that loses nothing stays, null too.
     """
-    cuts = repeated_lines(docs, doc_id, text, min_words, short).where("size(removed) > 0")
+    cuts = repeated_lines(docs, doc_id, text, min_words).where("size(removed) > 0")
     cuts = settle(cuts.select("doc_id", "key", "removed").dropDuplicates(["doc_id", "key"]), "cuts")
     rows = docs.select(
         boxed(docs).alias("doc"),
