@@ -9,7 +9,8 @@ lists; these are only looked up, so unlike texts that have it in common are neve
 
 So that a search stays inside one task, Spark brings together what can meet:
 
-1. Sets without any partner among the first 0.15 a + 1 of their hashes have none and go.
+1. The first hashes of a set are looked at, 0.15 a and k = 0.05 a more. Alike sets share k of
+   these, the smaller k of the two; a set of whose first hashes fewer occur elsewhere goes.
 2. For the others, lists are counted over all. Ordered by that, the first 0.15 a + 1 lists
    of a set are its short ones, and alike sets share a short list. Sets that are connected
    by short lists are a cluster; clusters are searched each for itself.
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitfold.llm.common import carried, offsets, settle, utf8
+from visitfold.llm.common import carried, discard, offsets, settle, sifted, utf8
 from visitfold.llm.components import components
 from visitfold.llm.simhash import shingle_hashes
 
@@ -62,6 +63,11 @@ def least_shared(size: int | np.ndarray) -> int | np.ndarray:
     return (SIMILAR_PERCENT * size + 99) // 100
 
 
+def also_shared(size: int | np.ndarray) -> int | np.ndarray:
+    """How many of their first hashes two alike sets of at least that size share."""
+    return 1 + size // 20
+
+
 def alike(one: int, two: int, shared: int) -> bool:
     return (100 + SIMILAR_PERCENT) * shared >= SIMILAR_PERCENT * (one + two)
 
@@ -75,7 +81,8 @@ def _sets(rows: DataFrame, shingle: int, whole: bool) -> DataFrame:
             for a in range(0, batch.num_rows, 200):
                 part = batch.slice(a, 200)
                 held = [shingle_set(raw[i].as_py(), shingle) for i in range(a, a + part.num_rows)]
-                taken = held if whole else [one[: len(one) - least_shared(len(one)) + 1] for one in held]
+                firsts = [len(one) - least_shared(len(one)) + also_shared(len(one)) for one in held]
+                taken = held if whole else [one[:count] for one, count in zip(held, firsts)]
                 ends = offsets(np.fromiter(map(len, taken), np.int64, len(taken)))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -269,17 +276,27 @@ def _ranked(slim: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
     prefix = rows.where("size > 0").select("node", F.explode("shingles").alias("shingle"))
     several = prefix.groupBy("shingle").agg((F.min("node") < F.max("node")).alias("several")).where("several")
     several = settle(several.select("shingle"), "shared")  # a table, so that a join splits a hot one
-    nodes = settle(prefix.join(several, "shingle", "left_semi").select("node").distinct(), "nodes")
-    keys = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
-    texts = slim.join(settle(keys.select("key"), "keys"), "key", "left_semi").dropDuplicates(["key"])
+    hits = prefix.join(several, "shingle", "left_semi").groupBy("node").agg(F.count("*").alias("hits"))
+    copies = rows.groupBy("node").agg(
+        F.max("size").alias("size"), F.count("*").alias("copies"), F.min("key").alias("key")
+    )
+    # a partner is at least as large as what is shared; each copy of a set has made its hits
+    smaller = F.expr(f"(size * {SIMILAR_PERCENT} + 99) div 100")
+    enough = F.col("hits") >= (1 + F.floor(smaller / 20)) * F.col("copies")
+    keys = settle(hits.join(copies, "node").where(enough).select("key"), "keys")
+    # not a semi-join, which would be moved below the sieve
+    texts = sifted(slim, keys, ["key"]).join(keys, "key").dropDuplicates(["key"])
     empty = F.struct(F.lit(0).alias("none")).alias("doc")
     sets = settle(_sets(texts.select(empty, "key", "text"), shingle, True).select("node", "size", "shingles"), "sets")
+    discard(several, keys)
     each = sets.select("node", "size", F.explode("shingles").alias("shingle"))
     counts = settle(each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "counts")
     lists = F.array_sort(F.collect_list(F.struct("n", "shingle")))
     ranked = each.join(counts, "shingle").groupBy("node", "size").agg(lists.alias("lists"))
     enough = 100 * F.size("lists") >= SIMILAR_PERCENT * F.col("size")
-    return settle(ranked.where(enough).select("node", "size", F.col("lists.shingle").alias("lists")), "ranked")
+    ranked = settle(ranked.where(enough).select("node", "size", F.col("lists.shingle").alias("lists")), "ranked")
+    discard(sets, counts)
+    return ranked
 
 
 def _short_lists(ranked: DataFrame, *also: str) -> DataFrame:
@@ -297,18 +314,20 @@ def links(slim: DataFrame, rows: DataFrame, shingle: int, block_shingles: int =
     stars = short.join(first.where("first < last"), "shingle").select(F.col("node").alias("a"), F.col("first").alias("b"))
     clusters = components(stars).select("node", F.col("root").alias("cluster"))
     placed = settle(ranked.join(clusters, "node"), "placed")
+    discard(short, first, ranked)
     ends = F.struct(F.xxhash64("node").alias("h"), "node")
     sizes = placed.groupBy("cluster").agg(
         F.ceil(F.sum(F.size("lists")) / block_shingles).cast("int").alias("blocks"),
         F.min(ends)["node"].alias("one"),
         F.max(ends)["node"].alias("two"),
     )
-    placed = placed.join(settle(sizes, "clusters"), "cluster")
+    sized = placed.join(settle(sizes, "clusters"), "cluster")
     own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
     meets = F.col("node").isin(F.col("one"), F.col("two"))
     places = F.when(meets, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
-    dealt = placed.select("cluster", "node", "size", "lists", "blocks", F.explode(places).alias("block"))
+    dealt = sized.select("cluster", "node", "size", "lists", "blocks", F.explode(places).alias("block"))
     dealt = settle(dealt, "dealt")
+    discard(placed)
     near = settle(_searched(dealt, lambda rows: connect(rows["size"], rows["lists"])), "links")
     across = _across(dealt.where("blocks > 1"), near)
     return near if across is None else near.unionByName(across)
