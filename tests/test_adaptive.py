@@ -112,6 +112,6 @@ def test_a_heavy_day_is_written_as_several_files(spark, hot_events, tmp_path):
     )
     with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="50kb"):
         assert write_table(days, str(tmp_path / "t"), ["event_date"], gather=True) == 60_000
-    files = list((tmp_path / "t").glob("event_date=2026-08-01/*.parquet"))
+    files = list((tmp_path / "t").glob("version=*/event_date=2026-08-01/*.parquet"))
     assert len(files) > 1
     assert read_table(spark, str(tmp_path / "t")).count() == 60_000

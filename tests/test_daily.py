@@ -1,0 +1,188 @@
+"""Sessions day by day against a full build."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import plan
+from visitfold.lake import Lake, Settings
+from visitfold.operators import daily
+from visitfold.operators.sessions import build_sessions
+from visitfold.plans.sessions_job import sessions_job, snapshot_job, states_before
+from visitfold.sources.tables import read_table, table_days, write_table
+
+START = datetime(2026, 8, 1)
+SCHEMA = "user_id STRING, event_timestamp TIMESTAMP, event_type STRING, path STRING"
+
+
+def random_events(rng, days=6, users=5):
+    """Pauses from nothing to a day, many of them around midnight, and ties."""
+    rows = []
+    for user in range(users):
+        at = START + timedelta(minutes=rng.randint(0, 2000))
+        while at < START + timedelta(days=days):
+            for _ in range(rng.choice([1, 1, 1, 2])):
+                kind = rng.choice(["page_view", "click", "purchase"])
+                rows.append((f"u{user}", at, kind, f"/{rng.randint(0, 3)}"))
+            midnight = datetime(at.year, at.month, at.day) + timedelta(days=1)
+            step = rng.choice([0, 1, 600, 1799, 1800, 1801, 1800.5, 7200, 40_000])
+            at += timedelta(seconds=step)
+            if rng.random() < 0.2:
+                at = max(at, midnight + timedelta(seconds=rng.randint(-1500, 1500)))
+    return rows
+
+
+def table_of(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).withColumn("event_date", F.to_date("event_timestamp"))
+
+
+def put(spark, lake, rows, **how):
+    write_table(table_of(spark, rows), lake.silver, ["event_date"], **how)
+
+
+def rows_of(frame, like):
+    return sorted(map(tuple, frame.select(*like.columns).collect()), key=str)
+
+
+def check(spark, lake, rows):
+    whole = build_sessions(table_of(spark, rows))
+    assert rows_of(read_table(spark, lake.sessions), whole) == rows_of(whole, whole)
+
+
+def states_of(spark, lake):
+    return sorted(map(tuple, read_table(spark, lake.session_states).select(*daily.STATE).collect()), key=str)
+
+
+def on(rows, *days):
+    return [row for row in rows if str(row[1].date()) in days]
+
+
+def day(n):
+    return str((START + timedelta(days=n)).date())
+
+
+def test_progress_of_all_days_is_a_full_build(spark):
+    for seed in range(3):
+        rows = random_events(random.Random(seed))
+        progress = daily.session_progress(table_of(spark, rows))
+        whole = build_sessions(table_of(spark, rows))
+        assert rows_of(daily.sessions_of(progress), whole) == rows_of(whole, whole)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_day_after_day(spark, tmp_path, seed):
+    rows = random_events(random.Random(10 + seed))
+    lake = Lake(str(tmp_path))
+    put(spark, lake, on(rows, day(0), day(1)))
+    sessions_job(spark, lake)
+    for n in range(2, 7):
+        new = on(rows, day(n))
+        if new:
+            put(spark, lake, new, replace="days")
+            sessions_job(spark, lake, since=day(n), until=day(n))
+    check(spark, lake, rows)
+    told = states_of(spark, lake)
+    sessions_job(spark, lake)
+    assert states_of(spark, lake) == told
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_late_or_repaired_day(spark, tmp_path, seed):
+    rng = random.Random(20 + seed)
+    rows = random_events(rng)
+    late = day(rng.randint(0, 5))
+    lake = Lake(str(tmp_path))
+    before = [row for row in rows if str(row[1].date()) != late]
+    if seed % 2:
+        # some of the day was there, and something that now is not
+        before += rng.sample(on(rows, late), len(on(rows, late)) // 2)
+        before.append(("u0", datetime.fromisoformat(f"{late} 23:59:50"), "click", "/gone"))
+        before.append(("new", datetime.fromisoformat(f"{late} 00:00:05"), "click", "/gone"))
+    put(spark, lake, before)
+    sessions_job(spark, lake)
+    put(spark, lake, on(rows, late), replace="days", span=(late, late))
+    sessions_job(spark, lake, since=late, until=late if seed < 3 else None)
+    check(spark, lake, rows)
+    told = states_of(spark, lake)
+    sessions_job(spark, lake)
+    assert states_of(spark, lake) == told
+
+
+def test_a_session_over_several_days_is_continued_and_cut(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    at = lambda minutes: START + timedelta(minutes=minutes)
+    rows = [("u", at(20 * n), "click", f"/{n % 7}") for n in range(3 * 72 + 1)] + [("v", at(5000), "click", "/v")]
+    put(spark, lake, rows)
+    sessions_job(spark, lake)
+    check(spark, lake, rows)
+    left = [row for row in rows if not (row[0] == "u" and str(row[1].date()) == day(1))]
+    put(spark, lake, [], replace="days", span=(day(1), day(1)))
+    sessions_job(spark, lake, since=day(1), until=day(1))
+    check(spark, lake, left)
+    put(spark, lake, on(rows, day(1)), replace="days")
+    sessions_job(spark, lake, since=day(1), until=day(1))
+    check(spark, lake, rows)
+
+
+def test_days_that_do_not_change_are_not_written(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    at = lambda text: datetime.fromisoformat(f"2026-08-{text}")
+    rows = [(u, at(f"0{d} 10:00"), "click", "/") for u in ("a", "b") for d in range(1, 6)]
+    put(spark, lake, rows)
+    sessions_job(spark, lake)
+    files = lambda: {
+        str(f.relative_to(lake.sessions)) for f in (tmp_path / "sessions").glob("version=*/event_date=*/*.parquet")
+    }
+    first = {file.split("/")[1] for file in files()}
+    old = files()
+    # more events in the session of one user: no later index or session changes
+    more = [("a", at("02 10:05"), "click", "/more")]
+    put(spark, lake, [*on(rows, "2026-08-02"), *more], replace="days")
+    sessions_job(spark, lake, since="2026-08-02", until="2026-08-02")
+    check(spark, lake, [*rows, *more])
+    assert {file.split("/")[1] for file in files() - old} == {"event_date=2026-08-02"} < first
+
+
+def test_the_job_reads_states_before_and_silver_from_there_on(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    rows = random_events(random.Random(1))
+    put(spark, lake, rows)
+    sessions_job(spark, lake)
+    events = read_table(spark, lake.silver, day(3))
+    assert {f.split("event_date=")[1][:10] for f in events.inputFiles()} == {day(3), day(4), day(5)}
+    states = states_before(spark, lake, day(3))
+    assert {f.split("event_date=")[1][:10] for f in states.inputFiles()} <= {day(0), day(1), day(2)}
+    text = plan(daily.session_progress(events, states))
+    # one shuffle of events, by slice; then by user
+    assert text.count("Exchange hashpartitioning(user_id") - text.count("ReusedExchange") <= 3
+
+
+def test_snapshots_stand_for_older_states(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    rows = random_events(random.Random(2))
+    put(spark, lake, rows)
+    sessions_job(spark, lake)
+    plain = sorted(map(tuple, states_before(spark, lake, day(4)).collect()), key=str)
+    snapshot_job(spark, lake, day(2))
+    with_snapshot = states_before(spark, lake, day(4))
+    assert sorted(map(tuple, with_snapshot.collect()), key=str) == plain
+    read = {f.split("lake" if "lake" in f else str(tmp_path.name))[1] for f in with_snapshot.inputFiles()}
+    assert not any(f"session_states/" in f and f"event_date={day(n)}" in f for f in read for n in range(3))
+    # a repair of an older day makes the snapshot void
+    sessions_job(spark, lake, since=day(1), until=day(1))
+    assert table_days(spark, lake.session_snapshots) == []
+    check(spark, lake, rows)
+
+
+def test_no_events_and_no_state(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    put(spark, lake, [])
+    assert sessions_job(spark, lake, since=day(0)) == 0
+    rows = random_events(random.Random(3), days=2, users=2)
+    put(spark, lake, rows, replace="days")
+    sessions_job(spark, lake, Settings(), since=day(0), until=day(3))
+    check(spark, lake, rows)

@@ -100,7 +100,7 @@ def test_written_rows_are_counted(spark, tmp_path, gather):
 def test_gathered_days_make_few_files(spark, tmp_path):
     path = tmp_path / "t"
     write_table(days(spark).repartition(8), str(path), ["event_date"], gather=True)
-    assert len(list(path.glob("event_date=*/*.parquet"))) == 4
+    assert len(list(path.glob("version=*/event_date=*/*.parquet"))) == 4
 
 
 def test_empty_table_is_written(spark, tmp_path):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from visitfold import fixed
-from visitfold.operators.skew import SPREAD_PARTS
+from visitfold.operators.heavy import SPREAD_PARTS
 
 # What a session running these jobs should have; results depend on the time zone, the
 # handling of hot keys on adaptive execution.
@@ -54,6 +54,18 @@ class Lake:
     def sessions(self) -> str:
         return self._at("sessions")
 
+    @property
+    def ledger(self) -> str:
+        return self._at("ledger")
+
+    @property
+    def session_states(self) -> str:
+        return self._at("session_states")
+
+    @property
+    def session_snapshots(self) -> str:
+        return self._at("session_snapshots")
+
     def gold(self, table: str) -> str:
         return self._at("gold", table)
 

@@ -73,7 +73,8 @@ def tag_sessions(
     )
 
 
-def _measures() -> list[Column]:
+def measures() -> list[Column]:
+    """What is summed up of events before sessions are known."""
     place = F.struct("event_timestamp", "path")
     return [
         F.min(place).alias("entry"),
@@ -84,7 +85,8 @@ def _measures() -> list[Column]:
     ]
 
 
-def _session_rows(measured: DataFrame) -> DataFrame:
+def session_rows(measured: DataFrame) -> DataFrame:
+    """The columns of a session from its sums, user and id."""
     return measured.select(
         "session_id",
         "user_id",
@@ -110,7 +112,7 @@ def build_sessions(
     exit path belong to the smallest and largest (time, path) of the session.
     """
     start = slice_start(F.col("event_timestamp"), gap_seconds, exact)
-    slices = identified(events).groupBy("user_id", start.alias("_slice")).agg(*_measures())
+    slices = identified(events).groupBy("user_id", start.alias("_slice")).agg(*measures())
     numbered = number_slices(
         slices,
         gap_ticks(gap_seconds, exact),
@@ -124,7 +126,7 @@ def build_sessions(
         F.sum("num_pageviews").alias("num_pageviews"),
         F.sum("purchases").alias("purchases"),
     )
-    return _session_rows(
+    return session_rows(
         folded.withColumn("session_id", session_id("user_id", "session_index"))
     )
 
@@ -132,7 +134,7 @@ def build_sessions(
 def fold_tagged(tagged: DataFrame) -> DataFrame:
     """The same rows from events that already carry their session."""
     placed = tagged.where(F.col("session_id").isNotNull())
-    return _session_rows(placed.groupBy("session_id", "user_id").agg(*_measures()))
+    return session_rows(placed.groupBy("session_id", "user_id").agg(*measures()))
 
 
 def window_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:

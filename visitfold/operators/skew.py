@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 
 from visitfold.fixed import HOT_KEY_THRESHOLD, SALT_FACTOR, TOP_KEYS
 from visitfold.functions.salting import row_salt
+from visitfold.operators.heavy import SPREAD_PARTS, heavy_counts
 from visitfold.sources.scratch import scratch_dir
-from visitfold.sources.tables import write_table
-
-# A key is spread if it holds more than one part's share of the rows. Fewer than this many
-# keys can do so, whatever the data. A multiple of the shuffle partitions is a good value.
-SPREAD_PARTS = 1000
+from visitfold.sources.tables import read_table, write_table
 
 
 def naive_counts(events: DataFrame, key: str = "user_id") -> DataFrame:
@@ -39,9 +36,8 @@ def hot_keys(
 def written_counts(events: DataFrame, key: str = "user_id") -> DataFrame:
     """``naive_counts`` as a table in the scratch folder, for use more than once."""
     path = scratch_dir(events.sparkSession, "counts")
-    counts = naive_counts(events, key)
-    write_table(counts, path)
-    return events.sparkSession.read.schema(counts.schema).parquet(path)
+    write_table(naive_counts(events, key), path)
+    return read_table(events.sparkSession, path)
 
 
 def heavy_keys(
@@ -102,8 +98,15 @@ def hot_salted_counts(
     factor: int = SALT_FACTOR,
     key: str = "user_id",
     spread_by: list[str] | None = None,
+    parts: int = SPREAD_PARTS,
 ) -> DataFrame:
-    return salted_counts(events, factor, key, hot_keys(events, threshold, key), spread_by)
+    """Counts with the heavy keys salted: those above the threshold that hold over a ``parts``-th.
+
+    Heavy keys come from a sketch of bounded size. A key above the threshold that holds less
+    is no burden to a task and is counted as it is.
+    """
+    hot = F.broadcast(heavy_counts(events, key, parts, threshold).select(key))
+    return salted_counts(events, factor, key, hot, spread_by)
 
 
 def salted_left_join(
@@ -117,10 +120,10 @@ def salted_left_join(
 ) -> DataFrame:
     """Left join on ``key`` with the heavy keys of ``big`` spread over ``factor`` tasks.
 
-    The heavy keys are found once, from counts that are written first, so both sides agree
+    The heavy keys are found once, by a sketch and a recount, and written, so both sides agree
     on them. Only their rows of ``small`` are repeated, once per salt.
     """
-    hot = heavy_keys(written_counts(big, key), parts, key, threshold)
+    hot = F.broadcast(heavy_counts(big, key, parts, threshold).select(key))
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(factor - 1))).otherwise(
         F.array(F.lit(0))
     )

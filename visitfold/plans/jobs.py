@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from datetime import date
+import uuid
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from visitfold.lake import Lake, Settings
 from visitfold.operators import kpis, skew
 from visitfold.operators.cleaning import clean_events, drop_repeats, identified
 from visitfold.operators.dimensions import enrich
-from visitfold.operators.sessions import build_sessions
-from visitfold.sources.landing import CORRUPT, read_landing, stream_landing, type_events
-from visitfold.sources.tables import between_days, read_table, write_table
+from visitfold.plans.sessions_job import sessions_job
+from visitfold.sources import ledger, manifests
+from visitfold.sources.landing import CORRUPT, READ_SCHEMA, read_landing, stream_landing, type_events
+from visitfold.sources.scratch import scratch_dir
+from visitfold.sources.tables import between_days, read_table, stage_table, write_table
 from visitfold.streaming import live
 
 def silver_events(bronze: DataFrame) -> DataFrame:
@@ -28,13 +32,85 @@ def bronze_job(
     since: str | date | None = None,
     until: str | date | None = None,
 ) -> int:
-    """All days, or only those from ``since`` up to and including ``until``.
+    """All days anew, or only those from ``since`` up to and including ``until``.
 
-    Folder names of the landing zone are not believed, so a range still reads every line.
+    Folder names of the landing zone are not believed. A range reads the files that the
+    ledger says overlap it, and those that no load has read yet.
     """
+    if since is None and until is None:
+        return _load(spark, lake, settings, ledger.list_landing(spark, lake.landing), whole=True)[0]
+    files = range_files(spark, lake, since, until)
+    rows = read_landing(spark, files) if files else _nothing_landed(spark)
+    events = between_days(type_events(rows), since, until)
+    days = list(settings.partition_by)
+    return write_table(events, lake.bronze, days, replace="days", span=(since, until))
+
+
+def range_files(
+    spark: SparkSession, lake: Lake, since: str | date | None = None, until: str | date | None = None
+) -> list[str]:
+    """Landing files that a load of some days has to read."""
+    listed = ledger.list_landing(spark, lake.landing)
+    known = ledger.known_files(spark, lake.ledger, lake.bronze)
+    there = ledger.overlapping(known, since, until).join(listed.select(*ledger.SEEN), ledger.SEEN, "left_semi")
+    return ledger.paths_of(there.select("path").unionByName(ledger.new_files(listed, known).select("path")))
+
+
+def load_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> tuple[int, list[str]]:
+    """Add landing files that no load has read to bronze; rows added and days that changed.
+
+    Rows of a file that is gone or has changed since it was read leave bronze; the days that
+    held them are written again from what bronze has of the other files. The days are those
+    that silver and the layers behind it have to follow.
+    """
+    listed = ledger.list_landing(spark, lake.landing)
+    known = _written(ledger.known_files(spark, lake.ledger, lake.bronze), "known")
+    altered = _written(ledger.altered_files(listed, known), "altered")
+    return _load(spark, lake, settings, ledger.new_files(listed, known), altered=altered)
+
+
+def _load(
+    spark: SparkSession,
+    lake: Lake,
+    settings: Settings,
+    files: DataFrame,
+    whole: bool = False,
+    altered: DataFrame | None = None,
+) -> tuple[int, list[str]]:
+    load = uuid.uuid4().hex
+    files = _written(files, "files")
+    paths = ledger.paths_of(files)
+    stale_days: list[str] = []
     # Map-only: a landing file holds one day, so each task writes few files as it is.
-    events = between_days(type_events(read_landing(spark, lake.landing)), since, until)
-    return write_table(events, lake.bronze, list(settings.partition_by), replace=_span(since, until))
+    events = type_events(read_landing(spark, paths) if paths else _nothing_landed(spark))
+    if altered is not None and not altered.isEmpty():
+        bronze = read_table(spark, lake.bronze)
+        stale = bronze.join(altered.select("source_file"), "source_file", "left_semi")
+        touched = [row[0] for row in stale.select("event_date").distinct().collect()]
+        stale_days = [manifests.NO_DAY if day is None else str(day) for day in touched]
+        others = bronze.where(F.coalesce(F.col("event_date").isin([day for day in touched if day]), F.lit(None in touched)))
+        others = others.join(altered.select("source_file"), "source_file", "left_anti")
+        events = events.unionByName(others)
+    elif not paths and not whole:
+        return 0, []
+    staged = stage_table(events, lake.bronze, list(settings.partition_by))
+    entries = ledger.describe(files, staged.rows(), load)
+    if altered is not None:
+        vanished = altered.join(files.select("source_file"), "source_file", "left_anti")
+        entries = entries.unionByName(ledger.tombstones(vanished, load))
+    write_table(entries, lake.ledger, replace="table" if whole else "add", load=load)
+    staged.publish("table" if whole else "add", days=stale_days, load=load)
+    return staged.count, sorted({*staged.days(), *stale_days} - {manifests.NO_DAY})
+
+
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(rows.sparkSession, label)
+    write_table(rows, path)
+    return read_table(rows.sparkSession, path)
+
+
+def _nothing_landed(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], f"{READ_SCHEMA}, source_file STRING")
 
 
 def silver_job(
@@ -46,20 +122,12 @@ def silver_job(
 ) -> int:
     """All days, or a range: copies have equal times, so a day's rows depend on that day alone."""
     events = silver_events(read_table(spark, lake.bronze, since, until))
+    days, whole = list(settings.partition_by), since is None and until is None
     return write_table(
-        events, lake.silver, list(settings.partition_by), gather=True, replace=_span(since, until)
+        events, lake.silver, days, gather=True, replace="table" if whole else "days", span=(since, until)
     )
 
 
-def _span(since: str | date | None, until: str | date | None) -> str:
-    return "table" if since is None and until is None else "days"
-
-
-def sessions_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> int:
-    sessions = build_sessions(read_table(spark, lake.silver), settings.gap_seconds)
-    return write_table(sessions, lake.sessions, list(settings.partition_by), gather=True)
-
-
 def gold_tables(events: DataFrame, sessions: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     return {
         "funnel": kpis.funnel(events),
@@ -105,6 +173,32 @@ def batch_job(spark: SparkSession, lake: Lake, settings: Settings = Settings())
     return rows | {f"gold/{name}": count for name, count in gold.items()}
 
 
+def refresh_job(spark: SparkSession, lake: Lake, settings: Settings = Settings()) -> dict[str, int]:
+    """Bring all layers up to date with the landing zone; rows per table, as far as written.
+
+    Reads the files that no load has read, and of each layer the days that change.
+    """
+    added, days = load_job(spark, lake, settings)
+    rows = {"bronze": added, "silver": 0, "sessions": 0}
+    for since, until in spans(days):
+        rows["silver"] += silver_job(spark, lake, settings, since, until)
+        rows["sessions"] += sessions_job(spark, lake, settings, since, until)
+    if days:
+        rows |= {f"gold/{name}": count for name, count in gold_job(spark, lake, settings).items()}
+    return rows
+
+
+def spans(days: list[str]) -> list[tuple[str, str]]:
+    """Runs of consecutive days, first and last."""
+    out: list[tuple[str, str]] = []
+    for day in sorted(days):
+        if out and date.fromisoformat(day) - date.fromisoformat(out[-1][1]) == timedelta(days=1):
+            out[-1] = (out[-1][0], day)
+        else:
+            out.append((day, day))
+    return out
+
+
 def stream_job(
     spark: SparkSession,
     lake: Lake,

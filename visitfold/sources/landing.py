@@ -10,20 +10,20 @@ from visitfold.fixed import LANDING_SCHEMA, LANDING_TIME_FORMAT
 from visitfold.functions.timeline import event_time
 
 CORRUPT = "corrupt_line"
-_READ_SCHEMA = f"{LANDING_SCHEMA}, {CORRUPT} STRING"
+READ_SCHEMA = f"{LANDING_SCHEMA}, {CORRUPT} STRING"
 
 # A gzip file is read by a single task, so its length bounds that task.
 ROWS_PER_FILE = 2_000_000
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """All lines below ``path`` as text fields, with their file.
+def read_landing(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All lines below ``path``, or of a list of files, as text fields, with their file.
 
     A line that is no JSON object keeps its text in ``corrupt_line``. Day folders are
     walked but their names are not believed: the day comes from the event time.
     """
     lines = (
-        spark.read.schema(_READ_SCHEMA)
+        spark.read.schema(READ_SCHEMA)
         .option("recursiveFileLookup", True)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)

@@ -11,12 +11,12 @@ from workload.views import CLICKS, NUMBER_IN_PROPS, RAW_FIELDS
 
 # Written out here and not taken from the engine, so that a wrong entry there is seen.
 IS_BOT = "regexp_matches(lower(coalesce(user_agent, '')), 'bot|crawler|spider|python-requests|ahrefs|curl|wget')"
+# The countries and devices that are known, as the engine has them too.
 COUNTRIES = """
-    ('AU', 'Australia', 'APAC'), ('BR', 'Brazil', 'Americas'), ('CA', 'Canada', 'Americas'),
-    ('DE', 'Germany', 'EMEA'), ('FR', 'France', 'EMEA'), ('GB', 'United Kingdom', 'EMEA'),
-    ('IN', 'India', 'APAC'), ('JP', 'Japan', 'APAC'), ('NG', 'Nigeria', 'EMEA'),
-    ('US', 'United States', 'Americas')"""
-DEVICES = "('desktop', 'large_screen'), ('mobile', 'small_screen'), ('tablet', 'medium_screen')"
+    ('US', 'United States', 'Americas'), ('CA', 'Canada', 'Americas'), ('BR', 'Brazil', 'Americas'),
+    ('GB', 'United Kingdom', 'EMEA'), ('DE', 'Germany', 'EMEA'), ('FR', 'France', 'EMEA'),
+    ('NG', 'Nigeria', 'EMEA'), ('IN', 'India', 'APAC'), ('JP', 'Japan', 'APAC'), ('AU', 'Australia', 'APAC')"""
+DEVICES = "('desktop', 'large_screen'), ('tablet', 'medium_screen'), ('mobile', 'small_screen')"
 FIELD_NAMES = (
     "event_id, user_id, event_timestamp, event_type, path, referrer, device, country, user_agent"
 )
@@ -205,6 +205,32 @@ ORACLE: dict[str, str] = {
     "layer_roundtrip": f"""
         WITH {RAW_CTE}, {SILVER_CTE}, {DIMS_CTE}
         SELECT *, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM ({ENRICHED})""",
+    "sessions_day_by_day": landed("SELECT * FROM sessions"),
+    "sessions_after_repair": landed("SELECT * FROM sessions"),
+    "session_states_before": f"""
+        WITH {CLICKS_CTE}, past AS (SELECT * FROM clicks WHERE CAST(event_timestamp AS DATE) < {DAY}),
+        {tagged_cte('past', HALF_HOUR)}
+        SELECT user_id, CAST(CAST(max(event_timestamp) AS DATE) AS VARCHAR) AS event_date,
+            session_index AS sessions, count(*) AS num_events,
+            count(*) FILTER (WHERE event_type = 'page_view') AS num_pageviews,
+            count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+            first(path ORDER BY event_timestamp, path) AS entry_path, max(event_timestamp) AS end_ts
+        FROM tagged GROUP BY user_id, session_index
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY session_index DESC) = 1""",
+    "layer_survives_failure": f"""
+        WITH {RAW_CTE}, {SILVER_CTE}, {DIMS_CTE}
+        SELECT *, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM ({ENRICHED})""",
+    "bronze_new_files": f"""
+        WITH {LANDED_CTE}
+        SELECT {FIELD_NAMES}, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM raw""",
+    "bronze_day_files": f"""
+        WITH {LANDED_CTE}
+        SELECT count(*) AS rows_read, CAST(0 AS BIGINT) AS rows_elsewhere, true AS fewer_files
+        FROM raw WHERE CAST(event_timestamp AS DATE) = {DAY}""",
+    "bronze_file_removed": f"""
+        WITH {LANDED_CTE}
+        SELECT {FIELD_NAMES}, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM raw
+        WHERE path <> '/product/1' OR event_type IS NOT NULL""",
     "landing_counts": f"""
         WITH {LANDED_CTE}
         SELECT CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date, count(*) AS rows
@@ -260,6 +286,10 @@ ORACLE: dict[str, str] = {
     "hottest_user": f"{COUNTS} ORDER BY event_count DESC, user_id LIMIT 1",
     "hot_users": f"""
         SELECT user_id FROM ({COUNTS}) WHERE event_count > 70""",
+    "heavy_users": f"""
+        SELECT user_id, event_count FROM ({COUNTS})
+        WHERE event_count * 140 > (SELECT count(*) FROM events)""",
+    "top_users_sketched": f"{COUNTS} ORDER BY event_count DESC, user_id LIMIT 10",
     "naive_counts": COUNTS,
     "salted_counts": COUNTS,
     "hot_salted_counts": COUNTS,

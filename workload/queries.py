@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitfold.lake import Lake, Settings
-from visitfold.operators import kpis, skew
+from visitfold.operators import heavy, kpis, skew
 from visitfold.operators.cleaning import clean_events, drop_repeats, tag_bots
 from visitfold.operators.dimensions import enrich, look_up
 from visitfold.operators.sessions import (
@@ -18,6 +18,7 @@ from visitfold.operators.sessions import (
     window_sessions,
 )
 from visitfold.plans import jobs
+from visitfold.plans.sessions_job import snapshot_job, states_before
 from visitfold.sources.landing import (
     CORRUPT,
     read_landing,
@@ -25,6 +26,7 @@ from visitfold.sources.landing import (
     type_events,
     write_landing,
 )
+from visitfold.sources.ledger import list_landing
 from visitfold.sources.scratch import scratch_dir
 from visitfold.sources.tables import read_table, write_table
 from workload.views import clicks, raw_clicks, raw_lines, table
@@ -33,6 +35,9 @@ HALF_HOUR = 30 * 60
 SIX_HOURS = 6 * 60 * 60
 # Users of the given tables have 67 events on average.
 HOT = 70
+# Of so many parts, a user with more than one is heavy.
+PARTS = 140
+MIDDLE, LATE_DAY, SNAPSHOT_DAY = "2024-01-16", "2024-01-15", "2024-01-10"
 
 # Which of several copies stays is open; these differ between copies.
 OPEN = ["event_id", "referrer"]
@@ -121,6 +126,49 @@ def silver_day_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake.silver).drop(*OPEN, "ingest_ts", "source_file")
 
 
+@query
+def sessions_day_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landings, the last one late; each brings its own days and what they change."""
+    lake, lines = Lake(scratch_dir(spark, "lake")), raw_lines(spark, sf_dir)
+    for part, days in (
+        ("first", f"< '{LATE_DAY}'"),
+        ("second", f"> '{LATE_DAY}'"),
+        ("late", f"= '{LATE_DAY}'"),
+    ):
+        _land_part(lines, lake, part, days)
+        jobs.refresh_job(spark, lake)
+    return read_table(spark, lake.sessions)
+
+
+@query
+def sessions_after_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day was loaded with half of its events missing, and is put right."""
+    silver = jobs.silver_events(type_events(raw_lines(spark, sf_dir))).drop("ingest_ts")
+    lake = Lake(scratch_dir(spark, "lake"))
+    day = F.lit(LATE_DAY).cast("date")
+    half = (F.col("event_date") != day) | (F.unix_timestamp("event_timestamp") % 2 == 0)
+    write_table(silver.where(half), lake.silver, ["event_date"], gather=True)
+    jobs.sessions_job(spark, lake)
+    write_table(silver.where(F.col("event_date") == day), lake.silver, ["event_date"], replace="days")
+    jobs.sessions_job(spark, lake, since=LATE_DAY, until=LATE_DAY)
+    return read_table(spark, lake.sessions)
+
+
+@query
+def session_states_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's sessions so far and last session at the end of a day, through a snapshot."""
+    lake = Lake(scratch_dir(spark, "lake"))
+    events = clicks(spark, sf_dir).withColumn("event_date", F.to_date("event_timestamp"))
+    write_table(events, lake.silver, ["event_date"], gather=True)
+    jobs.sessions_job(spark, lake)
+    snapshot_job(spark, lake, SNAPSHOT_DAY)
+    return states_before(spark, lake, LATE_DAY).select(
+        *("user_id", "event_date", "sessions", "num_events", "num_pageviews", "purchases"),
+        F.col("entry.path").alias("entry_path"),
+        F.col("exit.event_timestamp").alias("end_ts"),
+    )
+
+
 # ---- landing and bronze -----------------------------------------------------
 
 
@@ -180,6 +228,66 @@ def bronze_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _land_path(lines: DataFrame, lake: Lake, part: str, paths: str) -> None:
+    write_landing(lines.where(f"path {paths}"), f"{lake.landing}/{part}")
+
+
+@query
+def bronze_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings and two loads; the second reads the files that the first has not."""
+    lake, lines = Lake(scratch_dir(spark, "lake")), raw_lines(spark, sf_dir)
+    for part, paths in (("first", "<> '/product/1'"), ("second", "= '/product/1'")):
+        _land_path(lines, lake, part, paths)
+        jobs.load_job(spark, lake)
+    return read_table(spark, lake.bronze).drop("ingest_ts", "source_file", CORRUPT)
+
+
+@query
+def bronze_day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which files a day needs, by the ledger, against the rows of that day in all others."""
+    lake = _landed(spark, sf_dir, "lake")
+    jobs.load_job(spark, lake)
+    chosen = jobs.range_files(spark, lake, LATE_DAY, LATE_DAY)
+    bronze = read_table(spark, lake.bronze).where(F.col("event_date") == F.lit(LATE_DAY).cast("date"))
+    names = spark.createDataFrame([(path,) for path in chosen], "path STRING")
+    listed = list_landing(spark, lake.landing)
+    files = listed.join(names, "path", "left_semi").select("source_file")
+    fewer = listed.count() > files.count()
+    left = bronze.join(files, "source_file", "left_anti").agg(F.count(F.lit(1)).alias("rows_elsewhere"))
+    read = type_events(read_landing(spark, chosen)).where(F.col("event_date") == F.lit(LATE_DAY).cast("date"))
+    found = read.agg(F.count(F.lit(1)).alias("rows_read"))
+    return found.crossJoin(left).withColumn("fewer_files", F.lit(fewer))
+
+
+@query
+def bronze_file_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A part of the landing zone is delivered anew without some rows; bronze follows."""
+    lake, lines = Lake(scratch_dir(spark, "lake")), raw_lines(spark, sf_dir)
+    _land_path(lines, lake, "first", "<> '/product/1'")
+    _land_path(lines, lake, "second", "= '/product/1'")
+    jobs.load_job(spark, lake)
+    _land_path(lines.where("event_type IS NOT NULL"), lake, "second", "= '/product/1'")
+    jobs.load_job(spark, lake)
+    return read_table(spark, lake.bronze).drop("ingest_ts", "source_file", CORRUPT)
+
+
+@query
+def layer_survives_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job that fails in the middle of replacing a layer leaves the layer as it was."""
+    path = scratch_dir(spark, "silver")
+    silver = jobs.silver_events(
+        raw_clicks(spark, sf_dir).withColumn("event_date", F.to_date("event_timestamp"))
+    )
+    write_table(silver, path, ["event_date"], gather=True)
+    lost = F.when(F.col("path") == "/product/7", F.raise_error(F.lit("lost"))).otherwise(F.col("path"))
+    try:
+        write_table(read_table(spark, path).withColumn("path", lost), path, ["event_date"])
+    except Exception as error:
+        if "lost" not in str(error):
+            raise
+    return read_table(spark, path).drop(*OPEN)
+
+
 # ---- silver -----------------------------------------------------------------
 
 
@@ -277,6 +385,17 @@ def hot_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skew.hot_keys(clicks(spark, sf_dir), HOT)
 
 
+@query
+def heavy_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users with more than their part of the events, by a sketch of bounded size."""
+    return heavy.heavy_counts(clicks(spark, sf_dir), parts=PARTS)
+
+
+@query
+def top_users_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heavy.top_keys(clicks(spark, sf_dir))
+
+
 @query
 def naive_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skew.naive_counts(clicks(spark, sf_dir))
@@ -380,7 +499,6 @@ def stream_sessions_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TWENTY_DAYS = 20 * 24 * 60 * 60
-MIDDLE, LATE_DAY = "2024-01-16", "2024-01-15"
 
 
 @query
