@@ -5,7 +5,9 @@ chunks, its halves. The other gives its positional grams of the lengths that suc
 have. An edit of one code point leaves one half whole, moved by one place at most, so
 chunks and grams that are equal and lie within one place of each other join every pair;
 pairs are then verified by their edit distance. Grams further off can meet nothing and are
-not made. Keys are hashes, so a very long word has short ones.
+not made, nor are grams that no edit puts there: a half keeps its place between words of
+equal length, and in a word that is one longer it keeps it or comes one later. Keys are
+hashes, so a very long word has short ones.
 """
 
 from __future__ import annotations
@@ -106,7 +108,7 @@ def chunks(words: DataFrame) -> DataFrame:
 def grams(words: DataFrame) -> DataFrame:
     """other, key, at: grams with the lengths of halves of words as long, or one shorter.
 
-    Only places within one of where such a half begins.
+    Only places where an edit leaves such a half, within one of where it begins.
     """
     size = F.char_length("word")
     made = []
@@ -114,12 +116,11 @@ def grams(words: DataFrame) -> DataFrame:
         whole = size - less
         middle = F.floor(whole / 2).cast("int")
         for half, begin, length in ((0, F.lit(0), middle), (1, middle, whole - middle)):
-            for shift in (-1, 0, 1):
+            for shift in range(less + 1):
                 at = begin + shift
-                fits = (at >= 0) & (at + length <= size)
                 gram = F.substr("word", at + 1, length)
-                made.append(F.when(fits, F.struct(_key(whole, half, gram).alias("key"), at.alias("at"))))
-    return words.select(F.col("word").alias("other"), F.inline(F.array_compact(F.array(*made))))
+                made.append(F.struct(_key(whole, half, gram).alias("key"), at.alias("at")))
+    return words.select(F.col("word").alias("other"), F.inline(F.array(*made)))
 
 
 def near_words(words: DataFrame) -> DataFrame:
