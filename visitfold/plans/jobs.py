@@ -13,12 +13,13 @@ from visitfold.lake import Lake, Settings
 from visitfold.operators import kpis, skew
 from visitfold.operators.cleaning import clean_events, drop_repeats, identified
 from visitfold.operators.dimensions import enrich
+from visitfold.operators.sessions import window_sessions
 from visitfold.plans.sessions_job import sessions_job
 from visitfold.sources import ledger, manifests
 from visitfold.sources.landing import CORRUPT, READ_SCHEMA, read_landing, stream_landing, type_events
 from visitfold.sources.scratch import scratch_dir
 from visitfold.sources.tables import between_days, read_table, stage_table, write_table
-from visitfold.streaming import live
+from visitfold.streaming import late, live, numbered
 
 def silver_events(bronze: DataFrame) -> DataFrame:
     """Clean, single, enriched events of people."""
@@ -199,6 +200,9 @@ def spans(days: list[str]) -> list[tuple[str, str]]:
     return out
 
 
+SINKS = ("console", "parquet", "table")
+
+
 def stream_job(
     spark: SparkSession,
     lake: Lake,
@@ -211,42 +215,89 @@ def stream_job(
     wait: bool = True,
     timeout: int | None = None,
     allow_late: bool = False,
+    keep_late: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Sessions of everything in the landing zone that no earlier run has read.
 
-    ``clean=False`` keeps bots and copies in. ``sink`` is ``console`` or ``parquet``;
-    each keeps its own progress.
+    ``clean=False`` keeps bots and copies in. ``sink`` is ``console``, ``parquet``, or
+    ``table``: all columns of the sessions layer, with index and id, partitioned by day. Each
+    keeps its own progress. With ``every`` the stream does not stop but runs at that pace.
 
     Files are read by modification time, ``files_per_batch`` at a time, and a batch drops
     what is older than the newest event of the batches before it less the lateness. Results
     do not depend on the batch size as long as the lateness covers that disorder. A waited
     run that dropped rows raises, unless ``allow_late``; its sessions are written all the
-    same. History that lies in no order belongs to the batch job.
+    same. ``keep_late`` first writes such rows to a table, for ``repair_job``. History that
+    lies in no order belongs to the batch job.
     """
-    if sink not in ("console", "parquet"):
+    if sink not in SINKS:
         raise ValueError(f"unknown sink: {sink}")
+    name = "live_sessions" if clean else "live_sessions_raw"
+    if keep_late:
+        late_job(spark, lake, settings, files_per_batch, name)
     events = stream_landing(spark, lake.landing, files_per_batch)
     if clean:
         ready = live.clean_stream(events, settings.watermark_seconds)
     else:
         ready = live.with_lateness(identified(events), settings.watermark_seconds)
-    sessions = live.live_sessions(ready, settings.gap_seconds, end)
-    name = "live_sessions" if clean else "live_sessions_raw"
-    writer = live.drain(sessions, name, lake.checkpoint(name, sink))
-    if sink == "parquet":
-        writer = live.to_table(writer, lake.stream_table(name))
+    checkpoint = lake.checkpoint(name, sink)
+    if sink == "table":
+        sums = live.drain(live.live_session_sums(ready, settings.gap_seconds), name, checkpoint, every=every)
+        table = lake.stream_table(f"{name}_numbered")
+        writer = sums.foreachBatch(numbered.number_batch(table, f"{table}_counts"))
     else:
-        writer = live.to_console(writer)
+        sessions = live.live_sessions(ready, settings.gap_seconds, end)
+        writer = live.drain(sessions, name, checkpoint, every=every)
+        writer = live.to_console(writer) if sink == "console" else live.to_table(writer, lake.stream_table(name))
     query = writer.start()
     if not wait:
         return query
     query.awaitTermination(timeout)
     if query.isActive:
         return query
-    dropped = 0 if allow_late else live.late_rows(spark, query)
+    dropped = 0 if allow_late or keep_late else live.late_rows(spark, query)
     if dropped:
         raise RuntimeError(
             f"{dropped} rows came after the watermark had passed them; "
             f"raise lateness_seconds above {settings.watermark_seconds} or allow_late"
         )
     return query
+
+
+def late_job(
+    spark: SparkSession, lake: Lake, settings: Settings, files_per_batch: int, name: str
+) -> StreamingQuery:
+    """Keep the rows that a stream of that name, run next, drops or may drop.
+
+    Reads the landing zone in the same batches; files that land in between are read by its
+    next run, against a later mark, so no dropped row is missed. Rows that the stream still
+    takes may be among them, which costs a repair and changes nothing.
+    """
+    events = identified(stream_landing(spark, lake.landing, files_per_batch))
+    table = lake.stream_table(f"{name}_late")
+    keep = late.keep_late(table, f"{table}_marks", settings.watermark_seconds)
+    query = live.drain(events, f"{name}_late", lake.checkpoint(f"{name}_late", "table")).foreachBatch(keep).start()
+    query.awaitTermination()
+    return query
+
+
+def repair_job(
+    spark: SparkSession, lake: Lake, settings: Settings = Settings(), clean: bool = True
+) -> int:
+    """The stream's sessions with those of users that had late rows built anew; rows written.
+
+    Sessions of other users are the stream's. Those of users with late rows come from all of
+    their events, as far as the stream would have closed them by now. The result is a table
+    of its own, which the next repair replaces.
+    """
+    name = "live_sessions" if clean else "live_sessions_raw"
+    table = lake.stream_table(f"{name}_late")
+    users = _written(read_table(spark, table).select("user_id").distinct(), "users")
+    events = type_events(read_landing(spark, lake.landing)).join(users, "user_id", "left_semi")
+    events = drop_repeats(clean_events(events)) if clean else identified(events)
+    newest = late.newest_event(spark, f"{table}_marks")
+    closed_by = F.date_trunc("millisecond", F.lit(newest)) - F.make_interval(secs=F.lit(settings.watermark_seconds))
+    rebuilt = window_sessions(events, settings.gap_seconds).where(F.col("window_end") <= closed_by)
+    others = spark.read.parquet(lake.stream_table(name)).join(users, "user_id", "left_anti")
+    return write_table(rebuilt.unionByName(others), lake.stream_table(f"{name}_repaired"))

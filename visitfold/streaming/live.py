@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from visitfold.fixed import EVENT_KEY, SESSION_GAP_SECONDS
 from visitfold.functions.timeline import seconds_between
 from visitfold.operators.cleaning import clean_events
+from visitfold.operators.sessions import measures
 
 
 # How many batches' progress a query remembers.
@@ -58,15 +59,47 @@ def live_sessions(
     return grouped.select(*columns)
 
 
+def live_session_sums(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
+    """Closed sessions with the sums from which all columns of a session follow."""
+    window = F.session_window("event_timestamp", f"{gap_seconds} seconds")
+    grouped = events.groupBy("user_id", window).agg(*measures())
+    return grouped.select("user_id", *SUMS, F.col("session_window.end").alias("window_end"))
+
+
+#: Columns of ``live_session_sums``, in the order in which the state store holds them.
+SUMS = ["entry", "exit", "num_events", "num_pageviews", "purchases"]
+
+
+def open_sessions(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Sessions that a stopped stream of ``live_session_sums`` still holds, as it would close them.
+
+    Read from the state store of the stream's last batch. The store has the grouping columns,
+    the window, and then the sums in the order in which they are stated.
+    """
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    number = operators.where("operatorName LIKE 'sessionWindow%'").first()["operatorId"]
+    held = spark.read.format("statestore").option("operatorId", number).load(checkpoint)
+    fields = [field.dataType.simpleString() for field in held.schema["value"].dataType.fields]
+    names = ["user_id", "session_window", *SUMS]
+    value = F.col("value").cast(f"struct<{','.join(map(':'.join, zip(names, fields, strict=True)))}>")
+    return held.select(value.alias("value")).select(
+        *[f"value.{name}" for name in ["user_id", *SUMS]], F.col("value.session_window.end").alias("window_end")
+    )
+
+
 def drain(
-    rows: DataFrame, name: str, checkpoint: str, output_mode: str = "append"
+    rows: DataFrame, name: str, checkpoint: str, output_mode: str = "append", every: str | None = None
 ) -> DataStreamWriter:
-    """Writer of a named query that stops once the input present at its start is read."""
+    """Writer of a named query that stops once the input present at its start is read.
+
+    With ``every``, a time like "1 minute", it goes on at that pace until it is stopped.
+    """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         rows.writeStream.queryName(name)
         .outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
     )
 
 

@@ -132,6 +132,10 @@ def stream(ready: str, source: str, end: str, lateness: int = 2 * HALF_HOUR) ->
 IDENTIFIED_CTE = (
     "identified AS (SELECT * FROM raw WHERE user_id IS NOT NULL AND event_timestamp IS NOT NULL)"
 )
+# By when the window of a session has to end for the stream to have closed it.
+CLOSED_BY = (
+    f"(SELECT date_trunc('millisecond', max(event_timestamp)) - INTERVAL {2 * HALF_HOUR} SECOND FROM identified)"
+)
 SILVER_COLUMNS = (
     "event_id, user_id, event_type, path, referrer, device, country, user_agent, event_timestamp"
 )
@@ -318,6 +322,15 @@ ORACLE: dict[str, str] = {
     "stream_small_batches": stream(IDENTIFIED_CTE, "identified", "last_event", TWENTY_DAYS),
     "stream_restart": stream(IDENTIFIED_CTE, "identified", "last_event"),
     "stream_late_rows": stream(f"{IDENTIFIED_CTE}, {PUNCTUAL_CTE}", "punctual", "last_event"),
+    "stream_late_repaired": stream(IDENTIFIED_CTE, "identified", "last_event"),
+    "stream_numbered": f"""
+        WITH {LANDED_CTE}, {IDENTIFIED_CTE}, {tagged_cte('identified', HALF_HOUR, exact=True)}, {SESSIONS_CTE}
+        SELECT * FROM sessions WHERE end_ts + INTERVAL {HALF_HOUR} SECOND <= {CLOSED_BY}""",
+    "stream_with_open_sessions": f"""
+        WITH {LANDED_CTE}, {IDENTIFIED_CTE}, {tagged_cte('identified', HALF_HOUR, exact=True)}, {SESSIONS_CTE}
+        SELECT user_id, start_ts, end_ts, num_events, num_pageviews, converted, entry_path, exit_path,
+            end_ts + INTERVAL {HALF_HOUR} SECOND <= {CLOSED_BY} AS closed
+        FROM sessions""",
     "batch_funnel": landed(f", {FUNNEL.format(source='silver')}"),
     "batch_daily_sessions": landed(DAILY),
     "batch_top_paths": landed(TOP_PATHS),

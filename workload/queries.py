@@ -14,6 +14,7 @@ from visitfold.operators.dimensions import enrich, look_up
 from visitfold.operators.sessions import (
     build_sessions,
     fold_tagged,
+    session_rows,
     tag_sessions,
     window_sessions,
 )
@@ -29,6 +30,7 @@ from visitfold.sources.landing import (
 from visitfold.sources.ledger import list_landing
 from visitfold.sources.scratch import scratch_dir
 from visitfold.sources.tables import read_table, write_table
+from visitfold.streaming import live
 from workload.views import clicks, raw_clicks, raw_lines, table
 
 HALF_HOUR = 30 * 60
@@ -537,3 +539,40 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, lake, Settings(), sink="parquet", clean=False, allow_late=True
         )
     return read_table(spark, lake.stream_table(query.name))
+
+
+@query
+def stream_late_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same day, late again, is kept in a table and its users' sessions are built anew."""
+    lake, lines = Lake(scratch_dir(spark, "stream")), raw_lines(spark, sf_dir)
+    for part, days in (("punctual", f"<> '{LATE_DAY}'"), ("late", f"= '{LATE_DAY}'")):
+        _land_part(lines, lake, part, days)
+        jobs.stream_job(spark, lake, Settings(), sink="parquet", clean=False, keep_late=True)
+    jobs.repair_job(spark, lake, Settings(), clean=False)
+    return read_table(spark, lake.stream_table("live_sessions_raw_repaired"))
+
+
+def _numbered(spark: SparkSession, sf_dir: str) -> tuple[Lake, str]:
+    """Closed sessions with index and id, of two runs on one checkpoint."""
+    lake, lines = Lake(scratch_dir(spark, "stream")), raw_lines(spark, sf_dir)
+    for part, days in (("first", f"< '{MIDDLE}'"), ("second", f">= '{MIDDLE}'")):
+        _land_part(lines, lake, part, days)
+        query = jobs.stream_job(spark, lake, Settings(), sink="table", clean=False)
+    return lake, query.name
+
+
+@query
+def stream_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake, name = _numbered(spark, sf_dir)
+    return read_table(spark, lake.stream_table(f"{name}_numbered"))
+
+
+@query
+def stream_with_open_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed sessions and those that the state store still holds: all there are."""
+    lake, name = _numbered(spark, sf_dir)
+    names = ["user_id", "start_ts", "end_ts", "num_events", "num_pageviews", "converted", "entry_path", "exit_path"]
+    closed = read_table(spark, lake.stream_table(f"{name}_numbered")).select(*names)
+    still = live.open_sessions(spark, lake.checkpoint(name, "table"))
+    still = session_rows(still.withColumn("session_id", F.lit(None).cast("string"))).select(*names)
+    return closed.withColumn("closed", F.lit(True)).unionByName(still.withColumn("closed", F.lit(False)))
