@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -30,6 +34,18 @@ def test_all_are_registered():
     assert oracle_sql().keys() <= queries().keys()
 
 
+@pytest.mark.parametrize("missing", ["tiktoken", "xxhash", "visitfold.llm", "corpus_pipeline"])
+def test_a_missing_module_costs_no_other_query(missing):
+    code = (
+        f"import sys; sys.modules[{missing!r}] = None\n"
+        "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    )
+    root = Path(__file__).parent.parent
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert said.stdout.split() == [str(len(QUERIES)), str(len(ORACLE))]
+    assert missing in said.stderr
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, database, name):
     result = compare(QUERIES[name](spark, FOLDER), database, ORACLE[name])

@@ -50,6 +50,10 @@ class Lake:
     def silver(self) -> str:
         return self._at("silver")
 
+    @property
+    def silver_keys(self) -> str:
+        return self._at("silver_keys")
+
     @property
     def sessions(self) -> str:
         return self._at("sessions")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from visitfold.lake import Lake, Settings
-from visitfold.operators import kpis, skew
+from visitfold.operators import arrivals, kpis, skew
 from visitfold.operators.cleaning import clean_events, drop_repeats, identified
 from visitfold.operators.dimensions import enrich
 from visitfold.operators.sessions import window_sessions
@@ -18,9 +18,18 @@ from visitfold.plans.sessions_job import sessions_job
 from visitfold.sources import ledger, manifests
 from visitfold.sources.landing import CORRUPT, READ_SCHEMA, read_landing, stream_landing, type_events
 from visitfold.sources.scratch import scratch_dir
-from visitfold.sources.tables import between_days, read_table, stage_table, write_table
+from visitfold.sources.tables import (
+    between_days,
+    drop_days,
+    read_table,
+    stage_table,
+    table_days,
+    table_exists,
+    write_table,
+)
 from visitfold.streaming import late, live, numbered
 
+
 def silver_events(bronze: DataFrame) -> DataFrame:
     """Clean, single, enriched events of people."""
     return enrich(drop_repeats(clean_events(bronze.drop(CORRUPT))))
@@ -123,12 +132,43 @@ def silver_job(
 ) -> int:
     """All days, or a range: copies have equal times, so a day's rows depend on that day alone."""
     events = silver_events(read_table(spark, lake.bronze, since, until))
+    drop_days(spark, lake.silver_keys, since, until)
     days, whole = list(settings.partition_by), since is None and until is None
     return write_table(
         events, lake.silver, days, gather=True, replace="table" if whole else "days", span=(since, until)
     )
 
 
+def append_silver_job(
+    spark: SparkSession, lake: Lake, bronze: DataFrame, load: str, settings: Settings = Settings()
+) -> tuple[int, list[str]]:
+    """Add the events of some bronze rows that silver does not have yet; rows added and their days.
+
+    Stored days are not written again and not shuffled. ``load`` names the rows: what was
+    added under that name is not added twice.
+    """
+    events = silver_events(bronze)
+    if table_exists(spark, lake.silver):
+        events = _written(events, "arrivals")
+        _complete_bitmaps(spark, lake, events)
+        told = _written(arrivals.maybe_stored(events, read_table(spark, lake.silver_keys)), "told")
+        events = arrivals.not_stored(told, read_table(spark, lake.silver))
+    days = list(settings.partition_by)
+    staged = stage_table(events, lake.silver, days, gather=True)
+    bitmaps = arrivals.day_bitmaps(staged.rows())
+    write_table(bitmaps, lake.silver_keys, ["event_date"], replace="add", load=load)
+    return staged.publish("add", load=load), staged.days()
+
+
+def _complete_bitmaps(spark: SparkSession, lake: Lake, events: DataFrame) -> None:
+    """Bitmaps for stored days of these events that have none: silver was built another way."""
+    told = {str(row[0]) for row in events.select("event_date").distinct().collect()}
+    lacking = sorted(told & set(table_days(spark, lake.silver)) - set(table_days(spark, lake.silver_keys)))
+    if lacking or not table_exists(spark, lake.silver_keys):
+        stored = read_table(spark, lake.silver).where(F.col("event_date").isin([date.fromisoformat(day) for day in lacking]))
+        write_table(arrivals.day_bitmaps(stored), lake.silver_keys, ["event_date"], replace="add")
+
+
 def gold_tables(events: DataFrame, sessions: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     return {
         "funnel": kpis.funnel(events),

@@ -211,6 +211,19 @@ ORACLE: dict[str, str] = {
         SELECT *, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM ({ENRICHED})""",
     "sessions_day_by_day": landed("SELECT * FROM sessions"),
     "sessions_after_repair": landed("SELECT * FROM sessions"),
+    "sessions_from_buckets": sessions(SIX_HOURS, "SELECT * FROM sessions"),
+    "silver_second_load": f"""
+        WITH {LANDED_CTE}, {SILVER_CTE}, {DIMS_CTE}
+        SELECT *, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date FROM ({ENRICHED})""",
+    "span_users_sketched": sessions(
+        SIX_HOURS,
+        """, spans(since, until) AS (VALUES ('2024-01-03', '2024-01-03'), ('2024-01-08', '2024-01-14'),
+            ('2024-01-01', '2024-01-31'))
+        SELECT since, count(*) AS num_sessions, avg(duration_sec) AS avg_duration_sec,
+            avg(CAST(bounce AS INT)) AS bounce_rate, avg(CAST(converted AS INT)) AS conversion_rate,
+            true AS users_within_error
+        FROM spans JOIN sessions ON event_date BETWEEN since AND until GROUP BY since""",
+    ),
     "session_states_before": f"""
         WITH {CLICKS_CTE}, past AS (SELECT * FROM clicks WHERE CAST(event_timestamp AS DATE) < {DAY}),
         {tagged_cte('past', HALF_HOUR)}

@@ -27,9 +27,10 @@ from visitfold.sources.landing import (
     type_events,
     write_landing,
 )
+from visitfold.sources.bucketed import Buckets
 from visitfold.sources.ledger import list_landing
 from visitfold.sources.scratch import scratch_dir
-from visitfold.sources.tables import read_table, write_table
+from visitfold.sources.tables import between_days, read_table, write_table
 from visitfold.streaming import live
 from workload.views import clicks, raw_clicks, raw_lines, table
 
@@ -39,6 +40,8 @@ SIX_HOURS = 6 * 60 * 60
 HOT = 70
 # Of so many parts, a user with more than one is heavy.
 PARTS = 140
+BUCKETS = 16
+SPANS = [("2024-01-03", "2024-01-03"), ("2024-01-08", "2024-01-14"), ("2024-01-01", "2024-01-31")]
 MIDDLE, LATE_DAY, SNAPSHOT_DAY = "2024-01-16", "2024-01-15", "2024-01-10"
 
 # Which of several copies stays is open; these differ between copies.
@@ -156,6 +159,16 @@ def sessions_after_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake.sessions)
 
 
+@query
+def sessions_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events bucketed by user, the heavy users apart; neither part is shuffled by user whole."""
+    path = scratch_dir(spark, "buckets")
+    buckets = Buckets(f"buckets_{path.rsplit('-', 1)[-1]}", path, BUCKETS)
+    buckets.write(clicks(spark, sf_dir))
+    parts = [build_sessions(part, SIX_HOURS) for part in (buckets.usual(spark), buckets.heavy(spark))]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def session_states_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's sessions so far and last session at the end of a day, through a snapshot."""
@@ -330,6 +343,17 @@ def star_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", "user_id", "event_type", "c_mktsegment", "n_name", "r_name")
 
 
+@query
+def silver_second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most events come again in other files, with new ones; silver takes the new ones."""
+    lake, lines = Lake(scratch_dir(spark, "lake")), raw_lines(spark, sf_dir)
+    for part, paths in (("first", "<> '/product/1'"), ("again", "<> '/product/2'"), ("third", "IS NOT NULL")):
+        _land_path(lines, lake, part, paths)
+        new = type_events(read_landing(spark, f"{lake.landing}/{part}"))
+        jobs.append_silver_job(spark, lake, new.drop("ingest_ts", "source_file"), part)
+    return read_table(spark, lake.silver).drop(*OPEN)
+
+
 # ---- gold -------------------------------------------------------------------
 
 
@@ -354,6 +378,27 @@ def daily_sessions_unrounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.daily_sessions(sessions, rounded=False)
 
 
+@query
+def span_users_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of spans of days from a table with a row per day, users by sketches."""
+    path = scratch_dir(spark, "days")
+    write_table(kpis.daily_sketches(build_sessions(clicks(spark, sf_dir), SIX_HOURS)), path, ["event_date"])
+    sessions = build_sessions(clicks(spark, sf_dir), SIX_HOURS)
+    rows = []
+    for since, until in SPANS:
+        told = kpis.span_sessions(read_table(spark, path, since, until))
+        exact = between_days(sessions, since, until).agg(F.countDistinct("user_id").alias("users"))
+        off = F.abs(F.col("distinct_users") - F.col("users")) <= kpis.USER_ERROR * F.col("users")
+        rows.append(
+            told.crossJoin(exact).select(
+                F.lit(since).alias("since"),
+                *("num_sessions", "avg_duration_sec", "bounce_rate", "conversion_rate"),
+                off.alias("users_within_error"),
+            )
+        )
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query
 def top_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.top_paths(build_sessions(clicks(spark, sf_dir), SIX_HOURS))
