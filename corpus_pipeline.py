@@ -13,10 +13,6 @@ from visitfold.llm.queries import byte_bpe
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Items that a packing task holds at a time; pieces carry their tokens here.
-CHUNK_ITEMS = 4000
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, as they are.
 
@@ -72,7 +68,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     prepared(spark)
     pieces = packing.cut_pieces(docs.select("doc_id", "text"), byte_bpe())
     rows = pieces.select(F.col("doc.doc_id").alias("doc_id"), "piece", "start", "length", "ids")
-    return packing.pack(rows, chunk_items=CHUNK_ITEMS)
+    return packing.pack(rows)
 
 
 STAGES: list[tuple[str, Stage]] = [
