@@ -20,11 +20,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from visitfold.llm import ann, mixing, oracle, packing, url_filter, warc
+from visitfold.llm import ann, mixing, oracle, packing, queries, url_filter, warc
 from visitfold.llm.queries import URL_RULES, byte_bpe
 
 from .conftest import awkward_texts, prose
 
+SMALL = "/root/testdata/sf0.001"
+
 EMPTY: list = []
 
 
@@ -275,12 +277,12 @@ def test_other_tokenizers_run_as_they_are():
     assert np.frombuffer(other.encode(text), "<u4").tolist() == other.whole.encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("chunk_items", [5, 20_000])
-def test_packing(docs, awkward, tokenizer, chunk_items):
+@pytest.mark.parametrize("task_items", [40, 20_000])
+def test_packing(docs, awkward, tokenizer, task_items):
     capacity = 64
     pieces = packing.cut_pieces(docs(awkward), byte_bpe(), columns=["doc_id", "text", "key"], capacity=capacity)
     items = pieces.select("doc.doc_id", "doc.text", "doc.key", "piece", "start", "length", "ids")
-    placed = packing.pack(items, capacity=capacity, chunk_items=chunk_items).collect()
+    placed = packing.pack(items, capacity=capacity, task_items=task_items).collect()
     expected = Counter()
     for i, text, _ in awkward:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
@@ -310,7 +312,7 @@ def test_nothing_to_pack(docs):
 
 def test_items_over_half_do_not_pile_up(spark):
     items = spark.range(2000).selectExpr("id", "1025L AS length").repartition(4)
-    placed = packing.pack(items, chunk_items=100)
+    placed = packing.pack(items, task_items=100)
     assert placed.select("sequence_id").distinct().count() == placed.count() == 2000
 
 
@@ -323,11 +325,66 @@ def test_keepers_are_written_before_payloads_join(spark):
 
 def test_long_items_before_short_ones_waste_no_sequence(spark):
     items = spark.range(0, 8000, 1, 1).selectExpr("id", "IF(id < 4000, 1200L, 300L) AS length")
-    placed = packing.pack(items, chunk_items=1000)
+    placed = packing.pack(items, task_items=1000)
     found = placed.groupBy("sequence_id").agg(F.sum("length").alias("fill")).collect()
     assert len(found) == 4000 and max(row["fill"] for row in found) <= 2048
 
 
+def filled(placed):
+    """Number of sequences, after a look at their offsets."""
+    sequences = defaultdict(list)
+    for row in placed.select("sequence_id", "offset", "length").collect():
+        sequences[row["sequence_id"]].append((row["offset"], row["length"]))
+    for parts in sequences.values():
+        ends = [0, *(offset + length for offset, length in sorted(parts))]
+        assert [offset for offset, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 2048
+    return len(sequences)
+
+
+@pytest.mark.parametrize("shape", ["mixed", "halves", "clustered"])
+def test_the_tree_packs_nearly_like_one_task(spark, shape):
+    """Against best fit of all items at once, on lengths that are mixed, over half, or in clusters."""
+    length = {
+        "mixed": "1 + pmod(xxhash64(id), 900)",
+        "halves": "IF(id % 2 = 0, 1025 + id % 400, 100 + id % 900)",
+        "clustered": "CASE WHEN id < 2000 THEN 1500 WHEN id < 4000 THEN 700 ELSE 130 + id % 7 END",
+    }[shape]
+    items = spark.range(0, 6000, 1, 5).selectExpr("id", f"CAST({length} AS LONG) AS length")
+    sizes = np.array([row["length"] for row in items.collect()])
+    whole = packing.best_fit(sizes, 2048)[0].max() + 1
+    found = filled(packing.pack(items, task_items=200, fan=3))
+    assert whole <= found <= 1.005 * whole + 2
+    assert filled(packing.pack(items, task_items=10_000)) == whole
+
+
+def test_rounds_merge_what_tasks_leave(spark):
+    # tasks of five items leave far more underfull bins than one would
+    items = spark.range(0, 500, 1, 5).selectExpr("id", "CAST(100 + pmod(xxhash64(id), 300) AS LONG) AS length")
+    sizes = np.array([row["length"] for row in items.collect()])
+    assert filled(packing.pack(items, task_items=5)) <= 1.15 * -(-sizes.sum() // 2048)
+
+
+@pytest.mark.parametrize("length", [None, 0, -1, 2049])
+def test_lengths_that_fit_no_sequence_are_named(spark, length):
+    items = spark.createDataFrame([(1, 5), (2, length)], "id long, length long")
+    with pytest.raises(Exception, match=f"length {'null' if length is None else length} is not 1 to 2048"):
+        packing.pack(items)
+
+
+def test_named_query_packs_whole_documents(spark, tokenizer):
+    """All columns of the query against ids of the tokenizer, cut and packed anew."""
+    expected = Counter()
+    for row in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect():
+        ids = [*tokenizer.encode(row["text"] or "", add_special_tokens=False).ids, 0]
+        cuts = [0, *range(len(ids) % 2048 or 2048, len(ids) + 1, 2048)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            expected[row["doc_id"], k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    placed = queries.op4_best_fit_packing(spark, SMALL)
+    rows = placed.select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    assert Counter(map(tuple, rows)) == expected
+    assert filled(placed) <= 1.005 * -(-sum(row["length"] for row in rows) // 2048) + 1
+
+
 @given(st.lists(st.integers(1, 20), max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_best_fit_in_runs_equals_one_by_one(sizes):
@@ -339,7 +396,7 @@ def test_best_fit_in_runs_equals_one_by_one(sizes):
         else:
             fills.append(size)
     got = Counter()
-    for size, bin_ in zip(sizes, packing.best_fit(np.array(sizes, np.int64), 20).tolist()):
+    for size, bin_ in zip(sizes, packing.best_fit(np.array(sizes, np.int64), 20)[0].tolist()):
         got[bin_] += size
     assert sorted(got.values()) == sorted(fills)
 
@@ -347,7 +404,7 @@ def test_best_fit_in_runs_equals_one_by_one(sizes):
 @given(st.lists(st.integers(1, 20), max_size=60))
 @settings(max_examples=100, deadline=None)
 def test_best_fit(sizes):
-    place = packing.best_fit(np.array(sizes, np.int64), 20)
+    place = packing.best_fit(np.array(sizes, np.int64), 20)[0]
     fill = Counter()
     for size, bin_ in zip(sizes, place.tolist()):
         fill[bin_] += size

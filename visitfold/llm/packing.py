@@ -1,9 +1,10 @@
-"""Token sequences packed by best fit over all items at once.
+"""Token sequences packed by best fit, up a tree of tasks.
 
-Tasks tokenise whole texts and cut them into pieces. Best fit, longest first, needs only how
-many items there are of each length, ``capacity`` numbers at most: it is planned on the
-driver in runs of items of one length. Items are numbered within their length by the tasks
-that write them, and find their sequence and offset by that number. No task holds bins.
+Tasks tokenise whole texts and cut them into pieces. Pieces are dealt by hash, so that every
+task has all kinds of lengths, and each task packs its own by best fit, longest first. Bins
+that are nearly full are sequences. The others go up as items of their own, a few tasks' bins
+to one, and are packed again, until a round that brings together all it can merges none. A
+task never holds more than a stated number of items, and only their numbers and lengths.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ import json
 import re
 import sys
 from array import array
-from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -20,17 +20,20 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from visitfold.llm.common import carried, settle
 
 CAPACITY = 2048
 END_ID = 0
-#: Items that a task numbers or places at a time.
-CHUNK_ITEMS = 20_000
+#: Items that a task packs at a time.
+TASK_ITEMS = 20_000
+#: Tasks of a round whose bins come together in the next.
+FAN = 8
+#: Bins with less room than this part of a sequence are closed.
+NEARLY_FULL = 0.005
 #: Words whose ids a Python worker remembers.
 MEMO_WORDS = 200_000
 
@@ -218,75 +221,99 @@ class Plan:
         return first[run] + bin_, offset[run] + at * sizes
 
 
-def numbered(sizes: np.ndarray, seen: Counter[int]) -> np.ndarray:
-    """The number of each item among those of its length, on from those ``seen``, which grows."""
+def numbered(sizes: np.ndarray) -> np.ndarray:
+    """The number of each item among those of its length."""
     order = np.argsort(sizes, kind="stable")
-    values, starts, counts = np.unique(sizes[order], return_index=True, return_counts=True)
-    before = np.array([seen[size] for size in values.tolist()], np.int64)
+    _, starts, counts = np.unique(sizes[order], return_index=True, return_counts=True)
     out = np.empty(len(sizes), np.int64)
-    out[order] = np.arange(len(sizes)) + np.repeat(before - starts, counts)
-    seen.update(dict(zip(values.tolist(), counts.tolist())))
+    out[order] = np.arange(len(sizes)) - np.repeat(starts, counts)
     return out
 
 
-def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """The bin of each item, longest items first, each into the fullest bin that has room."""
-    seen: Counter[int] = Counter()
-    ranks = numbered(sizes, seen)
-    return Plan(seen, capacity).place(sizes, ranks)[0]
+def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bin and offset of each item, longest items first, each into the fullest bin that has room."""
+    values, counts = np.unique(sizes, return_counts=True)
+    plan = Plan(dict(zip(values.tolist(), counts.tolist())), capacity)
+    return plan.place(sizes, numbered(sizes))
+
+
+def _round(nodes: DataFrame, parts: int, number: int, capacity: int, most: int) -> DataFrame:
+    """node, bin, at and fill (of the bin) for nodes of some size, packed in so many tasks."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # numbers of bins: the round, the task, and the bin in the task
+        made = (number + 1 << 56) + (TaskContext.get().partitionId() << 32)
+        held: list[pa.RecordBatch] = []
+
+        def out(made: int) -> tuple[pa.RecordBatch, int]:
+            table = pa.Table.from_batches(held)
+            size = np.asarray(table.column("size"))
+            bins, at = best_fit(size, capacity)
+            fill = np.bincount(bins, size).astype(np.int64)
+            columns = [table.column("node").combine_chunks(), *map(pa.array, (bins + made, at, fill[bins]))]
+            return pa.RecordBatch.from_arrays(columns, names=["node", "bin", "at", "fill"]), made + len(fill)
+
+        for batch in batches:
+            for a in range(0, batch.num_rows, most):
+                held.append(batch.slice(a, most))
+                # numbers are dealt evenly, so this is for tasks that get several parts
+                if sum(one.num_rows for one in held) >= 4 * most:
+                    found, made = out(made)
+                    held.clear()
+                    yield found
+        if held:
+            yield out(made)[0]
+
+    dealt = nodes.repartition(parts, F.xxhash64("node", F.lit(number)))
+    return dealt.select("node", "size").mapInArrow(work, "node long, bin long, at long, fill long")
 
 
 def pack(
     items: DataFrame,
     length: str = "length",
     capacity: int = CAPACITY,
-    chunk_items: int = CHUNK_ITEMS,
+    task_items: int = TASK_ITEMS,
+    fan: int = FAN,
 ) -> DataFrame:
     """Columns of ``items`` with sequence_id and offset.
 
-    Every item (1 to ``capacity`` long) is in one sequence, at an offset without gaps. The
-    sequences are those of best fit over all items, whatever order they are stored in. Rows of
-    a sequence need not be together. Columns named like the added ones are replaced.
+    Every item is in one sequence, at an offset without gaps. Lengths are 1 to ``capacity``;
+    another one, or null, is an error that names it. Rows of a sequence need not be
+    together; repeated rows are packed each for itself. Columns named like the added ones are
+    replaced. An empty table gives no rows.
     """
     kept = [name for name in items.columns if name not in ("sequence_id", "offset")]
+    size = items[f"`{length}`"].cast("long")
+    wrong = F.raise_error(F.format_string("length %s is not 1 to " + str(capacity), F.coalesce(size.cast("string"), F.lit("null"))))
     rows = items.select(
         F.struct(*[items[f"`{name}`"] for name in kept]).alias("item"),
-        items[f"`{length}`"].cast("long").alias("size"),
-    )
-    item = rows.schema["item"].dataType
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen = TaskContext.get().partitionId(), Counter()
-        for batch in batches:
-            for a in range(0, batch.num_rows, chunk_items):
-                some = batch.slice(a, chunk_items)
-                ranks = numbered(np.asarray(some.column("size")), seen)
-                yield pa.RecordBatch.from_arrays(
-                    [some.column("item"), some.column("size"), pa.array(np.full(len(ranks), part)), pa.array(ranks)],
-                    names=["item", "size", "part", "rank"],
-                )
-
-    schema = T.StructType(
-        [T.StructField("item", item), *[T.StructField(name, T.LongType()) for name in ("size", "part", "rank")]]
-    )
-    written = settle(rows.mapInArrow(number, schema), "items")
-    counts = written.groupBy("part", "size").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("size").orderBy("part")) - F.col("n")
-    counts = settle(counts.withColumn("before", before), "counts")
-    totals = counts.groupBy("size").agg(F.sum("n").alias("n")).collect()
-    plan = items.sparkSession.sparkContext.broadcast(Plan({row["size"]: row["n"] for row in totals}, capacity))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, chunk_items):
-                some = batch.slice(a, chunk_items)
-                bins, at = plan.value.place(np.asarray(some.column("size")), np.asarray(some.column("rank")))
-                yield pa.RecordBatch.from_arrays(
-                    [*some.column("item").flatten(), pa.array(bins), pa.array(at)], names=placed.names
-                )
-
-    placed = T.StructType(
-        [*item.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+        F.when(size.between(1, capacity), size).otherwise(wrong.cast("long")).alias("size"),
+        F.monotonically_increasing_id().alias("node"),
     )
-    found = written.join(counts.select("part", "size", "before"), ["part", "size"])
-    return found.select("item", "size", (F.col("rank") + F.col("before")).alias("rank")).mapInArrow(place, placed)
+    written = settle(rows, "items")
+    parts = max(1, -(-written.count() // task_items))
+    first = settle(_round(written, parts, 0, capacity, task_items), "bins")
+    placed, rounds = first, []
+    while True:
+        open_ = placed.where((F.col("at") == 0) & (F.col("fill") < F.lit(capacity * (1 - NEARLY_FULL))))
+        nodes = open_.select(F.col("bin").alias("node"), F.col("fill").alias("size"))
+        count, fewer = nodes.count(), parts
+        if count < 2:
+            break
+        fewer = max(1, -(-parts // fan), -(-count // task_items))
+        placed = settle(_round(nodes, fewer, len(rounds) + 1, capacity, task_items), "bins")
+        merged = count - placed.where("at = 0").count()
+        rounds.append(placed)
+        if not merged and fewer >= parts:
+            break
+        parts = fewer
+    found = first.select("node", F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
+    for placed in rounds:
+        up = placed.select(F.col("node").alias("sequence_id"), F.col("bin").alias("up"), F.col("at").alias("shift"))
+        found = found.join(up, "sequence_id", "left").select(
+            "node",
+            F.coalesce("up", "sequence_id").alias("sequence_id"),
+            (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"),
+        )
+    found = settle(found, "places")
+    return written.join(found, "node").select("item.*", "sequence_id", "offset")
