@@ -316,6 +316,17 @@ def test_items_over_half_do_not_pile_up(spark):
     assert placed.select("sequence_id").distinct().count() == placed.count() == 2000
 
 
+def test_archives_are_read_by_a_bounded_number_of_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert warc.tasks(spark, 0, 0) == warc.tasks(spark, 1, 1 << 40) == 1
+    assert warc.tasks(spark, 10**9, 4 << 20) == cores
+    assert warc.tasks(spark, 10**9, 100 << 40) == 100 << 10
+    pages = spark.range(3000).selectExpr("id AS page_id", "'u' AS url", "repeat(sha2(string(id), 512), 40) AS html")
+    archives = warc.write_archives(pages.repartition(30))
+    found = warc.read_archives(spark, archives, payload=False)
+    assert found.rdd.getNumPartitions() <= cores and found.count() == 3000
+
+
 def test_keepers_are_written_before_payloads_join(spark):
     rows = [(k, "u", "x" * 2000 if k % 3 else f"{k}" * 2000) for k in range(1, 7)]
     found = warc.tagged(spark.createDataFrame(rows, "page_id long, url string, html string"), "page_id", "url", "html", 1000)

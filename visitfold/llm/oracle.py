@@ -140,3 +140,65 @@ SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken
 FROM counted
 """
 )
+
+_WORDS = r"""
+words AS (
+    SELECT row_number() OVER () AS row_id, doc_id,
+           regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+)"""
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Fixed value: windows of 35 words.
+ORACLE["op8_substring_dedup"] = f"""
+WITH {_WORDS.format(text="text")}, windows AS (
+    SELECT row_id, unnest(range(1, len(words) - 33)) AS start,
+           unnest([array_to_string(words[i : i + 34], ' ') FOR i IN range(1, len(words) - 33)]) AS content
+    FROM words WHERE len(words) >= 35
+), repeated AS (
+    SELECT row_id, start FROM windows QUALIFY count(*) OVER (PARTITION BY content) > 1
+), places AS (
+    SELECT row_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM words
+), judged AS (
+    SELECT p.row_id, word, place, start IS NOT NULL AND place < start + 35 AS goes
+    FROM places AS p ASOF LEFT JOIN repeated AS r ON p.row_id = r.row_id AND p.place >= r.start
+), left_over AS (
+    SELECT row_id, count(*) FILTER (WHERE goes) AS n_removed,
+           string_agg(word, ' ' ORDER BY place) FILTER (WHERE NOT goes) AS kept
+    FROM judged GROUP BY row_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN left_over USING (row_id)
+"""
+
+# Shingles of four words, a similarity of 85 percent.
+ORACLE["op12_ngram_jaccard"] = f"""
+WITH RECURSIVE {_WORDS.format(text=_LOWER)}, sets AS (
+    SELECT row_id, doc_id, CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct([array_to_string(words[i : i + 3], ' ') FOR i IN range(1, len(words) - 2)])
+    END AS shingles
+    FROM words
+), each AS (
+    SELECT row_id, len(shingles) AS size, unnest(shingles) AS shingle FROM sets
+), met AS (
+    SELECT a.row_id AS a, b.row_id AS b, a.size AS size_a, b.size AS size_b, count(*) AS shared
+    FROM each AS a JOIN each AS b ON a.shingle = b.shingle AND a.row_id < b.row_id
+    GROUP BY ALL
+), links AS (
+    SELECT a, b FROM met WHERE 100 * shared >= 85 * (size_a + size_b - shared)
+    UNION ALL
+    SELECT b, a FROM met WHERE 100 * shared >= 85 * (size_a + size_b - shared)
+), reached AS (
+    SELECT row_id AS a, row_id AS b FROM sets
+    UNION
+    SELECT r.a, l.b FROM reached AS r JOIN links AS l ON l.a = r.b
+), least AS (
+    SELECT r.a AS row_id, min(s.doc_id) AS component_id
+    FROM reached AS r JOIN sets AS s ON s.row_id = r.b GROUP BY r.a
+)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN least USING (row_id)
+"""

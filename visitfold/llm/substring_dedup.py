@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitfold.llm.common import carried, offsets, settle, utf8
+from visitfold.llm.common import carried, offsets, settle, sifted, utf8
 
 # Fixed value: the window that the query states.
 WINDOW = 35
@@ -191,7 +191,8 @@ def repeated_windows(
     wanted = each.distinct().join(shared, "least").groupBy("uid").agg(F.collect_list("least").alias("grams"))
     wanted = settle(texts.select("uid", "t1", "t2").join(wanted, "uid"), "candidates")
     with_text = docs.select(*text_key(docs, text), utf8(docs[f"`{text}`"]).alias("text"))
-    once = with_text.join(wanted, ["t1", "t2"]).dropDuplicates(["t1", "t2"])
+    # copies meet inside each input task first, so a text that very many rows have is no burden
+    once = sifted(with_text, wanted, ["t1", "t2"]).dropDuplicates(["t1", "t2"]).join(wanted, ["t1", "t2"])
     windows = settle(_windows(once, window, gram), "windows")
     key = windows.withColumn("check", F.shiftright("place", 32).cast("int"))
     repeated = key.groupBy("hash", "check").agg(F.count("*").alias("n")).where("n > 1").drop("n")

@@ -35,6 +35,8 @@ LEAST_REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 64 << 20
 #: Records fetched by one range read.
 RUN_BYTES = 4 << 20
+#: Bytes that a task reads before there are more tasks than the cluster runs at once.
+TASK_BYTES = 1 << 30
 DATE = "2026-01-01T00:00:00Z"
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 
@@ -353,7 +355,19 @@ def read_archives(spark: SparkSession, archives: DataFrame, payload: bool = True
     sql = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
     schema = ", ".join(f"{f.name} {sql[f.type]}" for f in kinds)
     names = archives.select("archive").where("archive IS NOT NULL")
-    dealt = names.repartition(max(1, names.count()), "archive")
+    dealt = names.repartition(tasks(spark, names.count(), 0), "archive")
     found = settle(dealt.mapInArrow(runs, "archive string, start long, lengths array<long>"), "warc-runs")
-    dealt = found.repartition(max(1, found.count()), "archive", "start")
+    total = F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda sum_, one: sum_ + one))
+    held = found.agg(F.count("*").alias("n"), total.alias("bytes")).first()
+    dealt = found.repartition(tasks(spark, held["n"], held["bytes"] or 0), "archive", "start")
     return dealt.mapInArrow(fetch, schema)
+
+
+def tasks(spark: SparkSession, count: int, size: int, task_bytes: int = TASK_BYTES) -> int:
+    """Tasks for so many pieces of work that read so many bytes.
+
+    As many as the cluster runs at once; more only where each would read over ``task_bytes``:
+    100,000 for 100 TB, and not one for each run of records.
+    """
+    wanted = max(spark.sparkContext.defaultParallelism, -(-size // task_bytes))
+    return max(1, min(count, wanted))
