@@ -202,3 +202,54 @@ WITH RECURSIVE {_WORDS.format(text=_LOWER)}, sets AS (
 SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id
 FROM sets JOIN least USING (row_id)
 """
+
+# The polynomial of CRC-32; runs of letters; one damaged run in 199; words of six
+# letters that occur five times; forms five times as frequent. A letter from U+00C0 to U+00FF
+# has two bytes in UTF-8, the first of which is 195.
+_CRC = """
+crc_table AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+        lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS steps
+)"""
+ORACLE["op11_spelling_variants"] = f"""
+WITH RECURSIVE {_CRC}, found AS (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS times FROM found GROUP BY ALL
+), coded AS (
+    SELECT run, times, xor(list_reduce(
+        list_prepend(4294967295, flatten([CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END
+                                          FOR c IN string_split(doc_id || ':' || run, '')])),
+        lambda crc, b: xor(crc >> 8, steps[(xor(crc, b) & 255) + 1])), 4294967295) AS h
+    FROM counted, crc_table
+), spelt AS (
+    SELECT times, CASE WHEN h % 199 = 0
+        THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+        ELSE run END AS word
+    FROM coded
+), vocabulary AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM spelt GROUP BY word HAVING length(word) >= 6 AND sum(times) >= 5
+), gaps AS (
+    SELECT word, n, unnest([left(word, i) || '*' || substr(word, i + 2) FOR i IN range(0, length(word))]) AS with_gap
+    FROM vocabulary
+), pairs AS (
+    SELECT a.word, b.word AS near FROM gaps AS a JOIN gaps AS b USING (with_gap) WHERE a.word <> b.word
+    UNION
+    SELECT g.word, v.word FROM gaps AS g JOIN vocabulary AS v ON replace(g.with_gap, '*', '') = v.word
+    UNION
+    SELECT v.word, g.word FROM gaps AS g JOIN vocabulary AS v ON replace(g.with_gap, '*', '') = v.word
+), best AS (
+    SELECT p.word, count(*) AS n_near, first(near ORDER BY v.n DESC, near COLLATE C) AS near, max(v.n) AS near_n
+    FROM pairs AS p JOIN vocabulary AS v ON v.word = p.near GROUP BY p.word
+), forms AS (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN near_n >= 5 * v.n THEN near END AS form, CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+    FROM vocabulary AS v LEFT JOIN best AS b USING (word)
+), chains AS (
+    SELECT word, word AS root, form AS onward FROM forms
+    UNION ALL
+    SELECT c.word, c.onward, f.form FROM chains AS c JOIN forms AS f ON f.word = c.onward
+)
+SELECT f.word, form, root, n, n_near, form_n
+FROM forms AS f JOIN chains AS c ON c.word = f.word AND c.onward IS NULL
+"""
