@@ -253,3 +253,150 @@ WITH RECURSIVE {_CRC}, found AS (
 SELECT f.word, form, root, n, n_near, form_n
 FROM forms AS f JOIN chains AS c ON c.word = f.word AND c.onward IS NULL
 """
+
+# One text in ten is planted; runs of six words and four periods.
+ORACLE["op13_periodic_runs"] = f"""
+WITH {_CRC}, {_WORDS.format(text="text")}, coded AS (
+    SELECT row_id, doc_id, words, len(words) AS n, xor(list_reduce(
+        list_prepend(4294967295, [unicode(c) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+        lambda crc, b: xor(crc >> 8, steps[(xor(crc, b) & 255) + 1])), 4294967295) AS h
+    FROM words, crc_table
+), chosen AS (
+    SELECT *, h % 10 = 0 AND n > 0 AS planted, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM coded
+), sized AS (
+    SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM chosen
+), texts AS (
+    SELECT row_id, doc_id, n, CASE WHEN planted
+        THEN [words[CAST(CASE WHEN i < a THEN i ELSE a + (i - a) % p END AS INT) + 1] FOR i IN range(0, n)]
+        ELSE words END AS words
+    FROM sized
+), places AS (
+    SELECT row_id, n, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM texts
+), three AS (
+    SELECT row_id, n, place, word || ' ' || lead(word) OVER w || ' ' || lead(word, 2) OVER w AS content
+    FROM places WINDOW w AS (PARTITION BY row_id ORDER BY place)
+), equal AS (
+    SELECT a.row_id, a.place, b.place - a.place AS period
+    FROM three AS a JOIN three AS b ON a.row_id = b.row_id AND a.content = b.content
+        AND b.place > a.place AND 4 * (b.place - a.place) <= a.n
+), stretches AS (
+    SELECT *, place - row_number() OVER (PARTITION BY row_id, period ORDER BY place) AS stretch FROM equal
+), periodic AS (
+    SELECT row_id, period, min(place) AS start, count(*) + 2 + period AS length
+    FROM stretches GROUP BY row_id, period, stretch
+    HAVING count(*) + 2 + period >= greatest(6, 4 * period)
+), runs AS (
+    SELECT * FROM periodic AS r WHERE NOT EXISTS (
+        SELECT 1 FROM periodic AS s WHERE s.row_id = r.row_id AND s.period < r.period
+            AND s.start <= r.start AND s.start + s.length >= r.start + r.length)
+), told AS (
+    SELECT row_id, count(*) AS n_runs,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+           first(struct_pack(s := start, l := length, p := period)
+                 ORDER BY length / CAST(period AS DOUBLE) DESC, start, period) AS best
+    FROM runs GROUP BY row_id
+), gone AS (
+    SELECT DISTINCT row_id, unnest(range(start + period, start + length)) AS place FROM runs
+), left_over AS (
+    SELECT row_id, string_agg(word, ' ' ORDER BY place) AS kept
+    FROM places ANTI JOIN gone USING (row_id, place) GROUP BY row_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period,
+       1000 * best.l // best.p AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM texts LEFT JOIN told USING (row_id) LEFT JOIN left_over USING (row_id)
+"""
+
+# At least 50 words, half of them at most in repeated windows of three; runs of
+# ten words or more cover 40 percent at most, and the longest is 20 percent at most.
+ORACLE["op7_quality_rules"] = rf"""
+WITH {_WORDS.format(text="text")}, places AS (
+    SELECT row_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM words
+), grams AS (
+    SELECT row_id, place, word, word || ' ' || lead(word) OVER w AS two,
+           word || ' ' || lead(word) OVER w || ' ' || lead(word, 2) OVER w AS three
+    FROM places WINDOW w AS (PARTITION BY row_id ORDER BY place)
+), twice AS (
+    SELECT row_id, count(*) - count(DISTINCT word) > 0 AS of_one,
+           count(two) - count(DISTINCT two) > 0 AS of_two
+    FROM grams GROUP BY row_id
+), tens AS (
+    SELECT row_id, unnest(range(1, len(words) - 8)) AS start,
+           unnest([array_to_string(words[i : i + 9], ' ') FOR i IN range(1, len(words) - 8)]) AS content
+    FROM words WHERE len(words) >= 10
+), repeated AS (
+    SELECT row_id, start, 10 AS size FROM tens QUALIFY count(*) OVER (PARTITION BY row_id, content) > 1
+    UNION ALL
+    SELECT row_id, place, 3 FROM grams WHERE three IS NOT NULL
+    QUALIFY count(*) OVER (PARTITION BY row_id, three) > 1
+), covered AS (
+    SELECT row_id, count(DISTINCT place) FILTER (WHERE size = 3) AS n_repeat_words,
+           count(DISTINCT place) FILTER (WHERE size = 10) AS n_covered
+    FROM (SELECT row_id, size, unnest(range(start, start + size)) AS place FROM repeated) GROUP BY row_id
+), equal AS (
+    SELECT a.row_id, a.place, b.place - a.place AS apart
+    FROM grams AS a JOIN grams AS b ON a.row_id = b.row_id AND a.three = b.three AND b.place > a.place
+), longest AS (
+    SELECT row_id, max(size) AS size FROM (
+        SELECT row_id, count(*) + 2 AS size FROM (
+            SELECT *, place - row_number() OVER (PARTITION BY row_id, apart ORDER BY place) AS stretch FROM equal
+        ) GROUP BY row_id, apart, stretch
+    ) GROUP BY row_id
+), lines AS (
+    SELECT row_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM (
+        SELECT row_number() OVER () AS row_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents
+    ) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY row_id
+), symbols AS (
+    SELECT row_number() OVER () AS row_id, length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols
+    FROM documents
+), figures AS (
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+           CAST(n_symbols AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_covered, 0) AS n_covered,
+           CAST(coalesce(size, CASE WHEN of_two THEN 2 WHEN of_one THEN 1 ELSE 0 END, 0) AS BIGINT) AS longest_repeat
+    FROM words LEFT JOIN twice USING (row_id) LEFT JOIN covered USING (row_id) LEFT JOIN longest USING (row_id)
+        LEFT JOIN lines USING (row_id) LEFT JOIN symbols USING (row_id)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND NOT n_covered > CAST(0.4 AS DOUBLE) * n_words
+       AND NOT (longest_repeat >= 10 AND longest_repeat > CAST(0.2 AS DOUBLE) * n_words) AS kept
+FROM figures
+"""
+
+# Fixed value: lines of five words or more go for one word's difference, shorter ones if equal.
+ORACLE["op5_line_dedup"] = r"""
+WITH split AS (
+    SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+    SELECT row_id, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) - 1 AS number FROM split
+), filled AS (
+    SELECT row_id, number, words, array_to_string(words, ' ') AS content,
+           row_number() OVER (ORDER BY doc_id NULLS LAST, number) AS place
+    FROM (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words FROM lines) WHERE len(words) > 0
+), firsts AS (
+    SELECT content, any_value(words) AS words, min(place) AS first FROM filled GROUP BY content
+), shortened AS (
+    SELECT content, first, unnest(range(1, len(words) + 1)) AS place_cut,
+           unnest([array_to_string(list_concat(words[1 : k - 1], words[k + 1 : len(words)]), ' ')
+                   FOR k IN range(1, len(words) + 1)]) AS rest
+    FROM firsts WHERE len(words) >= 5
+), near AS (
+    SELECT content FROM shortened QUALIFY first > min(first) OVER (PARTITION BY rest, place_cut)
+    UNION
+    SELECT s.content FROM shortened AS s JOIN firsts AS f ON f.content = s.rest AND len(f.words) >= 5 AND f.first < s.first
+    UNION
+    SELECT f.content FROM shortened AS s JOIN firsts AS f ON f.content = s.rest AND len(f.words) >= 5 AND s.first < f.first
+), gone AS (
+    SELECT row_id, number FROM filled AS l JOIN firsts AS f USING (content)
+    WHERE l.place > f.first OR content IN (SELECT content FROM near)
+), told AS (
+    SELECT row_id, count(*) AS n_removed, string_agg(CAST(number AS VARCHAR), ',' ORDER BY number) AS removed_lines
+    FROM gone GROUP BY row_id
+), sizes AS (
+    SELECT row_id, count(*) AS n_lines FROM filled GROUP BY row_id
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       coalesce(removed_lines, '') AS removed_lines
+FROM split LEFT JOIN sizes USING (row_id) LEFT JOIN told USING (row_id)
+"""
