@@ -98,23 +98,46 @@ def test_mixture_equals_sql(docs):
     assert plain(found.collect()) == plain(expected)
 
 
-def test_tree_splits_quotas_exactly(spark):
+def tickets_of(spark, count):
     rng = random.Random(1)
-    rows = [(i % 3, hashlib.md5(str(rng.random()).encode()).hexdigest()) for i in range(101)]
-    ranked = mixing.leaves(spark.createDataFrame(rows, "place long, ticket string"), 8)
-    found = ranked.collect()
-    order = sorted(row["ticket"] for row in found)
-    assert all(order[row["rank"]] == row["ticket"] for row in found)
-    sizes = Counter(row["shard"] for row in found)
-    assert len(sizes) == 13 and max(sizes.values()) - min(sizes.values()) <= 1
-    quota = {(r["level"], r["node"], r["place"]): r["quota"] for r in mixing.quota_tree(ranked, 4).collect()}
+    key = lambda: hashlib.md5(str(rng.random()).encode()).hexdigest()
+    rows = [(min(i % 5, 2), i, 1, key(), key()) for i in range(count)]
+    return spark.createDataFrame(rows, "place long, block long, copy int, ticket string, draw string"), rows
+
+
+def test_tree_splits_quotas_exactly(spark):
+    tickets, rows = tickets_of(spark, 101)
+    quotas = mixing.shard_quotas(tickets, 4)
+    quota = {(r["level"], r["node"], r["place"]): r["quota"] for r in mixing.quota_tree(quotas, 4).collect()}
+    assert {place: quota[0, 0, place] for place in range(3)} == Counter(row[0] for row in rows)
+    total = Counter()
+    for (level, node, _), n in quota.items():
+        total[level, node] += n
     for level in range(4):
         for node in range(2**level):
+            left, right = total[level + 1, 2 * node], total[level + 1, 2 * node + 1]
+            assert abs(left - right) <= 1 and left + right == total[level, node]
             for place in range(3):
                 children = sum(quota.get((level + 1, 2 * node + side, place), 0) for side in (0, 1))
                 assert quota.get((level, node, place), 0) == children
 
 
+def test_quotas_deal_permuted_blocks(spark):
+    tickets, rows = tickets_of(spark, 101)
+    found = mixing.deal(tickets, 8).collect()
+    assert sorted(row["block"] for row in found) == list(range(101))
+    # thirteen shards of eight blocks, made sixteen by the tree
+    quotas = {(row["node"], row["place"]): row["quota"] for row in mixing.shard_quotas(tickets, 4).collect()}
+    assert Counter((row["shard"], row["place"]) for row in found) == quotas
+    # the blocks of a source go to shards in the order of their own key
+    draw = {row[1]: row[4] for row in rows}
+    for place in range(3):
+        mine = sorted((draw[row["block"]], row["shard"]) for row in found if row["place"] == place)
+        shards = [shard for _, shard in mine]
+        assert shards == sorted(shards)
+    assert mixing.deal(tickets.limit(0), 8).collect() == []
+
+
 def test_mix_repeats_rows_and_keeps_columns(docs):
     rows = mixed_rows()
     table = docs(rows)

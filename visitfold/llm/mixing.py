@@ -3,10 +3,12 @@
 A source's documents are dealt by hash into blocks of some ``block_words`` words. Its target
 is an exact number of words: so many whole passes over its blocks, and a further draw of
 permuted blocks, of which the last is settled document by document. Every drawn block is a
-ticket. A node of the tree sends the tickets with the lowest keys to its left child, exactly
-as many as that child's shards hold, which draws the sources' quotas from the multivariate
-hypergeometric distribution; draws of nested nodes agree, so one rank of all tickets holds
-every level. Within a shard documents are shuffled.
+ticket. The tree splits the sources' numbers of tickets: a node sends the tickets with the
+lowest keys to its left child, exactly as many as that child's shards hold, which draws that
+child's quotas from the multivariate hypergeometric distribution; draws of nested nodes agree,
+so one rank of all tickets decides on every level. Then every shard takes as many blocks of
+each source as its quota says, the next ones of the source in an order of their own. Within
+a shard documents are shuffled.
 
 Ranks and running totals go over hash buckets first, so no task gets a source or the corpus.
 """
@@ -139,30 +141,46 @@ def _fitting(last: DataFrame) -> DataFrame:
     return rows.where("fits").select("place", "key").distinct().withColumn("settled", F.lit(1))
 
 
-def leaves(tickets: DataFrame, shard_blocks: int) -> DataFrame:
-    """Tickets with rank (by key, from 0) and shard: the tree's leaves, of equal size."""
+def shard_quotas(tickets: DataFrame, levels: int) -> DataFrame:
+    """node, place, quota: how many tickets of each source the leaves of the tree get.
+
+    There are ``2 ** levels`` leaves, as equal as their number allows.
+    """
     one = tickets.withColumn("tree", F.lit(0)).withColumn("one", F.lit(1))
-    total = tickets.count()
-    shards = max(1, -(-total // shard_blocks))
-    shard = F.floor(F.col("rank") * shards / F.lit(max(1, total))).cast("int")
-    ranked = running_total(one, "tree", "ticket", "one", "rank").drop("tree", "one")
-    return ranked.withColumn("shard", shard)
+    total = max(1, tickets.count())
+    ranked = running_total(one, "tree", "ticket", "one", "rank")
+    node = F.expr(f"rank * {1 << levels} div {total}").cast("long")
+    return ranked.groupBy(node.alias("node"), "place").agg(F.count("*").alias("quota"))
 
 
-def quota_tree(ranked: DataFrame, levels: int) -> DataFrame:
-    """level, node, place, quota: each node's tickets by source, from the root down.
+def quota_tree(quotas: DataFrame, levels: int) -> DataFrame:
+    """level, node, place, quota: each node's tickets by source, from the root down to the leaves.
 
     The children 2n and 2n + 1 of node n share its quotas between them, and hold equally
-    many tickets (one more on the left if their number is odd).
+    many tickets (one more on one side if their number is odd).
     """
-    total = ranked.count()
     level = F.explode(F.sequence(F.lit(0), F.lit(levels)))
-    node = F.floor(F.col("rank") * F.pow(F.lit(2), F.col("level")) / F.lit(max(1, total)))
-    return (
-        ranked.select("place", "rank", level.alias("level"))
-        .groupBy("level", node.cast("long").alias("node"), "place")
-        .agg(F.count("*").alias("quota"))
+    each = quotas.select("node", "place", "quota", level.alias("level"))
+    node = F.expr(f"node div cast(power(2, {levels} - level) as bigint)")
+    return each.groupBy("level", node.alias("node"), "place").agg(F.sum("quota").alias("quota"))
+
+
+def deal(tickets: DataFrame, shard_blocks: int) -> DataFrame:
+    """place, block, copy and shard: every shard's quota of each source, in permuted blocks.
+
+    Shards number their slots of a source one after another; the source's blocks take the
+    slots in the order of ``draw``, a key that the tree has not seen.
+    """
+    shards = max(1, -(-tickets.count() // shard_blocks))
+    quotas = settle(shard_quotas(tickets, (shards - 1).bit_length()), "quotas")
+    before = F.sum("quota").over(Window.partitionBy("place").orderBy("node")) - F.col("quota")
+    slots = quotas.withColumn("before", before).select(
+        "place",
+        F.col("node").cast("int").alias("shard"),
+        F.explode(F.sequence(F.col("before"), F.col("before") + F.col("quota") - 1)).alias("slot"),
     )
+    drawn = running_total(tickets.withColumn("one", F.lit(1)), "place", "draw", "one", "slot")
+    return drawn.join(slots, ["place", "slot"]).select("place", "block", "copy", "shard")
 
 
 def mixture(
@@ -228,11 +246,12 @@ def mixture(
     tickets = settle(
         blocks.where(draws > 0)
         .select("place", "block", F.explode(F.sequence(F.lit(1), draws)).alias("copy"))
-        .withColumn("ticket", _code(seed, F.col("place"), F.col("block"), F.col("copy"))),
+        .withColumn("ticket", _code(seed, F.col("place"), F.col("block"), F.col("copy")))
+        .withColumn("draw", _code(seed, F.col("place"), F.col("block"), F.col("copy"), F.lit("draw"))),
         "tickets",
     )
     dealt = (
-        leaves(tickets, shard_blocks)
+        deal(tickets, shard_blocks)
         .groupBy("place", "block")
         .agg(F.array_sort(F.collect_list(F.struct("copy", "shard"))).alias("dealt"))
         .select("place", "block", F.col("dealt.shard").alias("dealt"))

@@ -109,15 +109,22 @@ WITH units AS (
            NOT (rest > 0 AND words <= "left") AND "left" > 0 AS last_block
     FROM room
 ), tickets AS (
-    SELECT place, block, copy, md5('7:' || place || ':' || block || ':' || copy) AS ticket
+    SELECT place, block, copy, md5('7:' || place || ':' || block || ':' || copy) AS ticket,
+           md5('7:' || place || ':' || block || ':' || copy || ':draw') AS draw
     FROM (SELECT place, block, unnest(range(1, full_passes + (whole OR last_block)::INT + 1)) AS copy
           FROM drawn)
+), noded AS (
+    SELECT place, (row_number() OVER (ORDER BY ticket) - 1)
+           * CAST(power(2, ceil(log2(greatest(1, ceil(count(*) OVER () / 16))))) AS BIGINT)
+           // count(*) OVER () AS node
+    FROM tickets
+), slots AS (
+    SELECT place, node, row_number() OVER (PARTITION BY place ORDER BY node) AS slot FROM noded
 ), dealt AS (
-    SELECT place, block, list(shard ORDER BY copy) AS shards FROM (
-        SELECT *, CAST(floor((row_number() OVER (ORDER BY ticket) - 1)
-                       * ceil(count(*) OVER () / 16) / count(*) OVER ()) AS INT) AS shard
-        FROM tickets)
-    GROUP BY place, block
+    SELECT t.place, block, list(node ORDER BY copy) AS shards
+    FROM (SELECT *, row_number() OVER (PARTITION BY place ORDER BY draw) AS slot FROM tickets) AS t
+    JOIN slots AS s ON s.place = t.place AND s.slot = t.slot
+    GROUP BY t.place, block
 ), fit0 AS (
     SELECT p.place, p.key, p.size, d."left",
            sum(p.size) OVER (PARTITION BY p.place ORDER BY p.key) <= d."left" AS fits
