@@ -493,15 +493,21 @@ def test_awkward_vectors(spark):
     assert found_nearest(none, none) == {} and found_nearest(none, queries) == {}
 
 
-def test_recall_through_parts(spark):
+@pytest.mark.parametrize(
+    ("more", "leaves"), [({"sample": 1500}, 16), ({"sample": 600, "part_rows": 200, "most_parts": 4}, 16)]
+)
+def test_recall_through_parts(spark, more, leaves):
+    """One classifier, and classifiers within its parts; fewer parts are visited than there are."""
     rng = np.random.default_rng(8)
     centres = rng.standard_normal((40, 16))
     points = centres[rng.integers(0, 40, 9000)] + 0.35 * rng.standard_normal((9000, 16))
     rows = [(i, point.tolist()) for i, point in enumerate(points)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
-    found = found_nearest(table, table.where("vec_id % 100 = 0"), sample=1500)
-    router = ann.fit(points[:1500], 9000, 5)
+    found = found_nearest(table, table.where("vec_id % 100 = 0"), **more)
+    router = ann.router_of(table.withColumnRenamed("embedding", "vector"), 5, **more)
+    assert router.parts == leaves and len(router.inner) == (4 if "most_parts" in more else 0)
     assert 1 < router.probes < router.parts
+    assert np.bincount(router.home(ann.unit(points)), minlength=leaves).max() < 9000 / 4
     unit = points / np.sqrt((points**2).sum(axis=1))[:, None]
     hits = 0
     for q in range(0, 9000, 100):
@@ -511,6 +517,31 @@ def test_recall_through_parts(spark):
     assert hits / 450 >= 0.9
 
 
+def test_parts_that_few_vectors_fill(spark):
+    """Inner classifiers of parts with fewer vectors than parts, equal vectors among them."""
+    rng = np.random.default_rng(2)
+    rows = [(i, (rng.standard_normal(3) if i % 3 else np.ones(3)).tolist()) for i in range(400)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    asked = [row for row in rows if row[0] % 50 == 0]
+    found = found_nearest(table, table.where("vec_id % 50 = 0"), part_rows=20, most_parts=4, sample=200)
+    expected = brute_nearest(rows, asked, 5)
+    hits = sum(len({i for _, i, _ in found[q]} & {i for _, i, _ in expected[q]}) for q in expected)
+    assert found.keys() == expected.keys() and hits >= 0.8 * 5 * len(expected)
+    assert all(len(one) == 5 for one in found.values())
+
+
+def test_op6(spark):
+    rows = [tuple(row) for row in spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    expected = brute_nearest(rows, [row for row in rows if row[0] % 50 == 0], 5)
+    found = defaultdict(list)
+    for row in queries.op6_learned_partitions(spark, SMALL).orderBy("query_id", "rank").collect():
+        found[row["query_id"]].append((row["rank"], row["vec_id"], round(row["score"], 9)))
+    hits = sum(len({i for _, i, _ in found[q]} & {i for _, i, _ in expected[q]}) for q in expected)
+    assert found.keys() == expected.keys() and hits >= 0.9 * 5 * len(expected)
+    scores = {(q, i): s for q, one in expected.items() for _, i, s in one}
+    assert all(scores.get((q, i), s) == s for q, one in found.items() for _, i, s in one)
+
+
 def test_parts_are_balanced():
     points = ann.unit(np.random.default_rng(1).standard_normal((512, 8)))
     label = ann.balanced_parts(ann.neighbour_graph(points, 8), 8, 1)
@@ -560,6 +591,7 @@ def test_url_rules(spark):
 
 
 def test_url_rules_cut_anywhere(spark):
+    assert judged(spark, [("EXAMPLE.net", "/E", "block")]) == judged(spark, [("example.net", "/E", "block")])
     rules = [("org", "", "block"), ("org", "/f", "allow"), ("org", "/f", "block"), ("example.net", "/e", "block"), ("net", "/en/xyz", "allow")]
     assert judged(spark, rules, "block") == expected_verdicts(rules, "block")
 

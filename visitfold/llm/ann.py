@@ -2,31 +2,35 @@
 
 On a bounded sample: a graph of nearest neighbours is cut into balanced parts by recursive
 spectral bisection with swaps, and a linear softmax classifier learns the part from the
-vector. Then every vector is indexed under its most probable part, every query is routed to
-its most probable parts, and blocks of a part are ranked exactly. How many parts a query
-visits is calibrated on the sample.
+vector. In a large table each part is cut again in the same way, on a sample of its own, so
+parts keep their size while the table grows. Then every vector is indexed under its most
+probable part, every query is routed to its most probable parts, and blocks of a part are
+ranked exactly. How many parts a query visits is calibrated on vectors that no classifier has
+seen.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitfold.llm.common import settle
 
-#: Vectors that graph and classifier are fitted on, whatever the table's size.
+#: Vectors that a graph and a classifier are fitted on, whatever the table's size.
 SAMPLE = 4096
+#: Further ones on which the number of visits is calibrated.
+UNSEEN = 2048
 NEIGHBOURS = 12
-#: A part has about so many vectors, while there are no more than MOST_PARTS.
+#: A part has about so many vectors; it is cut into MOST_PARTS at a time, twice at most.
 PART_ROWS = 1000
 MOST_PARTS = 128
-#: Share of sample neighbours that the visited parts must hold.
+#: Share of unseen vectors' neighbours that the visited parts must hold.
 WANTED = 0.95
 #: Vectors and queries that a task ranks at a time; a larger part is cut into blocks.
 BLOCK_ROWS = 20_000
@@ -116,22 +120,47 @@ def balanced_parts(near: np.ndarray, parts: int, seed: int) -> np.ndarray:
     return label
 
 
+def log_shares(points: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Log-probabilities of a classifier's parts."""
+    logits = points @ weights[:-1] + weights[-1]
+    logits -= logits.max(axis=1, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+
+
 @dataclass(frozen=True)
 class Router:
-    """Weights of the classifier and the number of parts that a query visits."""
+    """Weights of the classifiers, and the number of parts that a query visits.
+
+    ``inner`` has a classifier for each part of the first one, all with equally many parts.
+    """
 
     weights: np.ndarray
     probes: int
+    inner: tuple[np.ndarray, ...] = ()
 
     @property
     def parts(self) -> int:
-        return self.weights.shape[1]
-
-    def scores(self, points: np.ndarray) -> np.ndarray:
-        return points @ self.weights[:-1] + self.weights[-1]
+        return self.weights.shape[1] * (self.inner[0].shape[1] if self.inner else 1)
+
+    def home(self, points: np.ndarray) -> np.ndarray:
+        """The part under which each vector is indexed."""
+        first = log_shares(points, self.weights).argmax(axis=1)
+        if not self.inner:
+            return first
+        out = np.empty(len(points), np.int64)
+        for part, weights in enumerate(self.inner):
+            at = np.flatnonzero(first == part)
+            if len(at):
+                out[at] = part * weights.shape[1] + log_shares(points[at], weights).argmax(axis=1)
+        return out
 
     def ranked(self, points: np.ndarray, count: int) -> np.ndarray:
-        return np.argsort(-self.scores(points), axis=1, kind="stable")[:, :count]
+        """The most probable parts of each vector."""
+        shares = log_shares(points, self.weights)
+        if self.inner:
+            inside = [log_shares(points, weights) for weights in self.inner]
+            shares = np.concatenate([shares[:, [k]] + one for k, one in enumerate(inside)], axis=1)
+        return np.argsort(-shares, axis=1, kind="stable")[:, :count]
 
 
 def train_classifier(points: np.ndarray, label: np.ndarray, parts: int, steps: int = 200) -> np.ndarray:
@@ -152,28 +181,37 @@ def train_classifier(points: np.ndarray, label: np.ndarray, parts: int, steps: i
     return weights
 
 
-def fit(sample: np.ndarray, rows: int, k: int, wanted: float = WANTED, seed: int = 7) -> Router:
-    """Graph, parts, classifier and probes, from a sample of a table of ``rows`` vectors."""
-    points = unit(sample)
+def split(points: np.ndarray, parts: int, seed: int = 7) -> np.ndarray:
+    """The classifier of so many balanced parts (a power of two) of the neighbour graph of points."""
+    if parts == 1 or len(points) < 2 * parts:
+        return np.zeros((points.shape[1] + 1, parts))
+    near = neighbour_graph(points, NEIGHBOURS)
+    return train_classifier(points, balanced_parts(near, parts, seed), parts)
+
+
+def how_many(rows: int, part_rows: int, most: int) -> int:
+    """Parts, a power of two, that leave about ``part_rows`` in each, at most so many."""
     parts = 1
-    while parts < MOST_PARTS and parts * PART_ROWS < rows and parts * 32 <= len(points):
+    while 2 * parts <= most and parts * part_rows < rows:
         parts *= 2
-    if parts == 1:
-        return Router(np.zeros((points.shape[1] + 1, 1)), 1)
-    near = neighbour_graph(points, NEIGHBOURS)
-    weights = train_classifier(points, balanced_parts(near, parts, seed), parts)
-    router = Router(weights, parts)
-    order = router.ranked(points, parts)
+    return parts
+
+
+def calibrated(router: Router, points: np.ndarray, k: int, wanted: float) -> Router:
+    """The router with as many visits as find that share of the points' k nearest among them, and one more."""
+    if router.parts == 1 or len(points) < 2:
+        return replace(router, probes=router.parts)
+    near = neighbour_graph(points, k)
+    order = router.ranked(points, router.parts)
     rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(parts)[None, :].repeat(len(order), 0), 1)
-    home = order[:, 0]
-    visits = np.take_along_axis(rank, home[near[:, :k]], 1).ravel()
+    np.put_along_axis(rank, order, np.arange(router.parts)[None, :].repeat(len(order), 0), 1)
+    visits = np.take_along_axis(rank, router.home(points)[near], 1).ravel()
     probes = int(np.quantile(visits, wanted, method="higher")) + 1
-    return Router(weights, min(parts, probes + 1))
+    return replace(router, probes=min(router.parts, probes + 1))
 
 
 def _routed(vectors: DataFrame, router: Router, count: int, key: str) -> DataFrame:
-    """``key``, vector as doubles, and the ``count`` most probable parts, a row for each."""
+    """``key``, vector as doubles, and the ``count`` most probable parts, a row for each; 0 is its home."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,7 +219,7 @@ def _routed(vectors: DataFrame, router: Router, count: int, key: str) -> DataFra
                 held = pa.concat_arrays([batch.column("vector")])
                 values = held.flatten().to_numpy(zero_copy_only=False)
                 points = values.reshape(batch.num_rows, -1).astype(np.float64)
-                order = router.ranked(unit(points), count)
+                order = router.ranked(unit(points), count) if count else router.home(unit(points))[:, None]
                 row = np.repeat(np.arange(len(points)), order.shape[1])
                 raw = pa.array([point.tobytes() for point in points], pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -243,7 +281,7 @@ def rank_block(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataF
 
 def _search(indexed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """Best k of every query over the parts it visits; parts are cut into bounded blocks."""
-    counts = lambda rows, most: (  # noqa: E731  a row for each part, at most MOST_PARTS
+    counts = lambda rows, most: (  # noqa: E731  a row for each part, at most MOST_PARTS squared
         rows.groupBy("part").agg(F.ceil(F.count("*") / most).cast("int").alias("cuts"))
     )
     cuts = counts(indexed, BLOCK_ROWS).withColumnRenamed("cuts", "blocks").join(
@@ -271,8 +309,6 @@ def _search(indexed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    from pyspark.sql import Window
-
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -286,6 +322,8 @@ def nearest(
     vector: str = "embedding",
     sample: int = SAMPLE,
     wanted: float = WANTED,
+    part_rows: int = PART_ROWS,
+    most_parts: int = MOST_PARTS,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of the k vectors nearest to each query.
 
@@ -308,7 +346,7 @@ def nearest(
     out = None
     for n in sorted(row["n"] for row in sizes):
         of = lambda rows: rows.where(F.size("vector") == n)
-        some = _nearest_of(of(base), of(asked), k, sample, wanted)
+        some = _nearest_of(of(base), of(asked), k, router_of(of(base), k, sample, wanted, part_rows, most_parts))
         out = some if out is None else out.unionByName(some)
     if out is None:
         schema = "query_id long, rank int, vec_id long, score double"
@@ -316,17 +354,60 @@ def nearest(
     return out
 
 
-def _nearest_of(base: DataFrame, asked: DataFrame, k: int, sample: int, wanted: float) -> DataFrame:
-    """Vectors and queries of one length."""
-    mixed = F.xxhash64("vector", "vec_id")
-    picked = base.orderBy(mixed, "vec_id").limit(sample).select("vector").toPandas()
+def router_of(
+    base: DataFrame,
+    k: int,
+    sample: int = SAMPLE,
+    wanted: float = WANTED,
+    part_rows: int = PART_ROWS,
+    most_parts: int = MOST_PARTS,
+) -> Router | None:
+    """The router of a table of vec_id and vector; none without rows.
+
+    Vectors are sampled by the order of a hash. Those that come after the sample calibrate the
+    visits; a table that has too few more is calibrated on the sample itself.
+    """
+    mixed = [F.xxhash64("vector", "vec_id"), F.col("vec_id")]
     rows = base.count()
     if not rows:
+        return None
+    picked = base.orderBy(*mixed).limit(sample + UNSEEN).select("vector").toPandas()
+    points = unit(np.stack(picked["vector"].to_list()).astype(np.float64))
+    parts = how_many(rows, part_rows, min(most_parts, max(1, min(sample, len(points)) // 32)))
+    router = Router(split(points[:sample], parts), parts)
+    within = how_many(-(-rows // parts), 2 * part_rows, most_parts)
+    if parts == most_parts and within > 1:
+        router = replace(router, inner=_inner(base, router, within, sample))
+    unseen = points[sample:]
+    return calibrated(router, unseen if len(unseen) >= 256 else points[:sample], k, wanted)
+
+
+def _inner(base: DataFrame, router: Router, parts: int, sample: int) -> tuple[np.ndarray, ...]:
+    """Classifiers within the parts of a router, each fitted in a task of its own on a bounded sample."""
+    order = Window.partitionBy("part").orderBy(F.xxhash64("vector", "vec_id"), "vec_id")
+    some = _routed(base, router, 0, "vec_id").withColumn("place", F.row_number().over(order))
+    shape = router.weights.shape[0]
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        points = unit(np.frombuffer(b"".join(rows["vector"]), np.float64).reshape(len(rows), -1))
+        fitting = how_many(len(points), 32, parts)
+        weights = np.full((shape, parts), 0.0)
+        weights[-1, fitting:] = -1e9  # parts that so few vectors do not fill
+        weights[:, :fitting] = split(points, fitting)
+        return pd.DataFrame({"part": [rows["part"].iloc[0]], "weights": [weights.tobytes()]})
+
+    found = some.where(F.col("place") <= sample).groupBy("part").applyInPandas(work, "part int, weights binary")
+    held = {row["part"]: np.frombuffer(row["weights"]).reshape(shape, parts) for row in found.collect()}
+    return tuple(held.get(part, np.zeros((shape, parts))) for part in range(router.weights.shape[1]))
+
+
+def _nearest_of(base: DataFrame, asked: DataFrame, k: int, router: Router | None) -> DataFrame:
+    """Vectors and queries of one length."""
+    if router is None:
         return _best(base.selectExpr("vec_id AS query_id", "vec_id", "0D AS score").limit(0), k).select(
             "query_id", "rank", "vec_id", "score"
         )
-    router = fit(np.stack(picked["vector"].to_list()).astype(np.float64), rows, k, wanted)
-    indexed = settle(_routed(base, router, 1, "vec_id"), "ann-index")
+    indexed = settle(_routed(base, router, 0, "vec_id"), "ann-index")
     visits = settle(_routed(asked, router, router.probes, "query_id"), "ann-queries")
     first = settle(_best(_search(indexed, visits, k), k), "ann-found")
     if router.probes < router.parts:

@@ -109,7 +109,8 @@ URL_RULES = [
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    listed = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {listed} AS rules(host, path, verdict)")
     judged = url_filter.judge_urls(pages, rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 

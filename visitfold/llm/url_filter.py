@@ -40,7 +40,7 @@ def judge_urls(
 ) -> DataFrame:
     """Columns of ``pages`` with host, path, rule (host and path joined) and verdict.
 
-    ``rules`` has host, path and verdict. A rule fits its host and all subdomains if the
+    ``rules`` has host (A-Z count as a-z), path and verdict. A rule fits its host and all subdomains if the
     URL's path starts with the rule's. The longest (host and path together) wins; of equal
     length that with the longer host, of one place the blocking rule. Without a rule the
     verdict is ``otherwise`` and the rule null.
@@ -52,7 +52,8 @@ def judge_urls(
     replaced; rules with a null part are left out; no rules leave every page to
     ``otherwise``.
     """
-    rules = rules.select("host", "path", "verdict").na.drop()
+    lower = F.translate("host", string.ascii_uppercase, string.ascii_lowercase)
+    rules = rules.select(lower.alias("host"), "path", "verdict").na.drop()
     at_host, at_path = _lengths(rules, "host"), _lengths(rules, "path")
     digest = _digest(F.col("host"), F.col("path"))
     coded = rules.select(
