@@ -43,7 +43,9 @@ def test_a_missing_module_costs_no_other_query(missing):
     root = Path(__file__).parent.parent
     said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
     assert said.stdout.split() == [str(len(QUERIES)), str(len(ORACLE))]
-    assert missing in said.stderr
+    assert "no training-data queries" in said.stderr
+    if (root / "corpus_pipeline.py").exists():
+        assert missing in said.stderr
 
 
 @pytest.mark.parametrize("name", QUERIES)
