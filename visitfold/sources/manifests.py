@@ -3,8 +3,10 @@
 A table's root holds ``version=<id>`` folders, each written once by one job, and small
 numbered manifests that name, for every partition, the versions that hold its rows. A write
 goes to a new version; readers see it when the next manifest is there, whole or not at all.
-A job that is killed before leaves the table as it was. Two jobs that replace one table at
-the same time cannot both write the next number: the later one fails.
+A job that is killed before leaves the table as it was. Of two jobs that end one after the
+other the later builds on the manifest of the earlier; two that end at the same moment cannot
+both write the next number, and one fails. That needs a file system whose rename does not
+overwrite; on a store without one, a table has one writer at a time.
 """
 
 from __future__ import annotations
