@@ -142,6 +142,9 @@ def window_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -
 
     The window takes slices instead of events: each opens at its first event and
     stays open until one gap after its last. So one user's events are not gathered.
+
+    Times of a session come from its rows and not from the window: Spark takes a filter on
+    the window to the slices, before they are merged, and so would cut sessions.
     """
     at = F.col("event_timestamp")
     slices = (
@@ -162,6 +165,7 @@ def window_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -
     return (
         slices.groupBy("user_id", F.session_window("first_ts", open_for))
         .agg(
+            F.min("first_ts").alias("start_ts"),
             F.max("last_ts").alias("end_ts"),
             F.sum("num_events").alias("num_events"),
             F.sum("num_pageviews").alias("num_pageviews"),
@@ -169,12 +173,12 @@ def window_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -
         )
         .select(
             "user_id",
-            F.col("session_window.start").alias("start_ts"),
+            "start_ts",
             "end_ts",
-            seconds_between("session_window.start", "end_ts").alias("duration_sec"),
+            seconds_between("start_ts", "end_ts").alias("duration_sec"),
             "num_events",
             "num_pageviews",
             "converted",
-            F.col("session_window.end").alias("window_end"),
+            (F.col("end_ts") + F.make_interval(secs=F.lit(gap_seconds))).alias("window_end"),
         )
     )
