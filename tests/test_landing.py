@@ -13,7 +13,7 @@ from visitfold.lake import Lake, Settings
 from visitfold.operators.sessions import build_sessions
 from visitfold.plans import jobs
 from visitfold.sources import scratch
-from visitfold.sources.landing import read_landing, rows_per_day, type_events, write_landing
+from visitfold.sources.landing import day_spans, read_landing, rows_per_day, type_events, write_landing
 from visitfold.sources.tables import read_table, write_table
 
 
@@ -187,3 +187,24 @@ def test_scratch_lies_in_the_warehouse_without_a_shared_folder():
         conf, sparkContext = Conf(), Context()
 
     assert scratch.scratch_dir(Session(), "x").startswith("hdfs://store/warehouse/x-")
+
+
+def test_spans_of_days_are_written_one_after_another(spark, tmp_path):
+    """Days as far apart as the lateness lie in different spans, and every line is there."""
+    rows = [(f"e{n}", f"u{n % 3}", f"2026-08-{1 + n % 28:02}T10:00:00.000Z") for n in range(280)]
+    rows.append(("lost", "u1", "soon"))
+    lines = spark.createDataFrame(rows, "event_id STRING, user_id STRING, event_timestamp STRING")
+    others = ["event_type", "path", "referrer", "device", "country", "user_agent"]
+    lines = lines.selectExpr("*", *[f"CAST(NULL AS STRING) AS {name}" for name in others])
+    write_landing(lines.repartition(8), str(tmp_path), days_at_once=7)
+    assert read_landing(spark, str(tmp_path)).select("event_id").distinct().count() == 281
+    files = sorted(tmp_path.rglob("*.gz"), key=lambda path: path.stat().st_mtime_ns)
+    days = [path.parent.name.removeprefix("event_date=") for path in files]
+    weeks = [(int(day[-2:]) - 1) // 7 if day[:4] == "2026" else -1 for day in days]
+    assert weeks == sorted(weeks) and set(weeks) == {-1, 0, 1, 2, 3}
+
+
+def test_spans_hold_all_days():
+    days = ["2026-02-27", "2026-03-01", "2026-03-02", "2026-08-01"]
+    assert day_spans(days, 3) == [("2026-02-27", "2026-03-01"), ("2026-03-02", "2026-03-02"), ("2026-08-01", "2026-08-01")]
+    assert day_spans([], 3) == []

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitfold.fixed import LANDING_SCHEMA, LANDING_TIME_FORMAT
 from visitfold.functions.timeline import event_time
+from visitfold.sources.scratch import scratch_dir
+from visitfold.sources.tables import read_table, table_days, write_table
 
 CORRUPT = "corrupt_line"
 READ_SCHEMA = f"{LANDING_SCHEMA}, {CORRUPT} STRING"
@@ -68,11 +72,10 @@ def landing_lines(events: DataFrame) -> DataFrame:
     return events.select(*fields, day.alias("event_date"))
 
 
-def write_landing(events: DataFrame, path: str) -> None:
+def _write_lines(lines: DataFrame, path: str, mode: str) -> None:
     (
-        landing_lines(events)
-        .hint("rebalance", F.col("event_date"))
-        .write.mode("overwrite")
+        lines.hint("rebalance", F.col("event_date"))
+        .write.mode(mode)
         .partitionBy("event_date")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
@@ -80,6 +83,37 @@ def write_landing(events: DataFrame, path: str) -> None:
     )
 
 
+def write_landing(events: DataFrame, path: str, days_at_once: int | None = None) -> None:
+    """Events as files of the landing zone, which are replaced.
+
+    Tasks write days in any order, and the more tasks the less the files' modification times
+    follow the events'. With ``days_at_once`` a job writes that many days and the next job the
+    days after them; rows without a day come first. A stream with a lateness of twice as many
+    days then drops no row, whatever its batches.
+    """
+    lines = landing_lines(events)
+    if days_at_once is None:
+        _write_lines(lines, path, "overwrite")
+        return
+    spark = events.sparkSession
+    staged = scratch_dir(spark, "lines")
+    write_table(lines, staged, ["event_date"], gather=True)
+    _write_lines(read_table(spark, staged).where("event_date IS NULL"), path, "overwrite")
+    for since, until in day_spans(table_days(spark, staged), days_at_once):
+        _write_lines(read_table(spark, staged, since, until), path, "append")
+
+
+def day_spans(days: list[str], length: int) -> list[tuple[str, str]]:
+    """First and last day of spans of at most ``length`` days, in order, that hold all of some days."""
+    spans: list[tuple[str, str]] = []
+    for day in sorted(days):
+        if spans and (date.fromisoformat(day) - date.fromisoformat(spans[-1][0])).days < length:
+            spans[-1] = (spans[-1][0], day)
+        else:
+            spans.append((day, day))
+    return spans
+
+
 def rows_per_day(events: DataFrame) -> DataFrame:
     """How many events the landing zone holds for each day."""
     return landing_lines(events).groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))

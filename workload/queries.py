@@ -553,8 +553,9 @@ TWENTY_DAYS = 20 * 24 * 60 * 60
 
 @query
 def stream_small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several batches; the lateness covers the order in which days were written."""
-    lake, settings = _landed(spark, sf_dir, "stream"), Settings(lateness_seconds=TWENTY_DAYS)
+    """Several batches; the lateness covers the order in which days were written, ten at a time."""
+    lake, settings = Lake(scratch_dir(spark, "stream")), Settings(lateness_seconds=TWENTY_DAYS)
+    write_landing(raw_lines(spark, sf_dir), lake.landing, days_at_once=10)
     query = jobs.stream_job(
         spark, lake, settings, sink="parquet", clean=False, files_per_batch=8
     )
