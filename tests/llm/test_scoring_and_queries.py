@@ -50,6 +50,63 @@ def test_gradient():
             assert grad[at] == pytest.approx((more - less) / 2e-3, abs=2e-4)
 
 
+def with_places(seed, near=(0, 0, 2, 2, 2), kinds=5, hidden=4):
+    """A network whose classes 0 and 2 have places for words, all weights random."""
+    rng = np.random.default_rng(seed)
+    places = lm.Places.of(kinds, np.array(near))
+    start = lm.Network.start(np.log(np.full(kinds, 1 / kinds)), hidden).with_words(places, np.zeros(kinds + len(near)))
+    return start.of([0.5 * rng.standard_normal(part.shape) for part in start.parts()])
+
+
+def test_gradient_with_places_of_words():
+    network = with_places(3)
+    symbols = np.random.default_rng(4).integers(0, 10, 60).astype(np.uint16)
+    texts = lm.Lanes.of(network.places.kinds[symbols], np.array([20, 7, 33]), 4, symbols=symbols)
+    grads, _ = lm.window_gradient(network, texts, 0, np.zeros((len(texts.sizes), 4)), steps=40)
+    assert [grad.shape for grad in grads] == [part.shape for part in network.parts()]
+    loss = lambda: -lm.log_likelihood(network, texts).astype(np.float64).mean()
+    for part, grad in zip(network.parts(), grads):
+        for at in list(np.ndindex(part.shape))[::3]:
+            was = part[at]
+            part[at] = was + 1e-3
+            more = loss()
+            part[at] = was - 1e-3
+            less = loss()
+            part[at] = was
+            assert grad[at] == pytest.approx((more - less) / 2e-3, abs=2e-4)
+
+
+def test_words_of_a_class_are_told_by_the_state():
+    """A plain forward pass; words of equal classes, exchanged, change the words after them."""
+    network, symbols = with_places(5), np.array([5, 1, 7, 8, 6, 0, 9, 2, 4], np.uint16)
+    places = network.places
+    run = lambda some: lm.log_likelihood(network, lm.Lanes.of(places.kinds[some], np.array([len(some)]), 4, symbols=some))
+    state, before = np.zeros((1, 4)), 4
+    for at, symbol in enumerate(symbols):
+        state, before = network.step(state, network.inputs[[before]])[0], symbol
+        kind = places.kinds[symbol]
+        of_class = state[0] @ network.output + network.bias
+        held = np.flatnonzero([places.kinds[other] == kind for other in range(10)])
+        of_word = {other: state[0] @ network.word_output[:, places.place[other]] + network.word_bias[places.place[other]] for other in held}
+        expected = of_class[kind] - np.log(np.exp(of_class).sum()) + of_word[symbol] - np.log(sum(map(np.exp, of_word.values())))
+        assert run(symbols)[at] == pytest.approx(expected, abs=1e-4)
+    other = np.array([6, 1, 7, 8, 6, 0, 9, 2, 4], np.uint16)
+    assert abs(run(symbols) - run(other))[1:].max() > 1e-3
+
+
+def test_near_words_share_out_their_class(spark, docs, awkward):
+    """The network begins as the counts; places of a class sum to one."""
+    counts = lm.count_words(docs(awkward), "doc_id", "text")
+    model = lm.start_model(counts, 8, 4, near_words=20)
+    network, places = model.network, model.network.places
+    assert len(model.near) == 20 and sorted(places.place) == list(range(29))
+    number = {bytes(r["word"]): r["n"] for r in counts.collect()}
+    for word, symbol in model.near.items():
+        expected = math.log10(number[word] + lm.ADDED) - model.class_logs[places.kinds[symbol]]
+        assert network.word_bias[places.place[symbol]] / math.log(10) == pytest.approx(expected, abs=1e-5)
+    assert np.add.reduceat(np.exp(network.word_bias), places.first[:-1]) == pytest.approx(np.ones(9), abs=1e-4)
+
+
 def test_lanes_keep_every_word_in_order():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 90, 70)

@@ -1,10 +1,14 @@
 """Gated recurrent language model over word classes, trained and run by Spark tasks.
 
-The probability of a word is that of its class, given all words before it in the document,
-times that of the word in its class. A small gated recurrent network in numpy gives the
-class; tasks train it by truncated backpropagation on their training documents and the
-weights are averaged. Counts of all training words give the word in its class. Classes come
-from spelling (pairs of bytes), so a word's class needs no table, also if it was never seen.
+The probability of a word is that of its class times that of the word in its class, both
+given all words before it in the document. A small gated recurrent network in numpy gives
+the two by softmax on its state; tasks train it by truncated backpropagation on their
+training documents and the weights are averaged. The most frequent words have a place of
+their own in the softmax of their class and a row of their own as input. The other words of
+a class share one place, in which counts of all training words tell them apart, and one row.
+Classes come from spelling (pairs of bytes), so a word's class needs no table, also if it
+was never seen. Texts are split once; what the network takes of them, a number for each
+word, is written down for training and scoring.
 
 Counts of the most frequent words, up to a stated number, go to every task. The others are
 joined by hash, so vocabulary may grow with the corpus.
@@ -16,7 +20,7 @@ import heapq
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import count, islice
 
 import numpy as np
@@ -37,12 +41,16 @@ CLASSES = 32
 HIDDEN = 16
 #: Frequent words whose spelling the classes are fitted on.
 CLASS_WORDS = 4096
+#: Frequent words with a place of their own in the softmax of their class, at most CLASS_WORDS.
+NEAR_WORDS = 1024
 #: Buckets of byte pairs.
 PAIRS = 1024
 #: Words whose counts every task holds: 16 bytes each.
 HEAD_WORDS = 1 << 19
 #: Steps of a truncated window; the state goes on to the next one.
 STEPS = 16
+#: Steps that are run together when nothing is learnt; no result depends on it.
+SCORE_STEPS = 64
 #: Texts that are run side by side, and words that a task takes at a time.
 LANES = 512
 CHUNK_WORDS = 4_000_000
@@ -116,11 +124,17 @@ def classes_of(words: list[bytes], table: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """Classes of words, and counts of frequent ones, remembered by a task."""
-
-    def __init__(self, table: np.ndarray, head: tuple[np.ndarray, np.ndarray] | None = None) -> None:
+    """Classes and symbols of words, and counts of frequent ones, remembered by a task."""
+
+    def __init__(
+        self,
+        table: np.ndarray,
+        head: tuple[np.ndarray, np.ndarray] | None = None,
+        near: dict[bytes, int] | None = None,
+    ) -> None:
         self.table = table
         self.head = head
+        self.near = near or {}
         self._forget()
 
     def read(self, raw: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -145,13 +159,17 @@ class Vocabulary:
     def _forget(self) -> None:
         self.number: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.kinds = np.empty(0, np.uint8)
+        self.symbols = np.empty(0, np.uint16)
         self.codes = np.empty(0, np.int64)
         self.logs = np.empty(0, np.float64)
 
     def _learn(self, new: list[bytes]) -> None:
         if not new:
             return
-        self.kinds = np.concatenate((self.kinds, classes_of(new, self.table)))
+        kinds = classes_of(new, self.table)
+        self.kinds = np.concatenate((self.kinds, kinds))
+        symbols = np.fromiter(map(self.near.get, new, kinds.tolist()), np.uint16, len(new))
+        self.symbols = np.concatenate((self.symbols, symbols))
         if self.head is not None:
             codes = np.array([xxhash.xxh64_intdigest(word, 42) for word in new], np.uint64).view(np.int64)
             keys, logs = self.head
@@ -163,14 +181,53 @@ class Vocabulary:
             self.logs = np.concatenate((self.logs, known))
 
 
+def _row_sums(rows: np.ndarray) -> np.ndarray:
+    """By a product with ones, which for short rows is faster than ``sum``."""
+    return rows @ np.ones(rows.shape[1], rows.dtype)
+
+
+@dataclass
+class Places:
+    """Symbols, which are the classes and then the near words: the class of each and its place.
+
+    The places of a class follow one another, near words first and the other words last.
+    """
+
+    kinds: np.ndarray
+    place: np.ndarray
+    first: np.ndarray
+
+    @staticmethod
+    def of(kinds: int, near: np.ndarray) -> Places:
+        """``near`` has the class of every near word."""
+        every = np.concatenate((np.arange(kinds), near)).astype(np.int64)
+        order = np.lexsort((np.arange(len(every)) < kinds, every))
+        place = np.empty(len(every), np.int64)
+        place[order] = np.arange(len(every))
+        return Places(every.astype(np.uint8), place, offsets(np.bincount(every, minlength=kinds)))
+
+
 @dataclass
 class Network:
-    """Weights: of inputs by class, of the state, and of the output."""
+    """Weights: of inputs by symbol, of the state, and of the output of classes and of places.
+
+    Without ``places`` symbols are classes, and a class is all that is told of a word.
+    """
 
     inputs: np.ndarray
     state: np.ndarray
     output: np.ndarray
     bias: np.ndarray
+    word_output: np.ndarray | None = None
+    word_bias: np.ndarray | None = None
+    places: Places | None = None
+
+    def with_words(self, places: Places, log_share: np.ndarray) -> Network:
+        """The same probabilities with places for words, given the share of each in its class."""
+        output = np.zeros((len(self.state), len(log_share)), np.float32)
+        return Network(
+            self.inputs[places.kinds], self.state, self.output, self.bias, output, log_share.astype(np.float32), places
+        )
 
     @staticmethod
     def start(log_share: np.ndarray, hidden: int, seed: int = SEED) -> Network:
@@ -180,19 +237,20 @@ class Network:
         return Network(small(kinds, 3 * hidden), small(hidden, 3 * hidden), small(hidden, kinds), log_share.astype(np.float32))
 
     def parts(self) -> list[np.ndarray]:
-        return [self.inputs, self.state, self.output, self.bias]
+        words = [] if self.places is None else [self.word_output, self.word_bias]
+        return [self.inputs, self.state, self.output, self.bias, *words]
+
+    def of(self, parts: list[np.ndarray]) -> Network:
+        """Other weights in the same places."""
+        return Network(*parts) if self.places is None else Network(*parts, self.places)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([part.ravel() for part in self.parts()]).astype(np.float64)
 
     def like(self, flat: np.ndarray) -> Network:
         ends = np.cumsum([part.size for part in self.parts()])[:-1]
-        return Network(
-            *(
-                one.reshape(part.shape).astype(np.float32)
-                for one, part in zip(np.split(flat, ends), self.parts())
-            )
-        )
+        split = zip(np.split(flat, ends), self.parts())
+        return self.of([one.reshape(part.shape).astype(np.float32) for one, part in split])
 
     def step(self, before: np.ndarray, outer: np.ndarray) -> tuple[np.ndarray, ...]:
         """The next state given rows of ``inputs``, and what backpropagation needs of the way."""
@@ -219,7 +277,28 @@ class Network:
         """Log-probability of one class for each state."""
         logits = self.logits(states)
         own = logits[np.arange(len(kinds)), kinds]
-        return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+        return own - np.log(_row_sums(np.exp(logits, out=logits)))
+
+
+    def by_class(self, kinds: np.ndarray) -> Iterator[tuple[np.ndarray, slice]]:
+        """The rows of each class that has several places, and these places."""
+        order = np.argsort(kinds, kind="stable")
+        ends = offsets(np.bincount(kinds, minlength=len(self.bias)))
+        first = self.places.first
+        for kind in np.flatnonzero((np.diff(first) > 1) & (np.diff(ends) > 0)).tolist():
+            yield order[ends[kind] : ends[kind + 1]], slice(first[kind], first[kind + 1])
+
+    def word_log_share(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Log-probability of each symbol's place in its class."""
+        out = np.zeros(len(symbols), states.dtype)
+        if self.places is not None:
+            place = self.places.place[symbols]
+            for rows, held in self.by_class(self.places.kinds[symbols]):
+                logits = states[rows] @ self.word_output[:, held]
+                logits += self.word_bias[held]
+                own = logits[np.arange(len(rows)), place[rows] - held.start]
+                out[rows] = own - np.log(_row_sums(np.exp(logits, out=logits)))
+        return out
 
 
 def lanes(lengths: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -240,9 +319,10 @@ def lanes(lengths: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Lanes:
-    """Texts one after another in lanes: classes, the classes before, and where a text begins."""
+    """Texts one after another in lanes: classes, the symbols before, and where a text begins."""
 
     kinds: np.ndarray
+    symbols: np.ndarray
     before: np.ndarray
     fresh: np.ndarray
     place: np.ndarray
@@ -250,9 +330,16 @@ class Lanes:
     sizes: np.ndarray
 
     @staticmethod
-    def of(kinds: np.ndarray, lengths: np.ndarray, end: int, longest: int | None = None) -> Lanes:
-        """``kinds`` of whole texts; texts over ``longest`` words are cut."""
-        before = np.concatenate(([end], kinds[:-1])).astype(kinds.dtype)
+    def of(
+        kinds: np.ndarray,
+        lengths: np.ndarray,
+        end: int,
+        longest: int | None = None,
+        symbols: np.ndarray | None = None,
+    ) -> Lanes:
+        """``kinds`` of whole texts; texts over ``longest`` words are cut. Symbols are kinds if not given."""
+        symbols = kinds if symbols is None else symbols
+        before = np.concatenate(([end], symbols[:-1])).astype(symbols.dtype)
         if longest:
             pieces = -(-lengths // longest)
             some = np.full(int(pieces.sum()), longest, np.int64)
@@ -264,7 +351,7 @@ class Lanes:
         place = np.arange(own.sum()) + np.repeat(starts[order] - offsets(own)[:-1], own)
         fresh = np.zeros(len(place), bool)
         fresh[offsets(own)[:-1]] = True
-        return Lanes(kinds[place], before[place], fresh, place, offsets(sizes)[:-1], sizes)
+        return Lanes(kinds[place], symbols[place], before[place], fresh, place, offsets(sizes)[:-1], sizes)
 
     def active(self, t: int) -> int:
         return int(np.searchsorted(-self.sizes, -t, side="left"))
@@ -280,6 +367,7 @@ class Window:
     place: np.ndarray
     live: np.ndarray
     kinds: np.ndarray
+    symbols: np.ndarray
     fresh: np.ndarray
     states: np.ndarray
     ways: list[tuple[np.ndarray, ...]]
@@ -300,18 +388,19 @@ class Window:
             state, *way = network.step(before, outer[t])
             states[t] = state
             ways.append((before, *way))
-        return Window(place, times < sizes, texts.kinds[place], fresh, states, ways)
+        return Window(place, times < sizes, texts.kinds[place], texts.symbols[place], fresh, states, ways)
 
 
-def log_likelihood(network: Network, texts: Lanes, steps: int = STEPS) -> np.ndarray:
-    """Natural log-probability of each word's class, in the order the texts were given in."""
+def log_likelihood(network: Network, texts: Lanes, steps: int = SCORE_STEPS) -> np.ndarray:
+    """Natural log-probability of each word's class and its place there, in the order of the texts."""
     out = np.empty(len(texts.kinds), np.float32)
     state = np.zeros((len(texts.sizes), network.state.shape[0]), np.float32)
     for t0 in range(0, int(texts.sizes[0]) if len(texts.sizes) else 0, steps):
         window = Window.run(network, texts, t0, steps, state)
         state = window.states[-1]
         kinds = window.kinds.ravel()
-        found = network.log_share(window.states.reshape(len(kinds), -1), kinds)
+        states = window.states.reshape(len(kinds), -1)
+        found = network.log_share(states, kinds) + network.word_log_share(states, window.symbols.ravel())
         live = window.live.ravel()
         out[texts.place[window.place.ravel()[live]]] = found[live]
     return out
@@ -338,9 +427,11 @@ def window_gradient(
     slope = network.logits(states)
     np.exp(slope, out=slope)
     share = window.live.ravel() / window.live.sum(dtype=states.dtype)
-    slope *= (share / slope.sum(axis=1))[:, None]
+    slope *= (share / _row_sums(slope))[:, None]
     slope[np.arange(size), kinds] -= share
-    from_output = (slope @ network.output.T).reshape(window.states.shape)
+    from_output = slope @ network.output.T
+    from_words = _word_gradient(network, states, window.symbols.ravel(), share, from_output)
+    from_output = from_output.reshape(window.states.shape)
     n = window.states.shape[2]
     befores, keeps, resets, news, inners = (np.stack(parts) for parts in zip(*window.ways))
     # what a change of the state means for the new state, for the gate that keeps and that which resets
@@ -368,14 +459,35 @@ def window_gradient(
         befores.T @ inside.reshape(size, -1),
         states.T @ slope,
         slope.sum(axis=0),
+        *from_words,
     ]
     return grads, window.states[-1]
 
 
+def _word_gradient(
+    network: Network, states: np.ndarray, symbols: np.ndarray, share: np.ndarray, from_output: np.ndarray
+) -> list[np.ndarray]:
+    """Gradient of the weights of places; what it means for the states is added to ``from_output``."""
+    if network.places is None:
+        return []
+    output, bias = np.zeros_like(network.word_output), np.zeros_like(network.word_bias)
+    place = network.places.place[symbols]
+    for rows, held in network.by_class(network.places.kinds[symbols]):
+        some, part = states[rows], network.word_output[:, held]
+        slope = some @ part
+        slope += network.word_bias[held]
+        np.exp(slope, out=slope)
+        slope *= (share[rows] / _row_sums(slope))[:, None]
+        slope[np.arange(len(rows)), place[rows] - held.start] -= share[rows]
+        from_output[rows] += slope @ part.T
+        output[:, held], bias[held] = some.T @ slope, slope.sum(axis=0)
+    return [output, bias]
+
+
 def train(network: Network, texts: Lanes, rate: float = RATE) -> Network:
     """One pass of Adam over all windows, the rate falling to a tenth."""
     parts = [part.copy() for part in network.parts()]
-    network = Network(*parts)
+    network = network.of(parts)
     mean = [np.zeros_like(part) for part in parts]
     square = [np.zeros_like(part) for part in parts]
     state = np.zeros((len(texts.sizes), network.state.shape[0]), np.float32)
@@ -448,18 +560,23 @@ def by_frequency(counts: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
 
 @dataclass
 class Model:
+    """``near`` are the symbols of near words, ``charge`` the log10 of the counts that a place stands for."""
+
     table: np.ndarray
     network: Network
     class_logs: np.ndarray
     words: int
     distinct: int
+    near: dict[bytes, int]
+    charge: np.ndarray
 
 
-def fit(docs: DataFrame, counts: DataFrame, doc_id: str, text: str, classes: int, hidden: int) -> Model:
-    """Classes from the most frequent words, then one averaged pass over all training documents."""
+def start_model(counts: DataFrame, classes: int, hidden: int, near_words: int = NEAR_WORDS) -> Model:
+    """Classes and near words, from the most frequent words; the network knows counts only."""
     top, _ = by_frequency(counts.where(F.length("word") > 0), CLASS_WORDS)
     top = top.orderBy(F.desc("n"), "word").toPandas()
-    table = fit_classes([bytes(word) for word in top["word"]], top["n"].to_numpy(), classes)
+    often = [bytes(word) for word in top["word"]]
+    table = fit_classes(often, top["n"].to_numpy(), classes)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -478,55 +595,99 @@ def fit(docs: DataFrame, counts: DataFrame, doc_id: str, text: str, classes: int
         n[row["kind"]], words[row["kind"]] = row["n"], row["words"]
     mass = n + ADDED * (words + 1)
     mass[classes] = n[classes] + ADDED
-    start = Network.start(np.log((n + 1) / (n + 1).sum()), hidden)
+    near = often[:near_words]
+    own = top["n"].to_numpy(np.float64)[:near_words] + ADDED
+    kinds = classes_of(near, table).astype(np.int64)
+    # what a class has besides its near words: its other words and one unknown
+    others = n + 0.0
+    np.subtract.at(others, kinds, own - ADDED)
+    others += ADDED * (words + 1 - np.bincount(kinds, minlength=classes + 1))
+    others[classes] = mass[classes]
+    held = np.concatenate((others, own))
+    places = Places.of(classes + 1, kinds)
+    shares = np.empty(len(held))
+    shares[places.place] = np.log(held / mass[places.kinds])
+    network = Network.start(np.log((n + 1) / (n + 1).sum()), hidden).with_words(places, shares)
+    symbols = {word: classes + 1 + k for k, word in enumerate(near)}
+    return Model(table, network, np.log10(mass), int(n.sum()), int(words.sum()), symbols, np.log10(held))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Rows of some batches together, the symbols of all their words, and how many each row has."""
+
+    def joined() -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        rows = pa.Table.from_batches(some)
+        symbols = [np.frombuffer(one.as_py(), np.uint16) for one in rows.column("symbols")]
+        return rows, np.concatenate(symbols), np.fromiter(map(len, symbols), np.int64, len(symbols))
+
+    some: list[pa.RecordBatch] = []
+    held = 0
+    for batch in batches:
+        if batch.num_rows:
+            some.append(batch)
+            held += batch.column("symbols").nbytes // 2
+        if held >= CHUNK_WORDS:
+            yield joined()
+            some, held = [], 0
+    if some:
+        yield joined()
+
+
+def learn(tokens: DataFrame, model: Model) -> Model:
+    """One averaged pass over the training documents of ``_tokens``."""
+    start = model.network
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, network, seen = Vocabulary(table), start, 0
-        for batch in batches:
-            for number, sizes in vocabulary.read(batch.column("text")):
-                texts = Lanes.of(vocabulary.kinds[number], sizes, classes, TRAIN_WORDS)
-                network = train(network, texts, RATE if not seen else RATE / 4)
-                seen += len(number)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, seen = start, 0
+        for _, symbols, sizes in _chunks(batches):
+            texts = Lanes.of(start.places.kinds[symbols], sizes, len(start.bias) - 1, TRAIN_WORDS, symbols)
+            network = train(network, texts, RATE if not seen else RATE / 4)
+            seen += len(symbols)
         if seen:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([network.flat().tolist()]), pa.array([seen], pa.int64())], names=["weights", "words"]
             )
 
     trained = (
-        _texts(docs, doc_id, text)
-        .where("NOT held_out")
-        .select("text")
-        .mapInArrow(learn, "weights array<double>, words long")
+        tokens.where("NOT held_out")
+        .select("symbols")
+        .mapInArrow(work, "weights array<double>, words long")
         .select("words", F.posexplode("weights"))
         .groupBy("pos")
         .agg((F.sum(F.col("col") * F.col("words")) / F.sum("words")).alias("weight"))
         .toPandas()
         .sort_values("pos")
     )
-    network = start.like(trained["weight"].to_numpy()) if len(trained) else start
-    return Model(table, network, np.log10(mass), int(n.sum()), int(words.sum()))
+    return replace(model, network=start.like(trained["weight"].to_numpy())) if len(trained) else model
 
 
-def _scores(
+def fit(docs: DataFrame, counts: DataFrame, doc_id: str, text: str, classes: int, hidden: int) -> Model:
+    """Classes from the most frequent words, then one averaged pass over all training documents."""
+    model = start_model(counts, classes, hidden)
+    nothing = (np.empty(0, np.int64), np.empty(0))
+    return learn(_tokens(docs, model, nothing, doc_id, text, F.lit(0)), model)
+
+
+def _tokens(
     docs: DataFrame, model: Model, head: tuple[np.ndarray, np.ndarray], doc_id: str, text: str, along: Column
 ) -> DataFrame:
-    """For each row what a task can say alone, and its words that are not frequent (by hash)."""
+    """Each row's symbols, the counts of its frequent words, and its others (by hash)."""
     held = docs.sparkSession.sparkContext.broadcast(head)
-    classes = model.table.shape[1]
+    table, near = model.table, model.near
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, made = Vocabulary(model.table, held.value), TaskContext.get().partitionId() << 36
+        vocabulary, made = Vocabulary(table, held.value, near), TaskContext.get().partitionId() << 36
         for batch in batches:
             begin = 0
             for number, sizes in vocabulary.read(batch.column("text")):
                 n = len(sizes)
-                kinds, logs = vocabulary.kinds[number], vocabulary.logs[number]
-                chance = log_likelihood(model.network, Lanes.of(kinds, sizes, classes)) / math.log(10)
+                logs = vocabulary.logs[number]
                 rare = np.flatnonzero(np.isnan(logs))
                 texts, codes, times = _tally(np.repeat(np.arange(n), sizes)[rare], number[rare])
                 ends = pa.array(offsets(np.bincount(texts, minlength=n)), pa.int32())
-                starts = offsets(sizes)[:-1]
-                total = lambda values: pa.array(np.add.reduceat(values, starts))  # noqa: E731,B023
+                bounds = offsets(sizes)
+                symbols = vocabulary.symbols[number]
+                total = lambda values: pa.array(np.add.reduceat(values, bounds[:-1]))  # noqa: E731,B023
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(made, made + n)),
@@ -535,11 +696,11 @@ def _scores(
                         pa.array(sizes),
                         total((~np.isnan(logs)).astype(np.int64)),
                         total(np.nan_to_num(logs)),
-                        total(chance.astype(np.float64) - model.class_logs[kinds]),
+                        pa.array([symbols[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
                         pa.ListArray.from_arrays(ends, pa.array(vocabulary.codes[codes])),
                         pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
                     ],
-                    names=["uid", "doc", "held_out", "n_tokens", "known", "logs", "classes", "rare", "times"],
+                    names=["uid", "doc", "held_out", "n_tokens", "known", "logs", "symbols", "rare", "times"],
                 )
                 begin, made = begin + n, made + n
 
@@ -548,10 +709,24 @@ def _scores(
     return rows.mapInArrow(
         work,
         f"uid long, doc {doc_type}, held_out boolean, n_tokens long, known long, logs double, "
-        "classes double, rare array<long>, times array<int>",
+        "symbols binary, rare array<long>, times array<int>",
     )
 
 
+def _chances(tokens: DataFrame, model: Model) -> DataFrame:
+    """uid and ``chance``: log10 probability of all words' classes and places, less the counts of the places."""
+    network, charge = model.network, model.charge
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, symbols, sizes in _chunks(batches):
+            texts = Lanes.of(network.places.kinds[symbols], sizes, len(network.bias) - 1, symbols=symbols)
+            found = log_likelihood(network, texts).astype(np.float64) / math.log(10) - charge[symbols]
+            total = np.add.reduceat(found, offsets(sizes)[:-1])
+            yield from pa.table({"uid": rows.column("uid"), "chance": total}).to_batches()
+
+    return tokens.select("uid", "symbols").mapInArrow(work, "uid long, chance double")
+
+
 def _tally(texts: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (text, number) pairs in order, and how often each occurs."""
     order = np.lexsort((numbers, texts))
@@ -581,13 +756,14 @@ def score(
     token has probability one in the base, and the network is as it starts.
     """
     counts = settle(count_words(docs, doc_id, text), "counts")
-    model = fit(docs, counts, doc_id, text, classes, hidden)
+    model = start_model(counts, classes, hidden)
     common, others = by_frequency(counts, head_words)
     code, log_count = F.xxhash64("word").alias("code"), lambda n: F.log10(n + F.lit(ADDED))
     top = common.select(code, log_count(F.col("n")).alias("log")).toPandas().sort_values("code")
     head = (top["code"].to_numpy(np.int64), top["log"].to_numpy(np.float64))
     along = carried(docs, columns, text, doc_id)
-    alone = settle(_scores(docs, model, head, doc_id, text, along), "scores")
+    alone = settle(_tokens(docs, model, head, doc_id, text, along), "tokens")
+    chances = settle(_chances(alone, learn(alone, model)), "chances")
     rare = alone.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("one"))
     found = (
         rare.select("uid", F.col("one.rare").alias("code"), F.col("one.times").alias("times"))
@@ -601,12 +777,12 @@ def score(
     zero = F.lit(0)
     logs = F.col("logs") + F.coalesce("rare_logs", zero)
     room = math.log10(model.words + ADDED * (model.distinct + 1))
-    return alone.join(found, "uid", "left").select(
+    return alone.drop("symbols").join(chances, "uid").join(found, "uid", "left").select(
         "doc",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("rare_known", zero)).alias("n_known"),
         F.lit(model.words).cast("long").alias("train_tokens"),
         (logs - F.col("n_tokens") * F.lit(room)).alias("base_score"),
-        (logs + F.col("classes")).alias("score"),
+        (logs + F.col("chance")).alias("score"),
     )
