@@ -186,3 +186,14 @@ def test_no_events_and_no_state(spark, tmp_path):
     put(spark, lake, rows, replace="days")
     sessions_job(spark, lake, Settings(), since=day(0), until=day(3))
     check(spark, lake, rows)
+
+
+def test_states_and_sessions_are_rows_of_the_progress(spark, tmp_path):
+    """Progress is written by user and read again; neither result shuffles it a second time."""
+    rows = random_events(random.Random(3))
+    write_table(daily.session_progress(table_of(spark, rows)), str(tmp_path / "p"))
+    progress = read_table(spark, str(tmp_path / "p"))
+    for made in (daily.sessions_of(progress), daily.states(progress)):
+        assert "Exchange" not in plan(made)
+    days = {(user, at.date()) for user, at, *_ in rows}
+    assert sorted(tuple(row) for row in daily.states(progress).select("user_id", "event_date").collect()) == sorted(days)

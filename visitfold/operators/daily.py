@@ -37,7 +37,8 @@ def session_progress(
     One row for each day on which a session has events. ``prior`` are states of users before
     the first of the events; their last sessions are rows too, under the day of the state.
     Partial aggregation runs before the only shuffle of events, which spreads a user over
-    slices; the rest is by user, one row per slice.
+    slices; the rest is by user, one row per slice. ``day_ends`` marks the last row of a user's
+    day and ``session_ends`` that of a session, so that ``states`` and ``sessions_of`` are filters.
     """
     at = F.col("event_timestamp")
     slices = (
@@ -66,18 +67,21 @@ def session_progress(
     )
     known = [F.min("entry").over(days).alias("entry"), F.max("exit").over(days).alias("exit")]
     known += [F.sum(name).over(days).alias(name) for name in SUMS]
-    return parts.select("user_id", "session_index", "event_date", *known)
+    # sessions of a user follow each other, and so do their days
+    onward = Window.partitionBy("user_id").orderBy("session_index", "event_date")
+    ends = {
+        mark: ~F.coalesce(F.lead(name).over(onward) == F.col(name), F.lit(False))
+        for mark, name in (("day_ends", "event_date"), ("session_ends", "session_index"))
+    }
+    return parts.select(
+        "user_id", "session_index", "event_date", *known, *[column.alias(mark) for mark, column in ends.items()]
+    )
 
 
 def states(progress: DataFrame) -> DataFrame:
     """The state of every user after every day with events of theirs: one row per user and day."""
-    newest = F.max_by(F.struct("session_index", *OPEN_SESSION), "session_index").alias("newest")
-    return progress.groupBy("user_id", "event_date").agg(newest).select(
-        "user_id",
-        "event_date",
-        F.col("newest.session_index").alias("sessions"),
-        *[F.col(f"newest.{name}").alias(name) for name in OPEN_SESSION],
-    )
+    newest = progress.where("day_ends")
+    return newest.select("user_id", "event_date", F.col("session_index").alias("sessions"), *OPEN_SESSION)
 
 
 def latest_states(rows: DataFrame) -> DataFrame:
@@ -89,14 +93,9 @@ def latest_states(rows: DataFrame) -> DataFrame:
 
 def sessions_of(progress: DataFrame) -> DataFrame:
     """One row per session, with the columns of ``build_sessions``, as known on its last day."""
-    last = F.max_by(F.struct(*OPEN_SESSION), "event_date").alias("last")
-    whole = progress.groupBy("user_id", "session_index").agg(last)
+    whole = progress.where("session_ends")
     return session_rows(
-        whole.select(
-            "user_id",
-            *[F.col(f"last.{name}").alias(name) for name in OPEN_SESSION],
-            session_id("user_id", "session_index").alias("session_id"),
-        )
+        whole.select("user_id", *OPEN_SESSION, session_id("user_id", "session_index").alias("session_id"))
     )
 
 
