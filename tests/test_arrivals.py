@@ -81,6 +81,30 @@ def test_stored_days_are_not_shuffled(spark, tmp_path):
     assert told.where("maybe").count() < 5
 
 
+@pytest.mark.parametrize("share", [0, 100])
+def test_large_loads_are_compared_by_one_join(spark, tmp_path, monkeypatch, share):
+    """Nulls in keys, copies, other days; without bitmaps if the load is large next to its days."""
+    lake, rows = Lake(str(tmp_path)), some_events(5)
+    jobs.append_silver_job(spark, lake, spark.createDataFrame(rows[:250], SCHEMA), "one")
+    monkeypatch.setattr(arrivals.is_large, "__defaults__", (0, share))
+    told, asked = arrivals.maybe_stored, []
+    monkeypatch.setattr(arrivals, "maybe_stored", lambda *given: asked.append(1) or told(*given))
+    jobs.append_silver_job(spark, lake, spark.createDataFrame(rows[100:] + rows[300:], SCHEMA), "two")
+    assert stored(spark, lake) == keys(rows) and bool(asked) == (share == 0)
+    # what it added is known to the bitmaps
+    monkeypatch.undo()
+    assert jobs.append_silver_job(spark, lake, spark.createDataFrame(rows, SCHEMA), "three") == (0, [])
+
+
+def test_many_repeats_take_one_join(spark, tmp_path):
+    lake, rows = Lake(str(tmp_path)), some_events(6)
+    jobs.append_silver_job(spark, lake, spark.createDataFrame(rows, SCHEMA), "one")
+    new = jobs.silver_events(spark.createDataFrame(rows, SCHEMA))
+    write_table(arrivals.maybe_stored(new, read_table(spark, lake.silver_keys)), str(tmp_path / "told"))
+    text = plan(arrivals.not_stored(read_table(spark, str(tmp_path / "told")), read_table(spark, lake.silver), few=0))
+    assert text.count("LeftAnti") == 1 and "LeftSemi" not in text
+
+
 def test_no_arrivals(spark, tmp_path):
     lake = Lake(str(tmp_path))
     none = spark.createDataFrame([], SCHEMA)

@@ -3,7 +3,8 @@
 For every day a bitmap of its stored keys lies beside the table, a few megabytes whatever
 the day holds. A new event whose bits are not all set is surely new. The others, repeats and
 a few that look like one, are compared with the stored keys of their days exactly; they are
-broadcast to the stored rows if they are few, which is checked.
+broadcast to the stored rows if they are few, which is checked. A load that is large itself, next
+to what its days hold, is compared with the stored keys at once.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from visitfold.functions.bitmaps import bitmap_bits, bitmap_word
 
 #: Rows that are broadcast at most.
 FEW = 200_000
+#: Stored rows for a new one, up to which one join of both shuffles less than the bitmaps do.
+SHARE = 4
 DAY = "event_date"
 
 
@@ -46,14 +49,32 @@ def not_stored(
     fresh = told.where("NOT maybe")
     if found:
         days = [row[DAY] for row in found]
-        keys = maybe.select(DAY, *key).distinct()
-        if sum(row["n"] for row in found) <= few:
-            keys = F.broadcast(keys)
-        same = [F.col(f"old.{name}").eqNullSafe(F.col(f"new.{name}")) for name in [DAY, *key]]
         old = stored.where(F.col(DAY).isin(days)).select(DAY, *key)
-        repeats = old.alias("old").join(keys.alias("new"), same, "left_semi").distinct()
-        if sum(row["n"] for row in found) <= few:
-            repeats = F.broadcast(repeats)
-        same = [maybe[name].eqNullSafe(repeats[name]) for name in [DAY, *key]]
-        fresh = fresh.unionByName(maybe.join(repeats, same, "left_anti"))
+        if sum(row["n"] for row in found) > few:
+            return fresh.unionByName(_unlike(maybe, old, key)).drop("maybe")
+        keys = F.broadcast(maybe.select(DAY, *key).distinct())
+        same = [F.col(f"old.{name}").eqNullSafe(F.col(f"new.{name}")) for name in [DAY, *key]]
+        repeats = F.broadcast(old.alias("old").join(keys.alias("new"), same, "left_semi").distinct())
+        fresh = fresh.unionByName(_unlike(maybe, repeats, key))
     return fresh.drop("maybe")
+
+
+def _unlike(events: DataFrame, old: DataFrame, key: list[str]) -> DataFrame:
+    """Events whose day and key, null or not, are not among the old ones."""
+    return events.join(old, [events[name].eqNullSafe(old[name]) for name in [DAY, *key]], "left_anti")
+
+
+def is_large(events: DataFrame, stored: DataFrame, few: int = FEW, share: int = SHARE) -> bool:
+    """Whether a load, a written table, is compared with the stored keys without bitmaps first.
+
+    Rows are counted, which reads no column but the day.
+    """
+    days = events.groupBy(DAY).agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each day
+    new = sum(row["n"] for row in days)
+    return new > few and stored.where(F.col(DAY).isin([row[DAY] for row in days])).count() <= share * new
+
+
+def compared(events: DataFrame, stored: DataFrame, key: list[str] = EVENT_KEY) -> DataFrame:
+    """Events that are new, by one join with the keys that their days hold."""
+    days = [row[DAY] for row in events.select(DAY).distinct().collect()]
+    return _unlike(events, stored.where(F.col(DAY).isin(days)).select(DAY, *key), key)

@@ -145,15 +145,19 @@ def append_silver_job(
 ) -> tuple[int, list[str]]:
     """Add the events of some bronze rows that silver does not have yet; rows added and their days.
 
-    Stored days are not written again and not shuffled. ``load`` names the rows: what was
-    added under that name is not added twice.
+    Stored days are not written again, and not shuffled but for their keys where a load is large
+    next to them. ``load`` names the rows: what was added under that name is not added twice.
     """
     events = silver_events(bronze)
     if table_exists(spark, lake.silver):
         events = _written(events, "arrivals")
         _complete_bitmaps(spark, lake, events)
-        told = _written(arrivals.maybe_stored(events, read_table(spark, lake.silver_keys)), "told")
-        events = arrivals.not_stored(told, read_table(spark, lake.silver))
+        stored = read_table(spark, lake.silver)
+        if arrivals.is_large(events, stored):
+            events = arrivals.compared(events, stored)
+        else:
+            told = _written(arrivals.maybe_stored(events, read_table(spark, lake.silver_keys)), "told")
+            events = arrivals.not_stored(told, stored)
     days = list(settings.partition_by)
     staged = stage_table(events, lake.silver, days, gather=True)
     bitmaps = arrivals.day_bitmaps(staged.rows())
