@@ -106,6 +106,42 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     assert index() == done
 
 
+def test_a_batch_is_computed_once(spark, tmp_path):
+    """Its plan reads files and state again each time it runs."""
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(user):
+        runs.add(1)
+        return user
+
+    rows = [((at(f"{10 + n}:00"), "/x"), (at(f"{10 + n}:10"), "/y"), 2, 1, 0, "u") for n in range(5)]
+    batch = spark.createDataFrame(
+        rows,
+        "entry STRUCT<event_timestamp: TIMESTAMP, path: STRING>, exit STRUCT<event_timestamp: TIMESTAMP, "
+        "path: STRING>, num_events LONG, num_pageviews LONG, purchases LONG, user_id STRING",
+    ).withColumn("user_id", seen("user_id"))
+    for number in range(2):
+        numbered.number_batch(str(tmp_path / "s"), str(tmp_path / "c"))(batch, number)
+    assert runs.value == 10
+    ids = {row["session_id"] for row in read_table(spark, str(tmp_path / "s")).collect()}
+    assert len(ids) == 10 and read_table(spark, str(tmp_path / "c")).agg(F.max("sessions")).first()[0] == 10
+
+
+def test_a_day_of_a_batch_has_few_files(spark, tmp_path):
+    """A stream's session has no adaptive execution; each of its tasks would write every day."""
+    lake = Lake(str(tmp_path))
+    rows = [(datetime(2026, 8, day, hour), f"u{user}", "/a") for day in (1, 2) for hour in (3, 9) for user in range(40)]
+    land(lake, "all", *as_lines(sorted(rows)), order=0)
+    land(lake, "end", line(user_id="last", event_timestamp="2026-08-05T00:00:00.000Z"), order=1)
+    stream(spark, lake)
+    expected = whole(spark, lake).where("user_id <> 'last'")
+    assert rows_of(told(spark, lake), expected) == rows_of(expected, expected)
+    for day in (1, 2):
+        files = (tmp_path / "stream").rglob(f"{NAME}_numbered/version=*/event_date=2026-08-0{day}/*.parquet")
+        assert len(list(files)) == 1
+
+
 def test_counts_are_gathered(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(numbered, "GATHERED", 2)
     lake = Lake(str(tmp_path))

@@ -306,7 +306,7 @@ def stream_job(
     if sink == "table":
         sums = live.drain(live.live_session_sums(ready, settings.gap_seconds), name, checkpoint, every=every)
         table = lake.stream_table(f"{name}_numbered")
-        writer = sums.foreachBatch(numbered.number_batch(table, f"{table}_counts"))
+        writer = sums.foreachBatch(numbered.number_batch(table, f"{table}_counts", spark))
     else:
         sessions = live.live_sessions(ready, settings.gap_seconds, end)
         writer = live.drain(sessions, name, checkpoint, every=every)

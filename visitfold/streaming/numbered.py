@@ -4,18 +4,23 @@ A user's sessions close in order of time, so a closed session's number is that o
 before it and one more. Each batch numbers what it closes from the counts of earlier
 batches, and adds to two tables under its own name: a batch that runs again after a failure
 finds the same counts and adds nothing twice.
+
+A batch is written once before it is counted and numbered: its plan reads the files and the
+state store again each time it runs. The job's own session reads it back, as a stream's has no
+adaptive execution, without which every task would write a file for each day.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitfold.functions.timeline import session_id
 from visitfold.operators.sessions import session_rows
 from visitfold.sources import manifests
+from visitfold.sources.scratch import scratch_dir
 from visitfold.sources.tables import read_table, table_exists, write_table
 
 #: Versions of the counts after which they become one.
@@ -39,26 +44,41 @@ def _gather(batch: DataFrame, counts: str, number: int) -> None:
         write_table(newest.withColumn("batch", F.lit(number - 1).cast("long")), counts)
 
 
-def number_batch(sessions: str, counts: str) -> Callable[[DataFrame, int], None]:
-    """What a stream does with every batch of closed sessions, see ``live_session_sums``."""
+def _closed(batch: DataFrame, spark: SparkSession) -> DataFrame:
+    """A batch as a table in the scratch folder."""
+    path = scratch_dir(batch.sparkSession, "closed")
+    batch.write.parquet(path)
+    return spark.read.schema(batch.schema).parquet(path)
+
+
+def number_batch(
+    sessions: str, counts: str, spark: SparkSession | None = None
+) -> Callable[[DataFrame, int], None]:
+    """What a stream does with every batch of closed sessions, see ``live_session_sums``.
+
+    ``spark`` is the session of the job, the batch's if not given.
+    """
 
     def run(batch: DataFrame, number: int) -> None:
         load = f"batch-{number}"
         manifest = manifests.latest(batch.sparkSession, sessions)
         if manifest is not None and load in manifest.loads:
             return
-        _gather(batch, counts, number)
-        by_time = Window.partitionBy("user_id").orderBy("entry")
-        numbered = batch.withColumn("_place", F.row_number().over(by_time).cast("long"))
-        before = counts_before(batch, counts, number)
-        if before is not None:
-            numbered = numbered.join(before, "user_id", "left")
-        else:
-            numbered = numbered.withColumn("sessions", F.lit(None).cast("long"))
-        place = F.coalesce("sessions", F.lit(0).cast("long")) + F.col("_place")
-        numbered = numbered.withColumn("session_index", place)
-        told = numbered.groupBy("user_id").agg(F.max("session_index").alias("sessions"))
+        closed = _closed(batch, spark or batch.sparkSession)
+        _gather(closed, counts, number)
+        zero, before = F.lit(0).cast("long"), counts_before(closed, counts, number)
+
+        def after_those_before(rows: DataFrame) -> DataFrame:
+            if before is None:
+                return rows.withColumn("sessions", zero)
+            return rows.join(before, "user_id", "left").withColumn("sessions", F.coalesce("sessions", zero))
+
+        told = after_those_before(closed.groupBy("user_id").agg(F.count(F.lit(1)).alias("_more")))
+        told = told.select("user_id", (F.col("sessions") + F.col("_more")).alias("sessions"))
         write_table(told.withColumn("batch", F.lit(number).cast("long")), counts, replace="add", load=load)
+        by_time = Window.partitionBy("user_id").orderBy("entry")
+        numbered = after_those_before(closed.withColumn("_place", F.row_number().over(by_time).cast("long")))
+        numbered = numbered.withColumn("session_index", F.col("sessions") + F.col("_place"))
         rows = session_rows(numbered.withColumn("session_id", session_id("user_id", "session_index")))
         write_table(rows, sessions, ["event_date"], gather=True, replace="add", load=load)
 
