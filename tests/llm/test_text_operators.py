@@ -191,6 +191,31 @@ def test_lines_that_differ_in_many_words_stay(docs):
     assert [row["removed"] for row in found] == [[], []]
 
 
+def test_lines_without_partner_are_not_joined(docs, monkeypatch):
+    """Joins of halves, variants and lines take what the bitmap leaves, and single lines are not judged."""
+    rows = [(i, "\n".join(f"line {i * 50 + k} of words {i * 50 + k} alone" for k in range(50)), "a") for i in range(20)]
+    rows += [(20, "a line that comes twice here", "a"), (21, "a line that comes twice here\nor twice", "a")]
+    rows.append((22, "a line that comes thrice here", "a"))
+    write, sift, sizes, sides = line_dedup.settle, line_dedup.sifted, {}, []
+
+    def settled(table, label):
+        written = write(table, label)
+        sizes[label] = written.count()
+        return written
+
+    def noted(table, wanted, on):
+        left = sift(table, wanted, on)
+        sides.append((on[0], left.count() < table.count() // 4))
+        return left
+
+    monkeypatch.setattr(line_dedup, "settle", settled)
+    monkeypatch.setattr(line_dedup, "sifted", noted)
+    found = {row["doc_id"]: row["removed"] for row in line_dedup.repeated_lines(docs(rows)).collect()}
+    assert {doc: lines for doc, lines in found.items() if lines} == {21: [0], 22: [0]}
+    assert sizes["firsts"] == 1003 and sizes["judged"] == 2
+    assert [side for side in sides if side[0] == "half"] == [("half", True)] and len(sides) == 4
+
+
 def test_only_needed_lines_pass_the_bitmap(spark):
     texts = spark.range(4000).selectExpr("xxhash64(id) AS h1", "xxhash64(id, 7) AS h2", "binary('w') AS words")
     wanted = texts.where("pmod(h1, 40) = 0").select("h1", "h2")

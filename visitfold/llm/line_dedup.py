@@ -10,6 +10,9 @@ one edit. Lines of few words are removed only if they are equal to an earlier on
 Variants are emitted only where they can matter: two lines within one edit agree in their
 first or their second half, so a line none of whose halves occurs in another line has no
 partner, and otherwise only the other half's words are deleted.
+
+Few lines have a partner. Joins that keep only such lines are preceded by a bitmap of what is
+wanted (``sifted``), so that the rest of the larger side is not shuffled.
 """
 
 from __future__ import annotations
@@ -218,7 +221,7 @@ def _partners(lines: DataFrame, docs: DataFrame, text: str, min_words: int) -> t
     differ = (F.min("h1") < F.max("h1")).alias("differ")
     shared = each.groupBy("half").agg(differ).where("differ").select("half")
     shared = settle(shared, "halves")  # a table of its own, so that a join splits a hot half
-    masks = each.join(shared, "half").groupBy("h1", "h2").agg(F.bit_or(F.expr("shiftleft(1, bit)")).alias("mask"))
+    masks = sifted(each, shared, ["half"]).join(shared, "half").groupBy("h1", "h2").agg(F.bit_or(F.expr("shiftleft(1, bit)")).alias("mask"))
     masks = settle(masks, "candidates")
     needed = sifted(_line_texts(docs, text, min_words), masks, ["h1", "h2"])
     texts = settle(needed.join(masks, ["h1", "h2"]).dropDuplicates(["h1", "h2"]), "texts")
@@ -226,7 +229,7 @@ def _partners(lines: DataFrame, docs: DataFrame, text: str, min_words: int) -> t
     emitted = settle(_variants(texts.select("h1", "h2", "mask", "words")), "variants")
     met = emitted.groupBy("v1", "v2").agg(differ).where("differ").select("v1", "v2")
     met = settle(met, "met")
-    partners = settle(emitted.join(met, ["v1", "v2"]), "partners")
+    partners = settle(sifted(emitted, met, ["v1", "v2"]).join(met, ["v1", "v2"]), "partners")
     discard(emitted, met)
     return partners, texts
 
@@ -259,7 +262,7 @@ def _earlier(partners: DataFrame, texts: DataFrame, firsts: DataFrame) -> DataFr
     replaced there) and the line that is the rest (the word is put in). Minima are tables
     before they are joined, so that a join splits a variant that very many lines have.
     """
-    ordered = settle(partners.join(firsts, ["h1", "h2"]), "ordered")
+    ordered = settle(partners.join(sifted(firsts, partners, ["h1", "h2"]), ["h1", "h2"]), "ordered")
     whole = F.col("at") < 0
     groups = ordered.groupBy("v1", "v2").agg(
         F.min(F.when(whole, F.col("first"))).alias("rest"), F.min(F.when(~whole, F.col("first"))).alias("longer")
@@ -299,11 +302,14 @@ def repeated_lines(
     lines = settle(_lines(docs, doc_id, text, min_words), "lines")
     real = lines.where("line >= 0")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "line", "h1", "h2")
-    firsts = settle(real.groupBy("h1", "h2").agg(F.min(place).alias("first")), "firsts")
+    several = (F.count(F.lit(1)) > 1).alias("several")
+    firsts = settle(real.groupBy("h1", "h2").agg(F.min(place).alias("first"), several), "firsts")
     partners, texts = _partners(real, docs, text, min_words)
-    repeats = settle(_earlier(partners, texts, firsts), "repeats")
+    repeats = settle(_earlier(partners, texts, firsts.drop("several")), "repeats")
     discard(partners, texts)
-    judged = settle(firsts.join(repeats, ["h1", "h2"], "left"), "judged")
+    # a line that occurs once stays unless it repeats another
+    judged = firsts.where("several").drop("several").join(repeats, ["h1", "h2"], "full")
+    judged = settle(judged, "judged")
     discard(firsts, repeats)
     goes = F.col("repeats").isNotNull() | (place != F.col("first"))
     gone = (
