@@ -7,13 +7,14 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from visitfold.llm import components, line_dedup, quality, simhash, substring_dedup
+from visitfold.llm import common, components, line_dedup, quality, simhash, substring_dedup
 
 from visitfold.llm.common import sifted
 
@@ -216,6 +217,53 @@ def test_lines_without_partner_are_not_joined(docs, monkeypatch):
     assert [side for side in sides if side[0] == "half"] == [("half", True)] and len(sides) == 4
 
 
+def test_variants_of_long_lines_come_in_small_batches():
+    words = [b" ".join(b"%d" % (k + i) for k in range(3000)) for i in range(40)]
+    ids = pa.array(range(40), pa.int64())
+    lines = pa.RecordBatch.from_arrays(
+        [ids, ids, pa.array([3] * 40, pa.int32()), pa.array(words, pa.binary())], names=["h1", "h2", "mask", "words"]
+    )
+    parts = list(line_dedup.variant_batches(lines, 10_000))
+    assert max(part.num_rows for part in parts) < 10_000 + 3001
+    found = pa.Table.from_batches(parts).to_pydict()
+    expected = []
+    for i, line in enumerate(words):
+        at = line_dedup.positions(3000, 3)
+        v1, v2 = (one.view(np.int64).tolist() for one in line_dedup.variants(line.split(), at))
+        expected += zip(v1, v2, [-1, *at.tolist()], [i] * len(v1))
+    assert list(zip(found["v1"], found["v2"], found["at"], found["h1"])) == expected
+    assert found["h1"] == found["h2"]
+
+
+def test_small_tables_are_few_files(docs, monkeypatch):
+    """Each file of a scratch table starts processes: bitmaps take four, and few tables are written."""
+    rows = [(i, f"one line of words that all have {i % 7}\nand one of their own {i}", "a") for i in range(60)]
+    table, write, labels, bitmaps = docs(rows), common.settle, Counter(), []
+
+    def settled(found, label):
+        written = write(found, label)
+        labels[label] += 1
+        if label == "bitmap":
+            bitmaps.append(len(written.inputFiles()))
+        return written
+
+    monkeypatch.setattr(common, "settle", settled)
+    monkeypatch.setattr(line_dedup, "settle", settled)
+    conf = table.sparkSession.conf
+    before = {name: conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        conf.set("spark.sql.shuffle.partitions", "16")
+        conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = line_dedup.repeated_lines(table).collect()
+    finally:
+        for name, value in before.items():
+            conf.set(name, value)
+    expected = brute_lines(rows)
+    assert {row["doc_id"]: row["removed"] for row in found} == {i: lines for (i, _), lines in expected.items()}
+    assert len(bitmaps) == 4 and max(bitmaps) <= common.BITMAP_FILES
+    assert sum(labels.values()) - labels["bitmap"] <= 12
+
+
 def test_only_needed_lines_pass_the_bitmap(spark):
     texts = spark.range(4000).selectExpr("xxhash64(id) AS h1", "xxhash64(id, 7) AS h2", "binary('w') AS words")
     wanted = texts.where("pmod(h1, 40) = 0").select("h1", "h2")

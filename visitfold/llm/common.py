@@ -31,6 +31,9 @@ def prepared(spark: SparkSession) -> SparkSession:
 
 #: Rows of the bitmap of ``sifted``, 64 bits each: 16 MB at most.
 BITMAP_ROWS = 1 << 20
+#: Files of the bitmap. It is small, and each file that a task writes costs processes of their own on
+#: a local disk (Hadoop starts chmod for it).
+BITMAP_FILES = 4
 
 
 def sifted(rows: DataFrame, wanted: DataFrame, on: list[str], bitmap_rows: int = BITMAP_ROWS) -> DataFrame:
@@ -47,7 +50,8 @@ def sifted(rows: DataFrame, wanted: DataFrame, on: list[str], bitmap_rows: int =
         at = F.shiftright(code, 6 * k).bitwiseAND(F.lit(63)).cast("int")
         bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))
     bitmap = wanted.select(place, bits.alias("_bits")).groupBy("_row").agg(F.bit_or("_bits").alias("_bits"))
-    marked = rows.withColumn("_row", place).join(F.broadcast(settle(bitmap, "bitmap")), "_row")
+    bitmap = settle(bitmap.repartition(BITMAP_FILES), "bitmap")
+    marked = rows.withColumn("_row", place).join(F.broadcast(bitmap), "_row")
     return marked.where(F.col("_bits").bitwiseAND(bits) == bits).select(*rows.columns)
 
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitfold.llm.common import boxed, discard, offsets, settle, sifted, utf8
@@ -30,6 +30,8 @@ from visitfold.llm.common import boxed, discard, offsets, settle, sifted, utf8
 #: Shorter lines have to be equal: one word is too much of them.
 MIN_WORDS = 5
 HALVES = 3
+#: Variants in a batch for Spark: a line has one a word, so lines alone do not bound it.
+VARIANT_ROWS = 1 << 16
 
 # Two odd numbers from which the multipliers of places are made, from the golden ratio and from pi.
 SEEDS = (0x9E3779B97F4A7C15, 0x3243F6A8885A308D)
@@ -185,32 +187,39 @@ def variants(words: list[bytes], at: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def variant_batches(batch: pa.RecordBatch, most: int = VARIANT_ROWS) -> Iterator[pa.RecordBatch]:
+    """Variants of a batch of lines, ``most`` and one line's at once."""
+    masks = batch.column("mask").to_pylist()
+    raw = batch.column("words")
+    one, two, place, count, held, begin = [], [], [], [], 0, 0
+    for i in range(batch.num_rows):
+        words = raw[i].as_py().split()
+        at = positions(len(words), masks[i])
+        v1, v2 = variants(words, at)
+        one.append(v1)
+        two.append(v2)
+        place.append(np.concatenate(([-1], at)))
+        count.append(len(v1))
+        held += len(v1)
+        if held >= most or i + 1 == batch.num_rows:
+            row = pa.array(np.repeat(np.arange(begin, i + 1), count))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(one).view(np.int64)),
+                    pa.array(np.concatenate(two).view(np.int64)),
+                    pa.array(np.concatenate(place).astype(np.int32)),
+                    batch.column("h1").take(row),
+                    batch.column("h2").take(row),
+                ],
+                names=["v1", "v2", "at", "h1", "h2"],
+            )
+            one, two, place, count, held, begin = [], [], [], [], 0, i + 1
+
+
 def _variants(lines: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            masks = batch.column("mask").to_pylist()
-            raw = batch.column("words")
-            for a in range(0, batch.num_rows, 1000):
-                one, two, place, count = [], [], [], []
-                for i in range(a, min(a + 1000, batch.num_rows)):
-                    words = raw[i].as_py().split()
-                    at = positions(len(words), masks[i])
-                    v1, v2 = variants(words, at)
-                    one.append(v1)
-                    two.append(v2)
-                    place.append(np.concatenate(([-1], at)))
-                    count.append(len(v1))
-                row = pa.array(np.repeat(np.arange(a, a + len(count)), count))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(one).view(np.int64)),
-                        pa.array(np.concatenate(two).view(np.int64)),
-                        pa.array(np.concatenate(place).astype(np.int32)),
-                        batch.column("h1").take(row),
-                        batch.column("h2").take(row),
-                    ],
-                    names=["v1", "v2", "at", "h1", "h2"],
-                )
+            yield from variant_batches(batch)
 
     return lines.mapInArrow(work, "v1 long, v2 long, at int, h1 long, h2 long")
 
@@ -255,36 +264,33 @@ def _verified(pairs: DataFrame) -> DataFrame:
     return pairs.select("h1", "h2", "words", "others").mapInArrow(work, "h1 long, h2 long")
 
 
-def _earlier(partners: DataFrame, texts: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Lines (h1, h2) with an earlier line within one edit.
+def _earlier(partners: DataFrame, texts: DataFrame, firsts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Lines (h1, h2) with an earlier line within one edit, and the tables to discard after them.
 
     A line with a word deleted meets others with the word at the same place deleted (it is
-    replaced there) and the line that is the rest (the word is put in). Minima are tables
-    before they are joined, so that a join splits a variant that very many lines have.
+    replaced there) and the line that is the rest (the word is put in). Minima are a table
+    before they are joined, so that a join splits a variant that very many lines have. A
+    variant has as many minima as its line has words, so a window over them stays small.
     """
     ordered = settle(partners.join(sifted(firsts, partners, ["h1", "h2"]), ["h1", "h2"]), "ordered")
     whole = F.col("at") < 0
-    groups = ordered.groupBy("v1", "v2").agg(
-        F.min(F.when(whole, F.col("first"))).alias("rest"), F.min(F.when(~whole, F.col("first"))).alias("longer")
-    )
-    groups = settle(groups, "groups")
-    places = ordered.where("at >= 0").groupBy("v1", "v2", "at").agg(F.min("first").alias("replaced"))
-    places = settle(places, "places")
-    before = F.when(whole, F.col("longer")).otherwise(F.least("replaced", "rest"))
+    places = ordered.groupBy("v1", "v2", "at").agg(F.min("first").alias("least"))
+    variant = Window.partitionBy("v1", "v2")
+    rest = F.min(F.when(whole, F.col("least"))).over(variant)
+    longer = F.min(F.when(~whole, F.col("least"))).over(variant)
+    before = F.when(whole, longer).otherwise(F.least("least", rest))
+    minima = settle(places.select("v1", "v2", "at", before.alias("before")), "minima")
     met = (
-        ordered.join(groups, ["v1", "v2"])
-        .join(places, ["v1", "v2", "at"], "left")
-        .select("h1", "h2", "first", before.alias("before"))
+        ordered.join(minima, ["v1", "v2", "at"])
         .where("before < first")
         .groupBy("h1", "h2")
         .agg(F.min("before").alias("before"))
     )
-    met = settle(met, "met")
-    discard(ordered, groups, places)
     own = texts.select("h1", "h2", "words")
     other = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("words").alias("others"))
     earlier = (F.col("before.h1") == F.col("g1")) & (F.col("before.h2") == F.col("g2"))
-    return _verified(met.join(own, ["h1", "h2"]).join(other, earlier)).withColumn("repeats", F.lit(True))
+    repeats = _verified(met.join(own, ["h1", "h2"]).join(other, earlier)).withColumn("repeats", F.lit(True))
+    return repeats, [ordered, minima]
 
 
 def repeated_lines(
@@ -305,12 +311,11 @@ def repeated_lines(
     several = (F.count(F.lit(1)) > 1).alias("several")
     firsts = settle(real.groupBy("h1", "h2").agg(F.min(place).alias("first"), several), "firsts")
     partners, texts = _partners(real, docs, text, min_words)
-    repeats = settle(_earlier(partners, texts, firsts.drop("several")), "repeats")
-    discard(partners, texts)
+    repeats, spent = _earlier(partners, texts, firsts.drop("several"))
     # a line that occurs once stays unless it repeats another
     judged = firsts.where("several").drop("several").join(repeats, ["h1", "h2"], "full")
     judged = settle(judged, "judged")
-    discard(firsts, repeats)
+    discard(firsts, partners, texts, *spent)
     goes = F.col("repeats").isNotNull() | (place != F.col("first"))
     gone = (
         real.select("doc_id", "key", "line", "h1", "h2")
