@@ -13,6 +13,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -94,6 +95,72 @@ def test_words_of_a_class_are_told_by_the_state():
     assert abs(run(symbols) - run(other))[1:].max() > 1e-3
 
 
+def test_windows_lie_by_units_and_keep_what_is_needed():
+    """Each unit's numbers of a step follow one another; scoring keeps nothing for backpropagation."""
+    network, sizes = with_places(6), np.array([9, 30, 4, 17])
+    symbols = np.random.default_rng(7).integers(0, 10, sizes.sum()).astype(np.uint16)
+    texts = lm.Lanes.of(network.places.kinds[symbols], sizes, 4, symbols=symbols)
+    state = np.zeros((len(texts.sizes), 4))
+    learnt, scored = (lm.Window.run(network, texts, 0, 8, state, learns=learns) for learns in (True, False))
+    assert len(learnt.ways) == 8 and scored.ways == [] and (learnt.states == scored.states).all()
+    assert all(part.strides[0] == part.itemsize for way in learnt.ways for part in way)
+    assert all(learnt.states[t].strides[0] == learnt.states.itemsize for t in range(8))
+    assert np.shares_memory(scored.states.reshape(-1, 4), scored.states)
+
+
+@pytest.mark.parametrize("symbols", [[5, 1, 7, 8, 6, 0, 9, 2, 4], [4, 3, 1], [7], [6, 6, 5, 5, 0, 2]])
+def test_odds_of_places(symbols):
+    """Against a plain softmax word by word, also for classes of one place and classes without a word."""
+    network, symbols = with_places(8), np.array(symbols, np.uint16)
+    places, rng = network.places, np.random.default_rng(9)
+    states = np.asfortranarray(rng.standard_normal((len(symbols), 4)))
+    odds = lm.Odds.of(network, states, symbols)
+    assert sorted(odds.order) == list(range(len(symbols)))
+    for at, symbol in enumerate(symbols):
+        held = slice(places.first[places.kinds[symbol]], places.first[places.kinds[symbol] + 1])
+        weights = np.exp(states[at] @ network.word_output[:, held] + network.word_bias[held])
+        row = int(np.flatnonzero(odds.order == at)[0])
+        (part,) = [part[:, row - words.start] for words, places_of, part in odds.parts if words.start <= row < words.stop]
+        assert part == pytest.approx(weights, rel=1e-5) and odds.sums[row] == pytest.approx(weights.sum(), rel=1e-5)
+        assert odds.flat[odds.own[row]] == pytest.approx(weights[places.place[symbol] - held.start], rel=1e-5)
+        share = network.word_log_share(states, symbols)[at]
+        assert share == pytest.approx(math.log(weights[places.place[symbol] - held.start] / weights.sum()), abs=1e-5)
+
+
+def test_sums_by_symbol():
+    rng = np.random.default_rng(10)
+    kinds, rows = rng.integers(0, 20, 50) // 2 * 2, np.asfortranarray(rng.standard_normal((50, 6)))
+    expected = [rows[kinds == kind].sum(axis=0) for kind in range(21)]
+    assert lm._sums_by(kinds, rows, 21) == pytest.approx(np.array(expected))
+
+
+@pytest.mark.parametrize("most", [1, 40, 1 << 25])
+def test_words_are_split_as_bytes(monkeypatch, most):
+    monkeypatch.setattr(lm, "SPLIT_BYTES", most)
+    texts = [b"", b" \x0b A\xff\xfe\x1c\x85b\xc2\xa0C\x00d \r\n", "\u2003x\u0130Y \x1f\u00c0".encode(), b" \t", b"Z" * 90, b"a b\fA"]
+    for raw in (pa.array(texts, pa.binary()), pa.array([b"other", *texts], pa.binary()).slice(1), pa.array([], pa.binary())):
+        wanted = [one.lower().split() for one in raw.to_pylist()]
+        found = list(lm.split(raw))
+        assert [bytes(w) for words, _ in found for w in words.cast(pa.binary()).to_pylist()] == sum(wanted, [])
+        assert [n for _, sizes in found for n in sizes] == list(map(len, wanted))
+        vocabulary, got = lm.Vocabulary(np.zeros((lm.PAIRS, 2), np.float32), near={b"a": 7}), []
+        for numbers, sizes in vocabulary.read(raw):
+            listed = list(vocabulary.number)
+            ends = np.cumsum(sizes)
+            got += [[listed[k] for k in numbers[a:b]] for a, b in zip(ends - sizes, ends)]
+        assert got == [[*words, lm.END] for words in wanted]
+
+
+def test_classes_of_awkward_words():
+    """Against pairs looked up one by one."""
+    table = np.random.default_rng(11).standard_normal((lm.PAIRS, 5)).astype(np.float32)
+    words = [b"a", b"\xff\xff\xff", b"a\0\0b", b"\0", b"", b"word" * 50, b"caf\xc3\xa9"]
+    for word, kind in zip(words, lm.classes_of(words, table)):
+        whole = b"\0" + word + b"\0"
+        pairs = [((a * 256 + b) * 40503 >> 4) % lm.PAIRS for a, b in zip(whole, whole[1:])]
+        assert kind == (table[pairs].sum(axis=0).argmax() if word else 5)
+
+
 def test_near_words_share_out_their_class(spark, docs, awkward):
     """The network begins as the counts; places of a class sum to one."""
     counts = lm.count_words(docs(awkward), "doc_id", "text")

@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -60,6 +61,8 @@ RATE = 0.02
 SEED = 11
 #: Words a task remembers.
 MEMO_WORDS = 400_000
+#: Bytes of words that are counted at a time, and of texts that are split at a time; one text may have more.
+SPLIT_BYTES = 1 << 25
 
 END = b""
 
@@ -71,7 +74,7 @@ def held_out(doc_id: Column) -> Column:
 
 def pair_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the byte pairs of all words (with their borders), and where each word begins."""
-    raw = np.frombuffer(b"".join(b"\0" + word + b"\0" for word in words), np.uint8).astype(np.int64)
+    raw = np.frombuffer(b"\0" + b"\0\0".join(words) + b"\0", np.uint8).astype(np.uint32)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
     starts = offsets(sizes + 1)[:-1]
     keep = np.ones(len(raw), bool)
@@ -116,13 +119,29 @@ def classes_of(words: list[bytes], table: np.ndarray) -> np.ndarray:
         for length in np.unique(pairs):
             at = np.flatnonzero(pairs == length)
             held = buckets[starts[at][:, None] + np.arange(length)]
-            score = table[held[:, 0]]
+            score = table.take(held[:, 0], axis=0)
             for k in range(1, length):
-                score += table[held[:, k]]
+                score += table.take(held[:, k], axis=0)
             out[a + at] = score.argmax(axis=1) if length > 1 else table.shape[1]
     return out
 
 
+def split(raw: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Lower-cased words of some texts, one after another, and how many each text has.
+
+    Arrow's ASCII functions take bytes as they are: A-Z alone change, and the six characters
+    of ``WORD`` separate, as with ``bytes.lower`` and ``bytes.split``.
+    """
+    ends = np.cumsum(pc.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.int64))
+    bounds = np.append(np.flatnonzero(np.diff(ends // SPLIT_BYTES, prepend=-1)), len(raw))
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(raw.slice(a, b - a).cast(pa.string(), safe=False)))
+        # white space at the border of a text leaves an empty word
+        there = pc.greater(pc.binary_length(lists.values), 0)
+        before = offsets(there.to_numpy(zero_copy_only=False))
+        yield lists.values.filter(there), np.diff(before[lists.offsets.to_numpy()])
+
+
 class Vocabulary:
     """Classes and symbols of words, and counts of frequent ones, remembered by a task."""
 
@@ -142,19 +161,19 @@ class Vocabulary:
 
         Numbers belong to this task's lists and are valid until the next texts are read.
         """
-        found: list[np.ndarray] = []
-        held, last = 0, len(raw) - 1
-        for i, one in enumerate(raw):
-            words = one.as_py().lower().split()
-            words.append(END)
-            found.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
-            held += len(words)
-            if held >= CHUNK_WORDS or i == last:
-                self._learn(list(islice(self.number, len(self.kinds), None)))
-                yield np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
-                found, held = [], 0
-                if len(self.number) > MEMO_WORDS:
-                    self._forget()
+        for words, sizes in split(raw):
+            coded = words.dictionary_encode()
+            distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+            known = np.fromiter(map(self.number.__getitem__, distinct), np.int32, len(distinct))
+            ends = np.cumsum(sizes + 1) - 1
+            numbers = np.full(len(words) + len(sizes), self.number[END], np.int32)
+            inside = np.ones(len(numbers), bool)
+            inside[ends] = False
+            numbers[inside] = known[coded.indices.to_numpy()]
+            self._learn(list(islice(self.number, len(self.kinds), None)))
+            yield numbers, sizes + 1
+            if len(self.number) > MEMO_WORDS:
+                self._forget()
 
     def _forget(self) -> None:
         self.number: defaultdict[bytes, int] = defaultdict(count().__next__)
@@ -186,6 +205,16 @@ def _row_sums(rows: np.ndarray) -> np.ndarray:
     return rows @ np.ones(rows.shape[1], rows.dtype)
 
 
+def _by_columns(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The product, laid out by columns: weights have few columns, and work on long ones is faster."""
+    return (weights.T @ rows.T).T
+
+
+def _rows_at(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Some rows of an array that lies in memory by columns, laid out in the same way."""
+    return rows.T.take(at, axis=1, mode="clip").T
+
+
 @dataclass
 class Places:
     """Symbols, which are the classes and then the near words: the class of each and its place.
@@ -253,10 +282,15 @@ class Network:
         return self.of([one.reshape(part.shape).astype(np.float32) for one, part in split])
 
     def step(self, before: np.ndarray, outer: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The next state given rows of ``inputs``, and what backpropagation needs of the way."""
+        """The next state given rows of ``inputs``, and what backpropagation needs of the way.
+
+        Rows are lanes. All arrays lie in memory by columns, so that the gates of all lanes
+        follow one another.
+        """
         n = self.state.shape[0]
-        inner = before @ self.state
-        gates = outer[:, : 2 * n] + inner[:, : 2 * n]
+        inner = _by_columns(before, self.state)
+        gates = inner[:, : 2 * n]
+        gates += outer[:, : 2 * n]
         np.negative(gates, out=gates)
         np.exp(gates, out=gates)
         gates += 1
@@ -265,11 +299,14 @@ class Network:
         new = reset * inner[:, 2 * n :]
         new += outer[:, 2 * n :]
         np.tanh(new, out=new)
-        return new + keep * (before - new), keep, reset, new, inner[:, 2 * n :]
+        apart = before - new
+        state = keep * apart
+        state += new
+        return state, keep, reset, new, apart, inner[:, 2 * n :]
 
     def logits(self, states: np.ndarray) -> np.ndarray:
         """States lie between -1 and 1, so these are bounded by the weights and need no shift."""
-        found = states @ self.output
+        found = _by_columns(states, self.output)
         found += self.bias
         return found
 
@@ -279,28 +316,58 @@ class Network:
         own = logits[np.arange(len(kinds)), kinds]
         return own - np.log(_row_sums(np.exp(logits, out=logits)))
 
-
-    def by_class(self, kinds: np.ndarray) -> Iterator[tuple[np.ndarray, slice]]:
-        """The rows of each class that has several places, and these places."""
-        order = np.argsort(kinds, kind="stable")
-        ends = offsets(np.bincount(kinds, minlength=len(self.bias)))
-        first = self.places.first
-        for kind in np.flatnonzero((np.diff(first) > 1) & (np.diff(ends) > 0)).tolist():
-            yield order[ends[kind] : ends[kind + 1]], slice(first[kind], first[kind + 1])
-
     def word_log_share(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """Log-probability of each symbol's place in its class."""
         out = np.zeros(len(symbols), states.dtype)
         if self.places is not None:
-            place = self.places.place[symbols]
-            for rows, held in self.by_class(self.places.kinds[symbols]):
-                logits = states[rows] @ self.word_output[:, held]
-                logits += self.word_bias[held]
-                own = logits[np.arange(len(rows)), place[rows] - held.start]
-                out[rows] = own - np.log(_row_sums(np.exp(logits, out=logits)))
+            odds = Odds.of(self, states, symbols)
+            out[odds.order] = odds.logits - np.log(odds.sums)
         return out
 
 
+@dataclass
+class Odds:
+    """What each place of a word's class weighs for the word; divided by their sum, its probability.
+
+    Words stand in the ``order`` of their classes. ``states`` has a column for each word, with a
+    one below for the bias. ``parts`` has for each class its words, its places and the weights
+    as (places, words); these lie one after another in ``flat``, a word's own place at ``own``.
+    """
+
+    order: np.ndarray
+    states: np.ndarray
+    parts: list[tuple[slice, slice, np.ndarray]]
+    flat: np.ndarray
+    own: np.ndarray
+    logits: np.ndarray
+    sums: np.ndarray
+
+    @staticmethod
+    def of(network: Network, states: np.ndarray, symbols: np.ndarray) -> Odds:
+        kinds, first = network.places.kinds[symbols], network.places.first
+        order = np.argsort(kinds, kind="stable")
+        kinds, place = kinds[order], network.places.place[symbols[order]]
+        counts, widths = np.bincount(kinds, minlength=len(first) - 1), np.diff(first)
+        ends, bases = offsets(counts), offsets(counts * widths)
+        own = (bases[:-1] - first[:-1] * counts - ends[:-1])[kinds] + place * counts[kinds] + np.arange(len(kinds))
+        weights = np.column_stack((network.word_output.T, network.word_bias))
+        held = np.ones((weights.shape[1], len(order)), states.dtype)
+        states.T.take(order, axis=1, mode="clip", out=held[:-1])
+        flat = np.empty(bases[-1], np.result_type(weights, held))
+        sums, ones = np.empty(len(order), flat.dtype), np.ones(widths.max(), flat.dtype)
+        parts = []
+        for kind in np.flatnonzero(counts).tolist():
+            words, places = slice(ends[kind], ends[kind + 1]), slice(first[kind], first[kind + 1])
+            part = flat[bases[kind] : bases[kind + 1]].reshape(widths[kind], counts[kind])
+            np.matmul(weights[places], held[:, words], out=part)
+            parts.append((words, places, part))
+        logits = flat[own]
+        np.exp(flat, out=flat)
+        for words, _, part in parts:
+            np.matmul(ones[: len(part)], part, out=sums[words])
+        return Odds(order, held, parts, flat, own, logits, sums)
+
+
 def lanes(lengths: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """Deal texts to lanes of like length: the order of texts, and each lane's words.
 
@@ -361,7 +428,8 @@ class Lanes:
 class Window:
     """Some steps of all lanes that reach the first of them: (steps, lanes) arrays.
 
-    A lane that has ended repeats its last word and is not ``live``.
+    A lane that has ended repeats its last word and is not ``live``. Units of the states come
+    last as an axis and first in memory. ``ways`` is what backpropagation needs of each step.
     """
 
     place: np.ndarray
@@ -373,30 +441,41 @@ class Window:
     ways: list[tuple[np.ndarray, ...]]
 
     @staticmethod
-    def run(network: Network, texts: Lanes, t0: int, steps: int, state: np.ndarray) -> Window:
+    def run(network: Network, texts: Lanes, t0: int, steps: int, state: np.ndarray, learns: bool = True) -> Window:
         n = texts.active(t0)
         times = np.arange(t0, min(t0 + steps, int(texts.sizes[0])))[:, None]
         sizes = texts.sizes[:n]
         place = texts.starts[:n] + np.minimum(times, sizes - 1)
-        fresh, outer = texts.fresh[place], network.inputs[texts.before[place]]
+        fresh, inputs = texts.fresh[place], np.asfortranarray(network.inputs)
+        symbols = texts.before[place].astype(np.intp)
         begins = fresh.any(axis=1)
-        state = state[:n]
-        states = np.empty((len(place), n, network.state.shape[0]), state.dtype)
+        state = np.asfortranarray(state[:n])
+        states = _units_first(len(place), n, network.state.shape[0], state.dtype)
         ways = []
         for t in range(len(place)):
             before = state * ~fresh[t, :, None] if begins[t] else state
-            state, *way = network.step(before, outer[t])
+            state, *way = network.step(before, _rows_at(inputs, symbols[t]))
             states[t] = state
-            ways.append((before, *way))
+            if learns:
+                ways.append((before, *way))
         return Window(place, times < sizes, texts.kinds[place], texts.symbols[place], fresh, states, ways)
 
 
+def _units_first(steps: int, lanes: int, units: int, dtype: np.dtype) -> np.ndarray:
+    """A (steps, lanes, units) array that holds each unit's numbers together.
+
+    Some room between the units keeps their starts from falling on the same lines of the cache.
+    """
+    room = np.empty((units, steps * lanes + 16), dtype)[:, : steps * lanes]
+    return room.reshape(units, steps, lanes).transpose(1, 2, 0)
+
+
 def log_likelihood(network: Network, texts: Lanes, steps: int = SCORE_STEPS) -> np.ndarray:
     """Natural log-probability of each word's class and its place there, in the order of the texts."""
     out = np.empty(len(texts.kinds), np.float32)
     state = np.zeros((len(texts.sizes), network.state.shape[0]), np.float32)
     for t0 in range(0, int(texts.sizes[0]) if len(texts.sizes) else 0, steps):
-        window = Window.run(network, texts, t0, steps, state)
+        window = Window.run(network, texts, t0, steps, state, learns=False)
         state = window.states[-1]
         kinds = window.kinds.ravel()
         states = window.states.reshape(len(kinds), -1)
@@ -407,13 +486,13 @@ def log_likelihood(network: Network, texts: Lanes, steps: int = SCORE_STEPS) ->
 
 
 def _sums_by(kinds: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
-    """Sum of the rows of each class."""
+    """Sum of the rows of each class; rows and sums lie in memory by columns."""
     order = np.argsort(kinds, kind="stable")
-    ends = np.cumsum(np.bincount(kinds, minlength=count))
-    out = np.zeros((count, rows.shape[1]), rows.dtype)
-    there = np.flatnonzero(np.diff(ends, prepend=0))
-    out[there] = np.add.reduceat(rows[order], np.concatenate(([0], ends[:-1]))[there], axis=0)
-    return out
+    counts = np.bincount(kinds, minlength=count)
+    there = np.flatnonzero(counts)
+    out = np.zeros((rows.shape[1], count), rows.dtype)
+    out[:, there] = np.add.reduceat(_rows_at(rows, order).T, offsets(counts)[there], axis=1)
+    return out.T
 
 
 def window_gradient(
@@ -429,34 +508,41 @@ def window_gradient(
     share = window.live.ravel() / window.live.sum(dtype=states.dtype)
     slope *= (share / _row_sums(slope))[:, None]
     slope[np.arange(size), kinds] -= share
-    from_output = slope @ network.output.T
+    from_output = _by_columns(slope, network.output.T)
     from_words = _word_gradient(network, states, window.symbols.ravel(), share, from_output)
     from_output = from_output.reshape(window.states.shape)
     n = window.states.shape[2]
-    befores, keeps, resets, news, inners = (np.stack(parts) for parts in zip(*window.ways))
-    # what a change of the state means for the new state, for the gate that keeps and that which resets
-    to_new = (1 - keeps) * (1 - news * news)
-    to_keep = (befores - news) * keeps * (1 - keeps)
-    to_reset = inners * resets * (1 - resets)
-    outer = np.empty((*window.kinds.shape, 3 * n), states.dtype)
-    inside = np.empty_like(outer)
+    befores = _units_first(*window.states.shape, states.dtype)
+    # for each step what reaches the new state from outside, both gates, and the new state from inside
+    slopes = _units_first(*window.kinds.shape, 4 * n, states.dtype)
     begins = window.fresh.any(axis=1)
     back = np.zeros_like(window.states[0])
     for t in range(len(window.ways) - 1, -1, -1):
+        before, keep, reset, new, apart, inner = window.ways[t]
+        befores[t], row = before, slopes[t]
+        to_new, to_keep, to_reset, held = (row[:, k * n : (k + 1) * n] for k in range(4))
         back += from_output[t]
-        new, row = back * to_new[t], inside[t]
-        outer[t, :, 2 * n :] = new
-        np.multiply(back, to_keep[t], out=row[:, :n])
-        np.multiply(new, to_reset[t], out=row[:, n : 2 * n])
-        np.multiply(new, resets[t], out=row[:, 2 * n :])
-        back = back * keeps[t] + row @ network.state.T
+        kept = back * keep
+        back -= kept
+        np.multiply(new, new, out=to_new)
+        np.subtract(1, to_new, out=to_new)
+        to_new *= back
+        np.subtract(1, keep, out=to_keep)
+        to_keep *= kept
+        to_keep *= apart
+        np.multiply(to_new, reset, out=held)
+        np.subtract(1, reset, out=to_reset)
+        to_reset *= held
+        to_reset *= inner
+        back = _by_columns(row[:, n:], network.state.T)
+        back += kept
         if begins[t]:
             back *= ~window.fresh[t, :, None]
-    outer[:, :, : 2 * n] = inside[:, :, : 2 * n]
-    befores = befores.reshape(size, n)
+    slopes = slopes.reshape(size, -1)
+    outer = _sums_by(texts.before[window.place.ravel()], slopes[:, : 3 * n], len(network.inputs))
     grads = [
-        _sums_by(texts.before[window.place.ravel()], outer.reshape(size, -1), len(network.inputs)),
-        befores.T @ inside.reshape(size, -1),
+        np.asfortranarray(np.roll(outer, 2 * n, axis=1)),
+        befores.reshape(size, n).T @ slopes[:, n:],
         states.T @ slope,
         slope.sum(axis=0),
         *from_words,
@@ -470,23 +556,26 @@ def _word_gradient(
     """Gradient of the weights of places; what it means for the states is added to ``from_output``."""
     if network.places is None:
         return []
-    output, bias = np.zeros_like(network.word_output), np.zeros_like(network.word_bias)
-    place = network.places.place[symbols]
-    for rows, held in network.by_class(network.places.kinds[symbols]):
-        some, part = states[rows], network.word_output[:, held]
-        slope = some @ part
-        slope += network.word_bias[held]
-        np.exp(slope, out=slope)
-        slope *= (share[rows] / _row_sums(slope))[:, None]
-        slope[np.arange(len(rows)), place[rows] - held.start] -= share[rows]
-        from_output[rows] += slope @ part.T
-        output[:, held], bias[held] = some.T @ slope, slope.sum(axis=0)
-    return [output, bias]
+    odds = Odds.of(network, states, symbols)
+    odds.flat[odds.own] -= odds.sums
+    scale = share[odds.order] / odds.sums
+    scaled = odds.states * scale
+    found = np.empty((states.shape[1], len(symbols)), states.dtype)
+    output = np.zeros((len(scaled), network.word_output.shape[1]), states.dtype)
+    for words, places, part in odds.parts:
+        np.matmul(network.word_output[:, places], part, out=found[:, words])
+        np.matmul(scaled[:, words], part.T, out=output[:, places])
+    found *= scale
+    back = np.empty_like(odds.order)
+    back[odds.order] = np.arange(len(back))
+    from_output += _rows_at(found.T, back)
+    return [output[:-1], output[-1]]
 
 
 def train(network: Network, texts: Lanes, rate: float = RATE) -> Network:
     """One pass of Adam over all windows, the rate falling to a tenth."""
     parts = [part.copy() for part in network.parts()]
+    parts[0] = np.asfortranarray(parts[0])
     network = network.of(parts)
     mean = [np.zeros_like(part) for part in parts]
     square = [np.zeros_like(part) for part in parts]
@@ -496,9 +585,19 @@ def train(network: Network, texts: Lanes, rate: float = RATE) -> Network:
         grads, state = window_gradient(network, texts, t0, state)
         now = rate * (1 - 0.9 * k / len(windows))
         for part, grad, m, v in zip(parts, grads, mean, square):
-            m += 0.1 * (grad - m)
-            v += 0.01 * (grad * grad - v)
-            part -= now * (m / (1 - 0.9 ** (k + 1))) / (np.sqrt(v / (1 - 0.99 ** (k + 1))) + 1e-8)
+            change = grad - m
+            change *= 0.1
+            m += change
+            np.multiply(grad, grad, out=change)
+            change -= v
+            change *= 0.01
+            v += change
+            np.divide(v, 1 - 0.99 ** (k + 1), out=change)
+            np.sqrt(change, out=change)
+            change += 1e-8
+            np.divide(m, change, out=change)
+            change *= now / (1 - 0.9 ** (k + 1))
+            part -= change
     return network
 
 
@@ -512,24 +611,28 @@ def count_words(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """word, n over all training documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        some: list[pa.Array] = []
+        held = texts = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            words, numbers = list(counts), list(counts.values())
-            for a in range(0, len(words), 50_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(words[a : a + 50_000], pa.binary()), pa.array(numbers[a : a + 50_000], pa.int64())],
-                    names=["word", "n"],
-                )
-            counts.clear()
+            found = pa.chunked_array(some, pa.string()).value_counts()
+            for a in range(0, len(found), 50_000):
+                part = found.slice(a, 50_000)
+                yield pa.RecordBatch.from_arrays([part.field(0).cast(pa.binary()), part.field(1)], names=["word", "n"])
+            some.clear()
 
         for batch in batches:
-            for one in batch.column("text"):
-                counts.update(one.as_py().lower().split())
-                counts[END] += 1
-                if len(counts) > MEMO_WORDS:
+            texts += batch.num_rows
+            for words, _ in split(batch.column("text")):
+                some.append(words)
+                held += words.nbytes
+                if held >= SPLIT_BYTES:
                     yield from out()
+                    held = 0
         yield from out()
+        if texts:
+            ends = [pa.array([END], pa.binary()), pa.array([texts], pa.int64())]
+            yield pa.RecordBatch.from_arrays(ends, names=["word", "n"])
 
     rows = _texts(docs, doc_id, text).where("NOT held_out").select("text")
     return rows.mapInArrow(work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
